@@ -1,18 +1,22 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing (Euclidean distance).
 
 Each of TABLES tables concatenates M hashes floor((a·v + b) / w) with normal a. A query visits, in each table, its own bucket and
-PROBES perturbed ones, in the order of their estimated success: the sum of squared distances from the query's projections to
+perturbed ones, in the order of their estimated success: the sum of squared distances from the query's projections to
 the boundaries that a perturbation crosses, enumerated least first from a heap. Candidates of all tables are merged and
 reranked by exact distances in double precision.
 
+M starts at half the logarithm of the number of vectors. The number of probes is calibrated: in a sample of at most SAMPLE vectors, at which
+probe would a query's true neighbours be found? It is the TARGET quantile, and M falls until that needs at most PROBES
+probes. (Neighbours in the whole table are nearer than in the sample, so the target is a cautious one.) Every vector is indexed in every table.
+
 Equal vectors are one class, indexed once; a class keeps its k + 1 smallest ids, since no query can need more of it, found
-with a limit before the shuffle. So copies, however many, make no hot bucket. Every class is indexed in every
-table, and buckets have no caps. M grows with the logarithm of the number of vectors, so that buckets keep their size; w is a multiple of
-the spread of projections in a sample of SAMPLE vectors. Index rows carry their vectors to the buckets and probes carry theirs, so that only
-ids and distances are shuffled after the bucket join.
+with a limit before the shuffle. So copies, however many, make no hot bucket. Buckets have no caps: buckets are dealt into
+parts of about PART_ROWS rows, and if one bucket alone is larger, all parts are split by id into as many slices as it needs, each of which
+gets the queries. Only ids and distances are shuffled after that, at most k + 1 for each query and part.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part. Vectors of different lengths never meet.
-Repeated rows (same id, same vector) count once; an id with several vectors keeps each as a row. Fewer candidates give fewer ranks, ties go to smaller ids, an empty table gives an empty result.
+Repeated rows (same id, same vector) count once; an id with several vectors has each as a row. Fewer candidates give fewer
+ranks, ties go to smaller ids, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,9 +32,9 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, stored, table
 
-TABLES, PROBES, SAMPLE, SEED = 8, 60, 2000, 20240607
-#: Classes that share a bucket, about, before perturbation; bucket width in units of the projections' standard deviation.
-BUCKET_SIZE, WIDTH = 12, 1.0
+TABLES, PROBES, SAMPLE, SAMPLE_QUERIES, TARGET, SEED = 16, 320, 20_000, 40, 0.96, 20240607
+#: Bucket width in units of the projections' standard deviation; index rows in a part.
+WIDTH, PART_ROWS = 1.5, 40_000
 
 
 class Hashing:
@@ -60,117 +64,156 @@ class Hashing:
         cells = np.floor(self.project(x)).reshape(-1, self.m)
         return self.keys(cells, x.shape[1], np.tile(np.arange(self.tables), len(x))).reshape(len(x), self.tables)
 
-    def probe(self, x: np.ndarray) -> list[np.ndarray]:
-        """For each query the keys of its buckets, by table and estimated success."""
-        at, out = self.project(x), []
-        for row in at:
-            cells, tables = [], []
+    def probe(self, x: np.ndarray) -> list[list[np.ndarray]]:
+        """For each query, by table, the keys of its buckets in the order of estimated success."""
+        out = []
+        for row in self.project(x):
+            own = []
             for t in range(self.tables):
                 base = np.floor(row[t])
-                for change in self._perturbations(row[t] - base):
-                    cells.append(base + change)
-                    tables.append(t)
-            out.append(np.unique(self.keys(np.array(cells), x.shape[1], np.array(tables))))
+                cells = base + self._perturbations(row[t] - base)
+                own.append(self.keys(cells, x.shape[1], np.full(len(cells), t)))
+            out.append(own)
         return out
 
-    def _perturbations(self, inside: np.ndarray) -> list[np.ndarray]:
-        m = self.m
-        steps = sorted([(d, i, -1) for i, d in enumerate(inside)] + [(1 - d, i, 1) for i, d in enumerate(inside)])
-        cost = [d * d for d, _, _ in steps]
-        out, heap = [np.zeros(m)], [(cost[0], (0,))]
-        while heap and len(out) <= self.probes:
+    def _perturbations(self, inside: np.ndarray) -> np.ndarray:
+        """The unperturbed cell and up to ``probes`` - 1 perturbations, least cost first; rows of -1, 0, 1."""
+        steps = sorted([(d * d, i, -1) for i, d in enumerate(inside.tolist())] + [((1 - d) ** 2, i, 1) for i, d in enumerate(inside.tolist())])
+        out, heap = [()], [(steps[0][0], (0,))]
+        while heap and len(out) < self.probes:
             total, chosen = heapq.heappop(heap)
             last = chosen[-1]
-            if last + 1 < 2 * m:
-                heapq.heappush(heap, (total - cost[last] + cost[last + 1], (*chosen[:-1], last + 1)))
-                heapq.heappush(heap, (total + cost[last + 1], (*chosen, last + 1)))
-            lines = [steps[i][1] for i in chosen]
-            if len(set(lines)) == len(lines):
-                change = np.zeros(m)
-                for i in chosen:
-                    change[steps[i][1]] = steps[i][2]
-                out.append(change)
-        return out
-
-
-def _by_length(column: pa.Array):
+            if last + 1 < len(steps):
+                more = total + steps[last + 1][0]
+                heapq.heappush(heap, (more - steps[last][0], (*chosen[:-1], last + 1)))
+                heapq.heappush(heap, (more, (*chosen, last + 1)))
+            if len({steps[i][1] for i in chosen}) == len(chosen):
+                out.append(chosen)
+        changes = np.zeros((len(out), self.m))
+        for row, chosen in zip(changes, out, strict=True):
+            for i in chosen:
+                row[steps[i][1]] = steps[i][2]
+        return changes
+
+
+def _by_length(vectors: list) -> list[tuple[np.ndarray, np.ndarray]]:
     """(rows, matrix) for each vector length."""
-    vectors = column.to_pylist()
     sizes = np.array([len(v) for v in vectors], int)
-    for dim in np.unique(sizes):
-        rows = np.flatnonzero(sizes == dim)
-        yield rows, np.array([vectors[i] for i in rows], float)
-
-
-def hashing_for(classes: DataFrame, n: int, **options) -> Hashing:
-    """M and w from the number of classes and a bounded sample of vectors."""
-    sample = classes.orderBy(F.xxhash64("id")).limit(SAMPLE).select("vector").collect()
-    sizes = [len(r.vector) for r in sample]
-    if not sizes:
-        return Hashing(1, 1.0, **options)
-    dim = max(set(sizes), key=sizes.count)
-    x = np.array([r.vector for r in sample if len(r.vector) == dim], float)
-    rng = np.random.default_rng(SEED)
-    shown = x @ rng.standard_normal((dim, 32))
-    width = WIDTH * max(float(shown.std(0).mean()), 1e-12)
-    cells = np.floor(shown / width + rng.random(32))
-    bits = np.mean([-(p := np.unique(c, return_counts=True)[1] / len(c)) @ np.log2(p) for c in cells.T])
-    return Hashing(max(1, round(math.log2(max(2, n / BUCKET_SIZE)) / max(bits, 0.5))), width, **options)
+    return [(at, np.array([vectors[i] for i in at], float)) for at in (np.flatnonzero(sizes == d) for d in np.unique(sizes))]
 
 
-def nearest(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 10, **options) -> DataFrame:
+def hashing_for(classes: DataFrame, n: int, k: int, tables: int = TABLES, probes: int = PROBES, target: float = TARGET) -> Hashing:
+    """M, w and the number of probes, from the number of classes and a bounded sample of vectors."""
+    drawn = classes.select("vector") if n <= SAMPLE else classes.orderBy(F.xxhash64("id", "vector")).limit(SAMPLE).select("vector")
+    groups = _by_length([r.vector for r in drawn.toLocalIterator()])
+    if not groups:
+        return Hashing(1, 1.0, tables, 1)
+    x = max((g[1] for g in groups), key=len)
+    rng = np.random.default_rng(SEED)
+    width = WIDTH * max(float((x @ rng.standard_normal((x.shape[1], 32))).std(0).mean()), 1e-12)
+    asked = rng.permutation(len(x))[:SAMPLE_QUERIES]
+    near = []
+    for q in asked:
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        near.append(np.argsort(d)[: min(k, len(x) - 1)])
+    for m in range(max(1, min(round(math.log2(max(2, n)) / 2), 16)), 0, -1):
+        hashing = Hashing(m, width, tables, probes)
+        found = []
+        for q, own in zip(asked, near, strict=True):
+            if len(own):
+                wanted, at = hashing.index(x[own]), np.full(len(own), probes + 1)
+                for t, keys in enumerate(hashing.probe(x[q : q + 1])[0]):
+                    place = {key: i for i, key in reversed(list(enumerate(keys.tolist())))}
+                    at = np.minimum(at, [place.get(w, probes + 1) for w in wanted[:, t].tolist()])
+                found.extend(at.tolist())
+        need = int(np.quantile(found, target, method="higher")) if found else 1
+        if need <= probes or m == 1:
+            hashing.probes = max(1, min(probes, need))
+            return hashing
+
+
+def _met(buckets: np.ndarray, ids: np.ndarray, vectors: np.ndarray, asked: list[tuple[int, np.ndarray, np.ndarray]], k: int):
+    """(asker, class, score): the k nearest of each query among the vectors in its buckets; vectors and queries of one length."""
+    order = np.argsort(buckets, kind="stable")
+    sorted_buckets = buckets[order]
+    for asker, q, own in asked:
+        low, high = np.searchsorted(sorted_buckets, own), np.searchsorted(sorted_buckets, own, side="right")
+        rows = [order[a:b] for a, b in zip(low, high, strict=True) if b > a]
+        if not rows:
+            continue
+        rows = np.concatenate(rows)
+        _, first = np.unique(ids[rows], return_index=True)
+        rows = rows[first]
+        score = np.sqrt(((vectors[rows] - q) ** 2).sum(1))
+        if len(rows) > k:
+            keep = score <= np.partition(score, k - 1)[k - 1]
+            rows, score = rows[keep], score[keep]
+        for i in np.lexsort((ids[rows], score))[:k]:
+            yield asker, int(ids[rows[i]]), float(score[i])
+
+
+def nearest(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 10, part_rows: int = PART_ROWS, **options) -> DataFrame:
     """(query_id, rank, key, score): for each row of ``queries`` its k nearest rows of ``df`` found, other than those of its own id."""
     spark = df.sparkSession
-    small_batches(spark, 4096)
+    small_batches(spark, 2048)
     v = F.col("vector")
     usable = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector")).where(usable)
-    asked = queries.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector")).where(usable)
+    rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector")).where(usable)
+    asked = queries.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector")).where(usable)
     few = W.partitionBy("vector").orderBy("id")
     members = rows.select("id", "vector", F.dense_rank().over(few).alias("nth")).where(F.col("nth") <= k + 1).distinct()
     members = stored(members.select("id", "vector", "nth", F.min("id").over(W.partitionBy("vector")).alias("class")), "members")
     classes = members.where("nth = 1").select("id", "vector")
-    asked = stored(asked.distinct(), "queries")
-    hashing = hashing_for(classes, classes.count(), **options)
-
-    @F.arrow_udf("array<bigint>")
-    def keys_of(column: pa.Array) -> pa.Array:
-        out = [None] * len(column)
-        for at, x in _by_length(column):
-            for i, own in zip(at, hashing.index(x), strict=True):
-                out[i] = own
-        return pa.array(out, pa.list_(pa.int64()))
-
-    @F.arrow_udf("array<bigint>")
-    def probes_of(column: pa.Array) -> pa.Array:
-        out = [None] * len(column)
-        for at, x in _by_length(column):
-            for i, own in zip(at, hashing.probe(x), strict=True):
-                out[i] = own
-        return pa.array(out, pa.list_(pa.int64()))
-
-    @F.arrow_udf("double")
-    def distance(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = np.empty(len(a))
-        left, right = a.values.to_numpy(zero_copy_only=False), b.values.to_numpy(zero_copy_only=False)
-        ends, starts = a.offsets.to_numpy()[1:] - a.offsets.to_numpy()[0], a.offsets.to_numpy()[:-1] - a.offsets.to_numpy()[0]
-        left, right = left[a.offsets[0].as_py() :], right[b.offsets[0].as_py() :]
-        sizes = ends - starts
-        for dim in np.unique(sizes):
-            at = np.flatnonzero(sizes == dim)
-            grid = starts[at][:, None] + np.arange(dim)
-            out[at] = np.sqrt(((left[grid] - right[grid]) ** 2).sum(1))
-        return pa.array(out)
-
-    distinct_asked = asked.groupBy("vector").agg(F.min("id").alias("asker"))
-    index = classes.select("id", "vector", F.explode(keys_of("vector")).alias("bucket"))
-    probes = distinct_asked.select("asker", F.col("vector").alias("q"), F.explode(probes_of("vector")).alias("bucket"))
-    met = probes.join(index, "bucket").where(F.size("q") == F.size("vector"))
-    scored = met.select("asker", F.col("id").alias("class"), distance("q", "vector").alias("score")).groupBy("asker", "class").agg(F.min("score").alias("score"))
-    best = scored.select("*", F.row_number().over(W.partitionBy("asker").orderBy("score", "class")).alias("n")).where(F.col("n") <= k + 1)
-    askers = asked.join(distinct_asked, "vector").select(F.col("id").alias("query_id"), "asker")
+    askers = stored(asked.distinct().select("id", "vector", F.min("id").over(W.partitionBy("vector")).alias("asker")), "askers")
+    n = classes.count()
+    hashing = hashing_for(classes, n, k, **options)
+    kind = df.schema[vector].dataType.simpleString()
+
+    def indexed(batches):
+        for batch in batches:
+            vectors, many = batch.column(1), hashing.tables
+            keys = np.empty((len(batch), many), np.int64)
+            for at, x in _by_length(vectors.to_pylist()):
+                keys[at] = hashing.index(x)
+            again = pa.array(np.repeat(np.arange(len(batch)), many))
+            yield pa.record_batch([batch.column(0).take(again), vectors.take(again), pa.array(keys.ravel())], ["id", "vector", "bucket"])
+
+    index = classes.mapInArrow(indexed, f"id long, vector {kind}, bucket long")
+    largest = index.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
+    slices = max(1, math.ceil(largest / part_rows))
+    parts = max(1, math.ceil(n * hashing.tables / part_rows / slices))
+
+    def probed(batches):
+        for batch in batches:
+            out = []
+            vectors = batch.column(1).to_pylist()
+            for at, x in _by_length(vectors):
+                for i, keys in zip(at, hashing.probe(x), strict=True):
+                    keys = np.unique(np.concatenate(keys))
+                    part = keys % parts
+                    for p in np.unique(part):
+                        out.extend((int(p), s, i, keys[part == p]) for s in range(slices))
+            take = pa.array([o[2] for o in out], pa.int64())
+            yield pa.record_batch([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), batch.column(0).take(take), batch.column(1).take(take), pa.array([o[3] for o in out], pa.list_(pa.int64()))], ["part", "slice", "asker", "q", "buckets"])
+
+    probes = askers.select("asker", "vector").dropDuplicates(["asker"]).mapInArrow(probed, f"part long, slice long, asker long, q {kind}, buckets array<bigint>")
+
+    def met(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        buckets, ids = left["bucket"].to_numpy(), left["id"].to_numpy()
+        asking = list(zip(right["asker"].to_pylist(), map(np.array, right["q"].to_pylist()), map(np.array, right["buckets"].to_pylist()), strict=True))
+        if len(ids) and asking:
+            for at, x in _by_length(left["vector"].to_pylist()):
+                out.extend(_met(buckets[at], ids[at], x, [a for a in asking if len(a[1]) == x.shape[1]], k + 1))
+        return pa.table({"asker": pa.array([o[0] for o in out], pa.int64()), "class": pa.array([o[1] for o in out], pa.int64()), "score": pa.array([o[2] for o in out], pa.float64())})
+
+    dealt = index.select("id", "vector", "bucket", F.pmod("bucket", F.lit(parts)).alias("part"), F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice"))
+    scored = dealt.groupBy("part", "slice").cogroup(probes.groupBy("part", "slice")).applyInArrow(met, "asker long, class long, score double")
+    best = scored.groupBy("asker", "class").agg(F.min("score").alias("score"))
+    best = best.select("*", F.row_number().over(W.partitionBy("asker").orderBy("score", "class")).alias("n")).where(F.col("n") <= k + 1)
     found = best.select("asker", "class", "score").join(members.select("class", F.col("id").alias("member")), "class")
-    pairs = askers.join(found, "asker").where("query_id <> member").select("query_id", F.col("member").alias(key), "score")
+    pairs = askers.select(F.col("id").alias("query_id"), "asker").join(found, "asker").where("query_id <> member").select("query_id", F.col("member").alias(key), "score")
     order = W.partitionBy("query_id").orderBy("score", key)
     return pairs.select("query_id", F.row_number().over(order).alias("rank"), key, "score").where(F.col("rank") <= k)
 
