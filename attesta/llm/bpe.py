@@ -30,6 +30,7 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -302,25 +303,30 @@ def share(spark: SparkSession, path: str | None = None) -> _Shared:
     return _Shared(spark.sparkContext.broadcast(text), hash(text))
 
 
-def digests(shared):
-    """A UDF: text -> (n_tokens, ids_sha256, decoded_sha256); texts stream through in blocks."""
+RESULT = {"n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string()), "ids": ("array<int>", pa.list_(pa.int32()))}
 
-    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
+
+def digests(shared, ids_too: bool = False):
+    """A UDF: text -> (n_tokens, ids_sha256, decoded_sha256), and the ids; texts stream through in blocks."""
+    names = [n for n in RESULT if n != "ids" or ids_too]
+
+    @F.arrow_udf(f"struct<{','.join(f'{n}:{RESULT[n][0]}' for n in names)}>")
     def run(texts: pa.Array) -> pa.Array:
         encoder, decoder = _coders(shared)
-        counts, ids_hex, decoded_hex = [], [], []
+        out = {n: [] for n in names}
         for text in texts:
-            ids_sha, text_sha, n = hashlib.sha256(), hashlib.sha256(), 0
+            ids_sha, text_sha, n, kept = hashlib.sha256(), hashlib.sha256(), 0, []
             for block in encoder.blocks(text.as_py() or ""):
                 ids_sha.update(("," + block if n else block).encode())
                 ids = block.split(",")
                 n += len(ids)
                 text_sha.update(decoder.feed(ids).encode())
+                if ids_too:
+                    kept.append(np.array(ids, np.int32))
             text_sha.update(decoder.finish().encode())
-            counts.append(n)
-            ids_hex.append(ids_sha.hexdigest())
-            decoded_hex.append(text_sha.hexdigest())
-        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(decoded_hex, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
+            for name, value in zip(names, (n, ids_sha.hexdigest(), text_sha.hexdigest(), np.concatenate([np.zeros(0, np.int32), *kept])), strict=False):
+                out[name].append(value)
+        return pa.StructArray.from_arrays([pa.array(out[n], RESULT[n][1]) for n in names], names)
 
     return run
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontamination, licenses, neighbours, quality, sharding
+from . import bpe, chat, decontamination, jaccard, licenses, lines, neighbours, quality, sharding
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_bpe": bpe.op2_bpe,
     "op3_licenses": licenses.op3_licenses,
+    "op4_jaccard": jaccard.op4_jaccard,
     "op5_neighbours": neighbours.op5_neighbours,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_quality": quality.op8_quality,
+    "op9_line_dedup": lines.op9_line_dedup,
     "op10_chat": chat.op10_chat,
 }
 
