@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontamination, jaccard, licenses, lines, neighbours, quality, sharding
+from . import bpe, chat, decontamination, jaccard, licenses, lines, neighbours, quality, repeats, sharding
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_licenses": licenses.op3_licenses,
     "op4_jaccard": jaccard.op4_jaccard,
     "op5_neighbours": neighbours.op5_neighbours,
+    "op6_repeats": repeats.op6_repeats,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_quality": quality.op8_quality,
     "op9_line_dedup": lines.op9_line_dedup,
