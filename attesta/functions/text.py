@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import html as entities
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,12 +100,8 @@ def unescaped(text: Column) -> Column:
 
 def unescape_all(text: Column) -> Column:
     """Every named and numeric entity, by batches (no built-in function has them)."""
-    import html
-
-    import pyarrow as pa
-
     def run(column: pa.Array) -> pa.Array:
-        return pa.array([None if x is None else html.unescape(x) for x in column.to_pylist()], pa.string())
+        return pa.array([None if x is None else entities.unescape(x) for x in column.to_pylist()], pa.string())
 
     return F.arrow_udf(run, "string")(text)
 
