@@ -14,7 +14,6 @@ from ..operators import consensus, constraints, discover, gate, report, resolve,
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-NONE = F.lit(None)
 
 
 def query(sql: str | None) -> Callable[[Query], Query]:
