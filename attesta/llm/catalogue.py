@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontamination, jaccard, licenses, lines, neighbours, quality, repeats, sharding
+from . import bpe, chat, decontamination, jaccard, licenses, lines, neighbours, quality, repeats, sharding, sql
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -19,4 +19,4 @@ QUERIES = {
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_sharding": sharding.oracle()}
+    return {"op1_sharding": sharding.oracle(), "op4_jaccard": sql.JACCARD, "op7_decontamination": sql.DECONTAMINATION, "op10_chat": sql.CHAT}
