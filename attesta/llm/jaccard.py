@@ -1,7 +1,7 @@
 """N-gram Jaccard join with count-vector R-trees.
 
 A document is its set of distinct 5-word shingles; two link when 100 * |A & B| >= 75 * |A | B|. Equal sets are one class. Each
-class has a count vector: its shingles hashed into GROUPS groups, and how many fall in each. No overlap is more than the sum of the
+class has a count vector: its shingles hashed into groups, and how many fall in each. No overlap is more than the sum of the
 coordinates' minima, for two vectors or for a vector and the upper corner of an R-tree node.
 
 The trees are local to blocks, so that the join is dealt over the cluster without loss. |A| shingles hold at most |A| // 4 that a partner lacks, so
@@ -10,12 +10,14 @@ shingle among their first. In the order, frequent shingles come last. They are f
 the scan; since they only order, what that count misses costs time, not links. Blocks over SLICE classes are cut in slices and
 dealt as pairs of slices.
 
-In a block, classes are packed into an R-tree by size; a descent with the size bound and the overlap bound gives surviving pairs, verified on the
-whole sets. There are two rounds. First each class meets the first in its block that the bounds allow, so that groups of near
-copies become few components in linear time. Then all pairs are searched that lie in different components: those are all pairs
-that can still change the result. Components come from star contraction.
+In a block, classes are packed into an R-tree by size (a block of up to LEAF classes is one leaf); the size bound and the overlap
+bound of GROUPS coordinates give surviving pairs. Those are bounded again by finer vectors, of about half as many groups as
+shingles, and the survivors verified on the whole sets. A few star rounds come first: in each block, in an order drawn anew, each class
+meets the one with the largest bound among its LEAF neighbours, so that groups of near copies become few components in
+linear time. Then all pairs are searched that the bounds allow and that lie in different components: those are all pairs that can
+still change the result. Components come from star contraction.
 
-Shingles are compared by 64-bit hashes, classes named by a 64-bit hash of their set. Null and empty texts, and texts
+Null and empty texts, and texts
 of white space, have no shingles and stay alone (also if equal). Repeated rows are equal sets; rows with one key and several texts
 count each text. Keys are integers; a null key is no one's representative unless alone.
 """
@@ -23,7 +25,6 @@ count each text. Keys are integers; a null key is no one's representative unless
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,21 +38,32 @@ from .shingles import mixed, shingle_sets
 WORDS, PERCENT, GROUPS = 5, 75, 64
 #: Shingles counted together; the count in such a window, and in all, that makes a shingle frequent; so many are broadcast at most.
 WINDOW, OFTEN, FREQUENT, ORDERED = 2_000_000, 3, 24, 500_000
-#: Classes in a slice of a block; ids broadcast at most; fan-out of a tree.
-SLICE, BROADCAST_IDS, FAN = 20_000, 500_000, 16
+#: Classes in a slice of a block; ids broadcast at most; fan-out of a tree; classes in a leaf; star rounds.
+SLICE, BROADCAST_IDS, FAN, LEAF, STARS = 20_000, 500_000, 16, 64, 3
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - math.ceil(n * percent / 100) + 1
 
 
-def vector_of(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
-    counts = np.bincount((mixed(shingles) % np.uint64(groups)).astype(np.int64), minlength=groups)
-    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint32).tobytes()
+def fine_groups(n: int) -> int:
+    return max(GROUPS, 1 << max(0, (n - 1) // 2).bit_length())
 
 
-def matrix_of(vectors: list[bytes], groups: int = GROUPS) -> np.ndarray:
-    return np.stack([np.frombuffer(v, np.uint8 if len(v) == groups else np.uint32).astype(np.int32) for v in vectors])
+def vectors_of(shingles: np.ndarray) -> tuple[bytes, bytes]:
+    """The vector of GROUPS coordinates, and the finer one, as bytes; 255 stands for all above."""
+    groups = fine_groups(len(shingles))
+    fine = np.bincount((mixed(shingles) & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return tuple(np.minimum(v, 255).astype(np.uint8).tobytes() for v in (fine.reshape(-1, GROUPS).sum(0), fine))
+
+
+def fine_bound(a: bytes, b: bytes) -> int:
+    """At least the overlap of two sets, from their finer vectors."""
+    x, y = (np.frombuffer(v, np.uint8).astype(np.int32) for v in (a, b))
+    if (x == 255).any() or (y == 255).any():
+        return 1 << 60
+    size = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, size).sum(0), y.reshape(-1, size).sum(0)).sum())
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -79,7 +91,8 @@ class CountTree:
             top, low, high = self.levels[depth]
             # |A & B| >= p / (100 + p) * (|A| + |B|); sizes within the ratio
             at = at[(100 * high[at] >= self.percent * size) & (self.percent * low[at] <= 100 * size)]
-            bound = np.minimum(top[at], vector).sum(1)
+            bound = np.minimum(top[at], vector).sum(1, dtype=np.int64)
+            bound[((top[at] == 255) & (vector == 255)).any(1)] = 1 << 40
             at = at[(100 + self.percent) * np.minimum(bound, size) >= self.percent * (size + np.maximum(low[at], -(-self.percent * size // 100)))]
             if depth and len(at):
                 at = (at[:, None] * self.fan + np.arange(self.fan)).ravel()
@@ -87,25 +100,70 @@ class CountTree:
         return self.order[at]
 
 
-def block_pairs(classes: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray | None, sides: np.ndarray | None = None, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
-    """Surviving pairs of a block. Without roots: each class with the first that the bounds allow; with them, all pairs of
-    different roots. sides: which of two slices a class is of; pairs then lie across."""
-    if len(classes) < 2 or (roots is not None and (roots == roots[0]).all()):
-        return
-    tree = CountTree(sizes, vectors, percent)
-    rank = np.empty(len(classes), np.int64)
-    rank[np.argsort(classes, kind="stable")] = np.arange(len(classes))
-    for i in range(len(classes)):
-        found = tree.search(sizes[i], vectors[i])
-        found = found[rank[found] < rank[i]]
+def allowed(x: np.ndarray, n: np.ndarray, y: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether the bounds let sets of sizes n, m and vectors x, y link; broadcast over leading axes."""
+    bound = np.minimum(x, y).sum(-1, dtype=np.int64)
+    bound = np.where(((x == 255) & (y == 255)).any(-1), 1 << 40, bound)
+    least, most = np.minimum(n, m), np.maximum(n, m)
+    return (100 * least >= percent * most) & ((100 + percent) * np.minimum(bound, least) >= percent * (n + m))
+
+
+def leaf_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray | None, sides: np.ndarray | None, percent: int, reach: int = LEAF) -> np.ndarray:
+    """(i, j), i < j <= i + reach, of rows that the bounds allow, over many blocks at once; starts: where each block starts, and the end."""
+    left = np.repeat(starts[1:], np.diff(starts)) - np.arange(len(sizes)) - 1  # rows after this one in its block
+    out = [np.zeros((0, 2), np.int64)]
+    for d in range(1, min(reach, int(np.diff(starts).max(initial=1)) - 1) + 1):
+        i = np.flatnonzero(left >= d)
+        j = i + d
+        fits = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
         if roots is not None:
-            found = found[roots[found] != roots[i]]
+            fits &= roots[i] != roots[j]
         if sides is not None:
-            found = found[sides[found] != sides[i]]
-        if roots is None and len(found):
-            found = found[np.argmin(rank[found]) :][:1]
-        for j in found:
-            yield int(classes[j]), int(classes[i])
+            fits &= sides[i] != sides[j]
+        i, j = i[fits], j[fits]
+        fits = allowed(vectors[i], sizes[i], vectors[j], sizes[j], percent)
+        out.append(np.stack((i[fits], j[fits]), 1))
+    return np.concatenate(out)
+
+
+def star_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray | None = None, percent: int = PERCENT) -> np.ndarray:
+    """For each row the pair with the largest bound for its size, among its neighbours in its block."""
+    found = leaf_pairs(starts, sizes, vectors, roots, None, percent)
+    if not len(found):
+        return found
+    score = np.minimum(vectors[found[:, 0]], vectors[found[:, 1]]).sum(1, dtype=np.int64) / (sizes[found[:, 0]] + sizes[found[:, 1]])
+    row, pair = np.concatenate((found[:, 0], found[:, 1])), np.tile(np.arange(len(found)), 2)
+    order = np.lexsort((-score[pair], row))
+    first = np.concatenate(([True], row[order][1:] != row[order][:-1]))
+    return found[np.unique(pair[order][first])]
+
+
+def tree_pairs(sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, sides: np.ndarray | None, percent: int) -> np.ndarray:
+    """All (i, j) of different roots (and sides) that the bounds allow: those of the most common root are only searched, not searching."""
+    names, inverse, counts = np.unique(roots, return_inverse=True, return_counts=True)
+    out = [np.zeros((0, 2), np.int64)]
+    if len(names) > 1:
+        tree = CountTree(sizes, vectors, percent)
+        for i in np.flatnonzero(inverse != counts.argmax()):
+            found = tree.search(sizes[i], vectors[i])
+            found = found[roots[found] != roots[i]]
+            if sides is not None:
+                found = found[sides[found] != sides[i]]
+            out.append(np.stack((found, np.full(len(found), i)), 1))
+    return np.concatenate(out)
+
+
+def block_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, sides: np.ndarray | None = None, percent: int = PERCENT, leaf: int = LEAF) -> np.ndarray:
+    """All pairs of rows of different roots in a block that the bounds allow. sides: which of two slices a row is of; pairs then
+    lie across."""
+    size = np.diff(starts)
+    at = np.flatnonzero(np.repeat(size <= leaf, size))
+    cuts = np.concatenate(([0], np.cumsum(size[size <= leaf])))
+    out = [at[leaf_pairs(cuts, sizes[at], vectors[at], roots[at], None if sides is None else sides[at], percent, leaf)]]
+    for b in np.flatnonzero(size > leaf):
+        a, z = starts[b], starts[b + 1]
+        out.append(tree_pairs(sizes[a:z], vectors[a:z], roots[a:z], None if sides is None else sides[a:z], percent) + a)
+    return np.concatenate(out)
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -113,6 +171,8 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def _profiles(words: int):
+    names = ["key", "n", "id", "vector", "fine"]
+
     def run(batches):
         waiting, size = [], 0
 
@@ -120,20 +180,20 @@ def _profiles(words: int):
             tokens, counts = np.unique(np.concatenate(waiting), return_counts=True)
             tokens, counts = tokens[counts >= OFTEN], counts[counts >= OFTEN]
             n = len(tokens)
-            return pa.record_batch([pa.nulls(n, pa.int64()), pa.array(counts, pa.int32()), pa.array(tokens.view(np.int64)), pa.nulls(n, pa.binary())], ["key", "n", "id", "vector"])
+            return pa.record_batch([pa.nulls(n, pa.int64()), pa.array(counts, pa.int32()), pa.array(tokens.view(np.int64)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names)
 
         for batch in batches:
             n, ids, vectors = [], [], []
             for s in shingle_sets(_texts(batch.column(1)), words):
                 n.append(len(s))
                 ids.append(class_of(s))
-                vectors.append(vector_of(s))
+                vectors.append(vectors_of(s))
                 waiting.append(s)
                 size += len(s)
                 if size >= WINDOW:
                     yield often()
                     waiting, size = [], 0
-            yield pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(n, pa.int32()), pa.array(ids, pa.int64()), pa.array(vectors, pa.binary())], ["key", "n", "id", "vector"])
+            yield pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(n, pa.int32()), pa.array(ids, pa.int64()), *[pa.array([v[i] for v in vectors], pa.binary()) for i in (0, 1)]], names)
         if size:
             yield often()
 
@@ -189,44 +249,65 @@ def _shared(batches):
             yield pa.record_batch([pa.array(token[given]), pa.array(name[given])], ["token", "id"])
 
 
-def _blocks(percent: int, rooted: bool):
-    """Rows sorted by (token, s, t): pairs of each block."""
+def _blocks(percent: int, star: bool, rows: int = 1 << 16):
+    """Rows sorted by (token, s, t, draw): (u, v, token) of whole blocks. In a star round, large blocks also tell their token."""
 
-    def run(batches):
-        key, rows = None, []
-
-        def pairs():
-            name, size, vector, root, side = (np.concatenate([r[i] for r in rows]) for i in range(5))
-            found = list(block_pairs(name, size, matrix_of(list(vector)), root if rooted else None, side if key[1] != key[2] else None, percent))
-            return pa.record_batch([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], ["u", "v"])
+    def pairs(held, seen):
+        token, s, t, name, size, vector, root, side = (np.concatenate([h[i] for h in held]) for i in range(8))
+        size = size.astype(np.int64)
+        starts = np.concatenate(([0], np.flatnonzero((token[1:] != token[:-1]) | (s[1:] != s[:-1]) | (t[1:] != t[:-1])) + 1, [len(token)]))
+        matrix = np.frombuffer(b"".join(vector), np.uint8).reshape(-1, GROUPS)
+        if star:
+            found = star_pairs(starts, size, matrix, root, percent)
+            large = starts[:-1][np.diff(starts) > LEAF]
+            found = np.concatenate((found, np.stack((large, large), 1)))
+        else:
+            sides = np.where(s != t, side, np.arange(len(side)) + 2)  # within a slice all rows differ
+            found = block_pairs(starts, size, matrix, root, sides, percent)
+            found = _fresh(name, found, seen)
+        u, v = name[found[:, 0]], name[found[:, 1]]
+        return pa.record_batch([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(token[found[:, 0]])], ["u", "v", "token"])
 
-        seen: set = set()
+    def run(batches):
+        held, count, seen = [], 0, set()
         for batch in batches:
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            token, s, t = cols[:3]
-            cuts = np.flatnonzero((token[1:] != token[:-1]) | (s[1:] != s[:-1]) | (t[1:] != t[:-1])) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(token)], strict=True):
-                if a == b:
-                    continue
-                own = token[a], s[a], t[a]
-                if own != key:
-                    if rows:
-                        yield _fresh(pairs(), seen)
-                    key, rows = own, []
-                rows.append([c[a:b] for c in cols[3:]])
-        if rows:
-            yield _fresh(pairs(), seen)
+            if count >= rows and len(cols[0]):
+                end = [h[-1] for h in held[-1][:3]]
+                other = (cols[0] != end[0]) | (cols[1] != end[1]) | (cols[2] != end[2])
+                cut = int(other.argmax()) if other.any() else len(other)
+                held.append([c[:cut] for c in cols])
+                cols = [c[cut:] for c in cols]
+                if len(cols[0]):
+                    yield pairs(held, seen)
+                    held, count = [], 0
+            if len(cols[0]):
+                held.append(cols)
+                count += len(cols[0])
+        if held:
+            yield pairs(held, seen)
 
     return run
 
 
-def _fresh(batch: pa.RecordBatch, seen: set) -> pa.RecordBatch:
+def _fresh(name: np.ndarray, found: np.ndarray, seen: set) -> np.ndarray:
     """Without pairs that this task gave before."""
-    if len(seen) > 1 << 19:
+    if len(seen) > 1 << 20:
         seen.clear()
-    out = [p for p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if p not in seen]
-    seen.update(out)
-    return pa.record_batch([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], ["u", "v"])
+    keep = []
+    for k, p in enumerate(zip(*np.sort(name[found], axis=1).T.tolist(), strict=True)):
+        if p not in seen:
+            seen.add(p)
+            keep.append(k)
+    return found[keep]
+
+
+def _bounded(percent: int):
+    def run(a: pa.Array, n: pa.Array, b: pa.Array, m: pa.Array) -> pa.Array:
+        each = zip(a.to_pylist(), n.to_pylist(), b.to_pylist(), m.to_pylist(), strict=True)
+        return pa.array([(100 + percent) * fine_bound(x, y) >= percent * (i + j) for x, i, y, j in each])
+
+    return F.arrow_udf(run, "boolean")
 
 
 def _near(percent: int):
@@ -251,36 +332,35 @@ class Join:
         self.spark, self.words, self.percent, self.slice_rows = df.sparkSession, words, percent, slice_rows
         small_batches(self.spark)
         self.rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-        told = stored(self.rows.mapInArrow(_profiles(words), "key long, n int, id long, vector binary"), "profiles")
+        told = stored(self.rows.mapInArrow(_profiles(words), "key long, n int, id long, vector binary, fine binary"), "profiles")
         self.members = told.where("vector is not null").select("key", "n", "id")
-        self.classes = told.where("vector is not null and n > 0").groupBy("id").agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("vector").alias("vector"))
+        self.classes = told.where("vector is not null and n > 0").groupBy("id").agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("vector").alias("vector"), F.first("fine").alias("fine"))
         frequent = told.where("vector is null").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "id").limit(ORDERED)
         last = np.sort(np.array([r.id for r in frequent.select("id").toLocalIterator()], np.int64).view(np.uint64))
         prefixes = self.rows.select("text").mapInArrow(_prefixes(words, percent, self.spark.sparkContext.broadcast(last)), "token long, id long")
         self.shared = stored(prefixes.repartition("token").sortWithinPartitions("token", "id").mapInArrow(_shared, "token long, id long"), "shared")
 
-    def candidates(self, roots: DataFrame | None) -> DataFrame:
-        """(u, v) that survive in some block."""
-        rows = self.shared
-        known = self.classes.select("id", "n", "vector")
+    def candidates(self, rows: DataFrame, roots: DataFrame | None, draw: int | None) -> DataFrame:
+        """(u, v, token) that survive in some block of ``rows`` (token, id, n, vector); a star round if it has a number to draw by."""
         if roots is None:
-            known = known.select("*", F.lit(0).cast("long").alias("root"))
+            rows = rows.withColumn("root", F.col("id"))
         else:
-            known = known.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("id", "n", "vector", F.coalesce("root", "id").alias("root"))
-            own = rows.join(known.select("id", "root"), "id")
-            mixed_blocks = own.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token")
-            rows = rows.join(mixed_blocks, "token", "left_semi")
+            known = roots.select(F.col("node").alias("id"), "root")
+            rows = rows.join(F.broadcast(known) if known.count() <= BROADCAST_IDS else known, "id", "left").withColumn("root", F.coalesce("root", "id"))
         large = rows.groupBy("token").count().where(F.col("count") > self.slice_rows).select("token", F.ceil(F.col("count") / self.slice_rows).cast("int").alias("k"))
-        rows = rows.join(large, "token", "left").select("token", "id", F.coalesce("k", F.lit(1)).alias("k"))
-        rows = rows.select("token", "id", F.pmod(F.xxhash64("id"), "k").cast("int").alias("side"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
-        if roots is None:
+        rows = rows.join(large, "token", "left").withColumn("k", F.coalesce("k", F.lit(1)))
+        rows = rows.select("*", F.pmod(F.xxhash64("id"), "k").cast("int").alias("side"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+        if draw is not None:
             rows = rows.where("side = other")
-        rows = rows.join(known, "id").select("token", F.least("side", "other").alias("s"), F.greatest("side", "other").alias("t"), "id", "n", "vector", "root", "side")
-        pairs = rows.repartition("token", "s", "t").sortWithinPartitions("token", "s", "t").mapInArrow(_blocks(self.percent, roots is not None), "u long, v long")
-        return stored(pairs.distinct(), "candidates")
+        rows = rows.select("token", F.least("side", "other").alias("s"), F.greatest("side", "other").alias("t"), "id", "n", "vector", "root", "side")
+        order = F.xxhash64("id", "token", F.lit(draw or 0))
+        return rows.repartition("token", "s", "t").sortWithinPartitions("token", "s", "t", order).mapInArrow(_blocks(self.percent, draw is not None), "u long, v long, token long")
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """Those pairs that hold on the whole sets."""
+        """Those pairs that hold on the finer vectors, and then on the whole sets."""
+        fine = self.classes.select("id", "n", "fine")
+        u, v = (fine.select(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("fine").alias(f"fine_{i}")) for i in "uv")
+        pairs = stored(pairs.join(u, "u").join(v, "v").where(_bounded(self.percent)("fine_u", "n_u", "fine_v", "n_v")).select("u", "v"), "bounded")
         ids = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
         reps = stored(self.classes.select("id", "rep").join(ids, "id").select(F.col("rep").alias("key")).distinct(), "reps")
         words = self.words
@@ -296,10 +376,18 @@ class Join:
 
     def linked(self) -> DataFrame:
         """(node, root) over class ids, for classes that have links."""
-        first = stored(self.links(self.candidates(None)), "links")
-        roots = stored(components(first), "roots")
-        more = self.links(self.candidates(roots))
-        return stored(components(first.union(more)), "roots")
+        rows, links, roots = self.shared.join(self.classes.select("id", "n", "vector"), "id"), None, None
+        for draw in range(STARS):
+            told = stored(self.candidates(rows, roots, draw), "stars")
+            new = stored(self.links(stored(told.where("u <> v").select("u", "v").distinct(), "candidates")), "links")
+            links = new if links is None else stored(links.union(new), "links")
+            roots = stored(components(links), "roots")
+            # blocks that had no pair, and were looked at whole, have none in later rounds
+            rows = stored(rows.join(told.select("token").distinct(), "token", "left_semi"), "rows")
+            if not new.limit(1).count():
+                break
+        rest = self.candidates(rows, roots, None).select("u", "v").distinct()
+        return stored(components(links.union(self.links(stored(rest, "candidates")))), "roots")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -92,8 +92,8 @@ def test_block_pairs(leaf):
         if roots[i] != roots[j] and jaccard.allowed(vectors[i], sizes[i], vectors[j], sizes[j])
     }
     assert {tuple(sorted(p)) for p in jaccard.block_pairs(starts, sizes, vectors, roots, leaf=leaf).tolist()} == want
-    first = jaccard.block_pairs(starts, sizes, vectors, leaf=leaf)
-    assert len(first) <= 90 and all(jaccard.allowed(vectors[i], sizes[i], vectors[j], sizes[j]) for i, j in first)
+    star = jaccard.star_pairs(starts, sizes, vectors, roots)
+    assert {tuple(p) for p in star.tolist()} <= want and set(star.ravel().tolist()) == {i for p in want for i in p}
 
 
 def test_components(spark):
