@@ -3,8 +3,8 @@
 Anchors. Every string of LENGTH bytes holds a K-byte gram that is least among its grams, and all its copies hold the same one at the
 same place; so only texts around equal anchors are compared. Anchors whose whole surroundings (all strings of that length
 that hold them) are equal repeat outright. Where equal anchors have several surroundings, one window of each goes on. A window is trimmed
-to what another of its anchor's windows shares on the left, and on the right; equal trimmed windows repeat outright, and one of each
-enters the suffix structure.
+to what another of its anchor's windows shares on the left, and on the right. A trimmed window that another one holds whole repeats
+outright, with that part of the other; so do equal ones; what is left enters the suffix structure.
 
 Threshold-bounded interval expansion. The windows of a batch are concatenated, with a separator of its own after each. From the
 suffix array comes the Burrows-Wheeler transform; intervals of suffixes that start with a common string are extended backwards,
@@ -106,18 +106,36 @@ def runs_with_common_prefix(symbols: np.ndarray, piece: np.ndarray, ends: np.nda
     return order, np.cumsum(known[:n])
 
 
-def _shared(contexts: np.ndarray, lengths: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """For each row, how many leading bytes another row of its group shares."""
+def _common(contexts: np.ndarray, lengths: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many leading bytes rows i and j share."""
+    differ = contexts[i] != contexts[j]
+    both = np.where(differ.any(1), differ.argmax(1), contexts.shape[1])
+    return np.minimum(both, np.minimum(lengths[i], lengths[j]))
+
+
+def _shared(contexts: np.ndarray, lengths: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """For each row, how many leading bytes another row of its group shares (-1 if it is alone); its neighbours in order of contexts."""
     tagged = np.concatenate((group.astype(">u4").view(np.uint8).reshape(-1, 4), contexts, np.full((len(contexts), 1), 1, np.uint8)), axis=1)
     order = np.argsort(np.ascontiguousarray(tagged).view(f"S{tagged.shape[1]}").ravel(), kind="stable")
-    ordered = contexts[order]
-    differ = ordered[1:] != ordered[:-1]
-    both = np.where(differ.any(1), differ.argmax(1), contexts.shape[1])
-    both = np.minimum(both, np.minimum(lengths[order][1:], lengths[order][:-1]))
-    both = np.where(group[order][1:] == group[order][:-1], both, -1)
-    out = np.full(len(contexts), -1)
-    out[order[1:]] = both
-    out[order[:-1]] = np.maximum(out[order[:-1]], both)
+    both = np.where(group[order][1:] == group[order][:-1], _common(contexts, lengths, order[1:], order[:-1]), -1)
+    out, before, after = np.full(len(contexts), -1), np.arange(len(contexts)), np.arange(len(contexts))
+    out[order[1:]], before[order[1:]] = both, order[:-1]
+    out[order[:-1]], after[order[:-1]] = np.maximum(out[order[:-1]], both), order[1:]
+    return out, [before, after]
+
+
+def _contained(group: np.ndarray, reach: list[np.ndarray], neighbours: list[np.ndarray], padded: list[np.ndarray], sizes: list[np.ndarray]) -> np.ndarray:
+    """For each row a row of its group with a longer trimmed window that holds its own whole, at the same place; else -1. Tried are
+    its neighbours in both orders, and the row of the group with the longest window."""
+    total, rows, out = reach[0] + reach[1], np.arange(len(group)), np.full(len(group), -1)
+    by = np.lexsort((total, group))
+    last = by[np.concatenate((np.flatnonzero(group[by][1:] != group[by][:-1]), [len(by) - 1]))]
+    longest = last[np.searchsorted(group[last], group)]
+    for other in (longest, *neighbours):
+        i = rows[(out < 0) & (group[other] == group) & (total[other] > total)]
+        j = other[i]
+        whole = (_common(padded[0], sizes[0], i, j) >= reach[0][i]) & (_common(padded[1], sizes[1], i, j) >= reach[1][i])
+        out[i[whole]] = j[whole]
     return out
 
 
@@ -125,16 +143,25 @@ def repeated(group: np.ndarray, text: np.ndarray, place: np.ndarray, lefts: list
     """(text, start, stop) of repeated strings in windows left + gram + right around anchors; ``place`` is where the gram starts."""
     if len(group) < 2:
         return []
-    widest = length - len(grams[0])
+    k = len(grams[0])
+    widest = length - k
     sizes = [np.array([len(x) for x in side]) for side in (lefts, rights)]
     padded = [np.frombuffer(b"".join(x.ljust(widest, b"\0") for x in side), np.uint8).reshape(-1, widest) for side in ([x[::-1] for x in lefts], rights)]
-    reach = [_shared(c, s, group) for c, s in zip(padded, sizes, strict=True)]
+    (left, near), (right, more) = (_shared(c, s, group) for c, s in zip(padded, sizes, strict=True))
+    reach, starts = [left, right], place - left
+    holder = _contained(group, reach, near + more, padded, sizes)
+    enough = (left >= 0) & (right >= 0) & (left + right >= widest)
+    held = np.flatnonzero(enough & (holder >= 0))
+    # a window inside another repeats outright, there and here, and the other stands for it
+    whole = left[held] + k + right[held]
+    out = list(zip(text[held].tolist(), starts[held].tolist(), (starts[held] + whole).tolist(), strict=True))
+    there = place[holder[held]] - left[held]
+    out += zip(text[holder[held]].tolist(), there.tolist(), (there + whole).tolist(), strict=True)
     found: dict[tuple[int, bytes], list[int]] = {}
-    starts = place - reach[0]
-    for i in np.flatnonzero((reach[0] >= 0) & (reach[1] >= 0) & (reach[0] + reach[1] >= widest)):
+    for i in np.flatnonzero(enough & (holder < 0)):
         trimmed = lefts[i][sizes[0][i] - reach[0][i] :] + grams[i] + rights[i][: reach[1][i]]
         found.setdefault((int(group[i]), trimmed), []).append(i)
-    out, pieces, origins = [], [], []
+    pieces, origins = [], []
     for (_, trimmed), rows in found.items():
         if len(rows) > 1:
             out += [(int(text[i]), int(starts[i]), int(starts[i]) + len(trimmed)) for i in rows]
