@@ -37,7 +37,7 @@ from .shingles import mixed, shingle_sets
 
 WORDS, PERCENT, GROUPS = 5, 75, 64
 #: Shingles counted together; the count in such a window, and in all, that makes a shingle frequent; so many are broadcast at most.
-WINDOW, OFTEN, FREQUENT, ORDERED = 2_000_000, 3, 24, 500_000
+WINDOW, OFTEN, FREQUENT, ORDERED = 2_000_000, 2, 8, 500_000
 #: Classes in a slice of a block; ids broadcast at most; fan-out of a tree; classes in a leaf; star rounds.
 SLICE, BROADCAST_IDS, FAN, LEAF, STARS = 20_000, 500_000, 16, 64, 3
 
