@@ -138,8 +138,12 @@ def map_documents(docs: DataFrame, oblasts: DataFrame, districts: DataFrame, key
 
 
 def match_names(texts: DataFrame, key: str, marks: Column, names: DataFrame, name_key: str, name_marks: Column) -> DataFrame:
-    """(key, outcome, match, n): one, several or no names that share a mark with a text."""
-    hits = texts.select(key, F.explode(marks).alias("mark")).join(names.select(name_key, F.explode(name_marks).alias("mark")), "mark").groupBy(key).agg(F.count_distinct(name_key).alias("n"), F.min(name_key).alias("match"))
+    """(key, outcome, match, n): one, several or no names that share a mark with a text. Names meet texts once for each set of marks,
+    so that repeated names do not multiply."""
+    keys = names.where(F.col(name_key).isNotNull()).select(name_key, name_marks.alias("marks")).groupBy(name_key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("marks")))).alias("marks"))
+    sets = keys.groupBy("marks").agg(F.count(F.lit(1)).alias("n"), F.min(name_key).alias("match")).withColumn("mark", F.explode("marks"))
+    met = texts.select(key, F.explode(marks).alias("mark")).join(sets, "mark").select(key, "marks", "n", "match").distinct()
+    hits = met.groupBy(key).agg(F.sum("n").alias("n"), F.min("match").alias("match"))
     out = texts.select(key).join(hits, key, "left")
     n = F.coalesce("n", F.lit(0))
     return out.select(key, F.when(n == 0, "none").when(n == 1, "one").otherwise("several").alias("outcome"), F.when(n == 1, F.col("match")).alias("match"), n.alias("n"))

@@ -193,7 +193,7 @@ h AS (SELECT doc_id, count(DISTINCT p_partkey) AS n, min(p_partkey) AS match FRO
 SELECT doc_id, CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'one' ELSE 'several' END AS outcome, CASE WHEN n = 1 THEN match END AS match, coalesce(n, 0) AS n FROM documents LEFT JOIN h USING (doc_id) WHERE n_chars < 1500""")
 def block_theta_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = lambda c: F.filter(F.array_distinct(F.transform(F.split(F.lower(c), " "), lambda w: F.substring(w, 1, 4))), lambda m: F.char_length(m) >= 3)
-    docs, names = read(spark, sf_dir, "documents").where("n_chars < 1500"), read(spark, sf_dir, "part").where("p_partkey < 100")
+    docs, names = read(spark, sf_dir, "documents"), read(spark, sf_dir, "part")
     return resolve.match_names(docs, "doc_id", marks(F.col("text")), names, "p_partkey", marks(F.col("p_name")))
 
 

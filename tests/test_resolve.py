@@ -1,6 +1,7 @@
 import pytest
 
 from attesta.operators import resolve, temporal
+from attesta.plans import catalogue
 
 OBLASTS = [("270000000", "Озёрная область"), ("390000000", "Степнинская область"), ("710000000", "г.Столичный")]
 DISTRICTS = [("271000000", "Прибрежный Г.А."), ("271400000", "Прибрежный район"), ("391000000", "Степнинский район"), ("392000000", "Луговской район"), ("393000000", "Аксу Г.А."), ("394000000", "Луговской Г.А.")]
@@ -66,3 +67,12 @@ def test_levels(spark):
 
     df = spark.createDataFrame([("100000000", "oblast"), ("101000000", "district"), ("101010000", "sub_district"), ("103230100", "settlement"), ("12", None)], "c string, want string")
     assert all(r.got == r.want for r in df.select("want", temporal.level_of(F.col("c")).alias("got")).collect())
+
+
+def test_block_theta_match_reads_whole_tables(spark, tmp_path):
+    docs = [(1, "a Bolt here", 11), (2, "a ring " + "x " * 1000, 2007), (3, "one gear", None), (4, "nothing of it", 13), (5, None, None), (6, "blue plate, blue", 16)]
+    parts = [(7, "red bolt"), (150, "blue bolt"), (151, "blue bolt"), (900, "old ring"), (901, "cold gear"), (902, "hot gear"), (903, None), (904, "blue plate")]
+    spark.createDataFrame(docs, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(parts, "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r.doc_id: (r.outcome, r.match, r.n) for r in catalogue.block_theta_match(spark, str(tmp_path)).collect()}
+    assert got == {1: ("several", None, 3), 2: ("one", 900, 1), 3: ("several", None, 2), 4: ("none", None, 0), 5: ("none", None, 0), 6: ("several", None, 3)}
