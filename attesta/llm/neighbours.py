@@ -14,6 +14,8 @@ with a limit before the shuffle. So copies, however many, make no hot bucket. Bu
 parts of about PART_ROWS rows, and if one bucket alone is larger, all parts are split by id into as many slices as it needs, each of which
 gets the queries. Only ids and distances are shuffled after that, at most k + 1 for each query and part.
 
+A query whose buckets hold fewer than k candidates, though there are more, is compared with all classes, in blocks of ASKERS queries by part.
+
 Vectors that are null, empty, zero or hold null or non-finite components take no part. Vectors of different lengths never meet.
 Repeated rows (same id, same vector) count once; an id with several vectors has each as a row. Fewer candidates give fewer
 ranks, ties go to smaller ids, an empty table gives an empty result.
@@ -35,6 +37,8 @@ from .common import small_batches, stored, table
 TABLES, PROBES, SAMPLE, SAMPLE_QUERIES, TARGET, SEED = 16, 320, 20_000, 40, 0.96, 20240607
 #: Bucket width in units of the projections' standard deviation; index rows in a part.
 WIDTH, PART_ROWS = 1.5, 40_000
+#: Queries in a block of the exact search.
+ASKERS = 1_000
 
 
 class Hashing:
@@ -210,10 +214,42 @@ def nearest(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
 
     dealt = index.select("id", "vector", "bucket", F.pmod("bucket", F.lit(parts)).alias("part"), F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice"))
     scored = dealt.groupBy("part", "slice").cogroup(probes.groupBy("part", "slice")).applyInArrow(met, "asker long, class long, score double")
-    best = scored.groupBy("asker", "class").agg(F.min("score").alias("score"))
-    best = best.select("*", F.row_number().over(W.partitionBy("asker").orderBy("score", "class")).alias("n")).where(F.col("n") <= k + 1)
-    found = best.select("asker", "class", "score").join(members.select("class", F.col("id").alias("member")), "class")
-    pairs = askers.select(F.col("id").alias("query_id"), "asker").join(found, "asker").where("query_id <> member").select("query_id", F.col("member").alias(key), "score")
+
+    def best_of(scored: DataFrame) -> DataFrame:
+        best = scored.groupBy("asker", "class").agg(F.min("score").alias("score"))
+        return best.select("*", F.row_number().over(W.partitionBy("asker").orderBy("score", "class")).alias("n")).where(F.col("n") <= k + 1).select("asker", "class", "score")
+
+    def pairs_of(best: DataFrame) -> DataFrame:
+        found = best.join(members.select("class", F.col("id").alias("member")), "class")
+        return askers.select(F.col("id").alias("query_id"), "asker").join(found, "asker").where("query_id <> member")
+
+    best = stored(best_of(scored), "best")
+    size = F.size("vector").alias("size")
+    got = pairs_of(best).groupBy(F.col("query_id").alias("id"), "asker").agg(F.count(F.lit(1)).alias("got"))
+    short = askers.join(got, ["id", "asker"], "left").select("id", "asker", "vector", size, F.coalesce("got", F.lit(0)).alias("got")).where(F.col("got") < k)
+    own = members.groupBy("id", size).agg(F.count(F.lit(1)).alias("own"))
+    total = members.groupBy(size).agg(F.count(F.lit(1)).alias("total"))
+    short = short.join(own, ["id", "size"], "left").join(total, "size").where(F.col("got") < F.col("total") - F.coalesce("own", F.lit(0)))
+    short = stored(short.select("asker", "vector").dropDuplicates(["asker"]), "short")
+    many = short.count()
+    if many:
+        blocks, spans = math.ceil(many / ASKERS), math.ceil(n / part_rows)
+        left = classes.select("id", "vector", F.pmod(F.xxhash64("id"), F.lit(spans)).alias("slice"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        right = short.select("asker", F.col("vector").alias("q"), F.pmod(F.xxhash64("asker"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(spans - 1))).alias("slice"))
+
+        def compared(left: pa.Table, right: pa.Table) -> pa.Table:
+            out = []
+            if len(left) and len(right):
+                ids = left["id"].to_numpy()
+                everywhere = np.zeros(1, np.int64)
+                asking = [(asker, np.array(q, float), everywhere) for asker, q in zip(right["asker"].to_pylist(), right["q"].to_pylist(), strict=True)]
+                for at, x in _by_length(left["vector"].to_pylist()):
+                    out.extend(_met(np.zeros(len(at), np.int64), ids[at], x, [a for a in asking if len(a[1]) == x.shape[1]], k + 1))
+            return pa.table({"asker": pa.array([o[0] for o in out], pa.int64()), "class": pa.array([o[1] for o in out], pa.int64()), "score": pa.array([o[2] for o in out], pa.float64())})
+
+        exact = left.groupBy(F.col("block").cast("long"), F.col("slice").cast("long")).cogroup(right.groupBy(F.col("block").cast("long"), F.col("slice").cast("long"))).applyInArrow(compared, "asker long, class long, score double")
+        best = best_of(best.union(exact))
+    pairs = pairs_of(best).select("query_id", F.col("member").alias(key), "score")
     order = W.partitionBy("query_id").orderBy("score", key)
     return pairs.select("query_id", F.row_number().over(order).alias("rank"), key, "score").where(F.col("rank") <= k)
 

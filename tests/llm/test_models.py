@@ -141,6 +141,17 @@ def test_neighbours(spark):
     assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_neighbours_of_far_vectors(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, (v / np.linalg.norm(v)).tolist()) for i, v in enumerate(rng.standard_normal((400, 16)))]
+    rows += [(400 + i, (np.array(rows[i][1]) * 100).tolist()) for i in range(3)] + [(500, [1.0, 2.0]), (501, [3.0, 4.0]), (502, [5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, df.where("vec_id >= 400"), part_rows=150).collect()
+    same = lambda q: [r for r in rows if len(r[1]) == len(q[1])]
+    want = {(a, i) for q in rows[400:] for a, _, i in exact(same(q), [q], 10)}
+    assert {(r.query_id, r.vec_id) for r in got} == want and len(got) == 32
+
+
 def test_quality(spark):
     rng = random.Random(5)
     good = lambda: ". ".join(" ".join(rng.choice(["river", "stone", "the", "a", "walks", "softly", "under"]) for _ in range(9)) for _ in range(8)).capitalize()
