@@ -131,9 +131,9 @@ def hashing_for(classes: DataFrame, n: int, k: int, tables: int = TABLES, probes
                     place = {key: i for i, key in reversed(list(enumerate(keys.tolist())))}
                     at = np.minimum(at, [place.get(w, probes + 1) for w in wanted[:, t].tolist()])
                 found.extend(at.tolist())
-        need = int(np.quantile(found, target, method="higher")) if found else 1
-        if need <= probes or m == 1:
-            hashing.probes = max(1, min(probes, need))
+        need = int(np.quantile(found, target, method="higher")) if found else 0
+        if need < probes or m == 1:
+            hashing.probes = min(probes, need + 1)
             return hashing
 
 

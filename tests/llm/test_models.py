@@ -152,6 +152,21 @@ def test_neighbours_of_far_vectors(spark):
     assert {(r.query_id, r.vec_id) for r in got} == want and len(got) == 32
 
 
+def test_probes_reach_the_target(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = np.repeat(rng.standard_normal((60, 16)), 5, axis=0) + rng.standard_normal((300, 16)) * 0.6
+    monkeypatch.setattr(neighbours, "SAMPLE_QUERIES", len(x))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>")
+    hashing = neighbours.hashing_for(df, len(x), 4)
+    index, met = hashing.index(x), []
+    for q in range(len(x)):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        probe = hashing.probe(x[q : q + 1])[0]
+        met += [any(index[i, t] in set(keys.tolist()) for t, keys in enumerate(probe)) for i in np.argsort(d)[:4]]
+    assert np.mean(met) >= neighbours.TARGET
+
+
 def test_quality(spark):
     rng = random.Random(5)
     good = lambda: ". ".join(" ".join(rng.choice(["river", "stone", "the", "a", "walks", "softly", "under"]) for _ in range(9)) for _ in range(8)).capitalize()
