@@ -11,8 +11,8 @@ part, no sample is drawn, and the driver receives one small row per task. Rows w
 held out.
 
 Null and empty texts have the statistics of an empty text, and a score like any other. Labels other than 0 and 1, and
-labels of unknown documents, are ignored; a document with contradicting labels counts for each. A class with fewer
-than MIN_ROWS labelled rows, or an empty table, gives the neutral model: every score is the share of label 1 (0.5 without labels).
+labels of unknown documents, are ignored; a document with contradicting labels counts for each. A class without
+labelled rows, or an empty table, gives the neutral model: every score is the share of label 1 (0.5 without labels), and every document is accepted.
 Repeated rows are scored alike.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, stored, table
 
-FOLDS, MIN_ROWS = 5, 30
+FOLDS = 5
 SHRINKAGE, TEMPERATURE, THRESHOLD = 0.05, 3.0, 0.3
 
 _LETTERS = bytes(range(65, 91)) + bytes(range(97, 123))
@@ -66,7 +66,7 @@ class Discriminant:
         counts = {c: m[0] for c, m in moments.items()}
         total = sum(counts.values())
         self.neutral = None
-        if min(counts.get(0, 0), counts.get(1, 0)) < MIN_ROWS:
+        if not (counts.get(0) and counts.get(1)):
             self.neutral = counts.get(1, 0) / total if total else 0.5
             return
         mean = sum(m[1] for m in moments.values()) / total
@@ -142,13 +142,15 @@ def classify(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     vectors = stored(documents.select(F.col(key), statistics(F.col(text)).alias("vector")), "quality")
     model = fit(vectors, labels, key, label, **options)
     out = vectors.select(key, held_out(F.col(key)).alias("held_out"), scored(documents.sparkSession, model)("vector").alias("score"))
-    return out.select("*", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+    return out.select("*", F.when((F.col("score") >= threshold) | F.lit(model.neutral is not None), 1).otherwise(0).alias("predicted"))
 
 
 def accepted(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = THRESHOLD, **options) -> DataFrame:
     """The rows of ``documents`` that the classifier accepts, with all their columns; texts are read twice rather than shuffled."""
     small_batches(documents.sparkSession)
     model = fit(documents.select(F.col(key), statistics(F.col(text)).alias("vector")), labels, key, label, **options)
+    if model.neutral is not None:
+        return documents
     return documents.where(scored(documents.sparkSession, model)(statistics(F.col(text))) >= threshold)
 
 

@@ -186,6 +186,20 @@ def test_quality(spark):
     assert quality.classify(df.limit(0), labels).count() == 0
 
 
+def test_quality_of_few_labels(spark):
+    good, bad = "The river walks softly, under a grey stone; {} birds follow it.", "BUY NOW!!! ### {} $$$ BUY"
+    docs = spark.createDataFrame([(i, (good if i % 2 else bad).format(i)) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    rows = quality.classify(docs, labels).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in rows)
+    one_class = labels.where("quality = 0")
+    assert {(r.score, r.predicted) for r in quality.classify(docs, one_class).collect()} == {(0.0, 1)}
+    assert quality.accepted(docs, one_class).count() == 60
+    moments = {c: (1.0, np.full(19, float(c)), np.full((19, 19), float(c))) for c in (0, 1)}
+    scores = quality.Discriminant(moments).scores(np.array([[0.0] * 19, [1.0] * 19]))
+    assert scores[0] < 0.5 < scores[1]
+
+
 def test_pipeline(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
