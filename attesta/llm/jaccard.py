@@ -323,8 +323,8 @@ def _near(percent: int):
 
 
 def _of_bounded(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    """Semi-join; ids are broadcast only if they are few."""
-    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, on, "left_semi")
+    """Semi-join in which null meets null; ids are broadcast only if they are few."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, df[on].eqNullSafe(ids[on]), "left_semi")
 
 
 class Join:

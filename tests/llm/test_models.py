@@ -115,6 +115,13 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_near_copies_without_key(spark):
+    words = [f"w{i}" for i in range(60)]
+    docs = [(7, " ".join(words)), (None, " ".join([*words[:-1], "other"])), (8, "something else that has no copy at all")]
+    got = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id) for r in got) == [(0, 7), (7, 7), (8, 8)]
+
+
 def exact(rows, asked, k):
     out = []
     for q, x in asked:
