@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that one Arrow batch carries to a Python worker; long texts make larger batches a memory risk.
-BATCH_ROWS = 512
+#: Rows and bytes that one Arrow batch carries to a Python worker: whichever is reached first ends it.
+BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
+#: With it, Spark deletes the shuffle files of a statement when the statement ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the memory of Python workers: batches have at most so many rows."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    """Bound the memory of Python workers: lowers the session's bounds on a batch, never raises them. They hold when a plan is
+    run, which is after an operator returns; so they stay lowered."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(name).removesuffix("b")
+        if now.lstrip("-").isdigit() and not 0 < int(now) <= most:
+            spark.conf.set(name, most)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,18 +43,51 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it again: cuts the lineage, and outlives any
-    executor. The files go when the driver's JVM ends."""
+def _path(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of stored tables that nothing will read again."""
+    for df in frames:
+        at, files = _path(df.sparkSession, df._stored_at)
+        files.delete(at, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside go at the end, but for those stored as ``outer``: these belong to the scope around, if there is one."""
+    token = _scopes.set((*_scopes.get(), []))
+    try:
+        yield
+    finally:
+        held = _scopes.get()[-1]
+        _scopes.reset(token)
+        for path in held:
+            at, files = _path(spark, path)
+            files.delete(at, True)
+
+
+def stored(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it again: cuts the lineage, and outlives any executor. The
+    shuffle files behind it go at once; the table goes with its scope (see scratch), or when the driver's JVM ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    gc.collect()
-    jvm.System.gc()  # lets Spark delete the shuffle files of steps that nothing refers to any more
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    at, files = _path(spark, path)
+    files.deleteOnExit(at)
+    scopes = _scopes.get()[:-1] if outer else _scopes.get()
+    if scopes:
+        scopes[-1].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
 def text_or_empty(col: Column) -> Column:

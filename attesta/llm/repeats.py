@@ -12,12 +12,14 @@ breadth first, level by level. The first interval of level l to end at a boundar
 have l bytes in common, so that common prefixes come in increasing order. The expansion stops at LENGTH: boundaries still open
 then separate suffixes with LENGTH bytes in common. Those runs of suffixes that have two origins start repeated strings.
 
-Equal texts are one class and repeat outright; windows are dealt by anchor; the windows of an anchor with over HOT
-surroundings, which could be too many for a task, are compared by the hashes of all their strings instead, summed over the cluster.
+Equal texts are one class and repeat outright; anchors of one text with equal surroundings are told once, with the ranges they
+cover, so that periodic text makes no hot anchor; windows are dealt by anchor; the windows of an anchor with over HOT
+surroundings, which could be too many for a task, are compared by 128-bit hashes of all their strings instead, summed over the cluster.
 Texts are shuffled twice: to cut windows, and to remove what is marked.
 
-Null and empty texts have no bytes, texts shorter than LENGTH nothing to remove. Rows are judged by their text alone: equal rows alike,
-whatever their keys. Texts are told apart by 64-bit hashes.
+Null and empty texts have no bytes, texts shorter than LENGTH nothing to remove, an empty table gives an empty result. Rows are judged
+by their text alone: equal rows alike, whatever their keys, null and repeated ones included. Texts are told apart by 128-bit hashes. A text takes a worker some 40 times
+its bytes, whatever its length. Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .anchors import Grams, anchors
-from .common import small_batches, stored, table
+from .common import scratch, small_batches, stored, table
 
 LENGTH, K = 400, 200
 #: Bytes of windows in one suffix structure; surroundings of one anchor that a task compares.
@@ -157,16 +159,17 @@ def repeated(group: np.ndarray, text: np.ndarray, place: np.ndarray, lefts: list
     out = list(zip(text[held].tolist(), starts[held].tolist(), (starts[held] + whole).tolist(), strict=True))
     there = place[holder[held]] - left[held]
     out += zip(text[holder[held]].tolist(), there.tolist(), (there + whole).tolist(), strict=True)
-    found: dict[tuple[int, bytes], list[int]] = {}
+    # by content, then by place: in periodic text several anchors have windows that trim to one place
+    found: dict[tuple[int, bytes], dict[tuple[int, int], int]] = {}
     for i in np.flatnonzero(enough & (holder < 0)):
         trimmed = lefts[i][sizes[0][i] - reach[0][i] :] + grams[i] + rights[i][: reach[1][i]]
-        found.setdefault((int(group[i]), trimmed), []).append(i)
+        found.setdefault((int(group[i]), trimmed), {}).setdefault((int(text[i]), int(starts[i])), i)
     pieces, origins = [], []
-    for (_, trimmed), rows in found.items():
-        if len(rows) > 1:
-            out += [(int(text[i]), int(starts[i]), int(starts[i]) + len(trimmed)) for i in rows]
+    for (_, trimmed), places in found.items():
+        if len(places) > 1:
+            out += [(t, start, start + len(trimmed)) for t, start in places]
         pieces.append(trimmed)
-        origins.append(rows)
+        origins.append(list(places.values()))
     if not pieces:
         return out
     many = np.array([len(r) > 1 for r in origins])
@@ -194,41 +197,69 @@ def repeated(group: np.ndarray, text: np.ndarray, place: np.ndarray, lefts: list
 
 
 def _anchored(length: int, k: int):
-    """(cls, text) -> (a, c, cls, pos): anchors with hashes of their gram and of their surroundings."""
+    """(cls, text) -> (a, c, cls, pos, twin, stop): anchors with hashes of their gram and of their surroundings. Of anchors with
+    equal surroundings in one text the first stands for all, as a twin; what they all cover comes as rows with a stop."""
+    names = ["a", "c", "cls", "pos", "twin", "stop"]
 
     def run(batches):
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for batch in batches:
             out = []
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            for row, (name, raw) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True)):
                 if name in seen:  # copies in one task say the same
                     continue
                 if len(seen) > 1 << 19:
                     seen.clear()
                 seen.add(name)
+                raw = raw.as_py()
                 grams = Grams(np.frombuffer(raw, np.uint8))
                 at = anchors(grams, len(raw), k, length)
                 low, high = np.maximum(at - (length - k), 0), np.minimum(at + length, len(raw))
                 around = grams.of(low, high) ^ ((at - low).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                out.append((grams.of(at, at + k), around, np.full(len(at), name), at))
+                of = grams.of(at, at + k)
+                first, twin, spans = _twins(of, around, low, high, length)
+                n = len(first)
+                out.append((of[first], around[first], np.full(n, row), at[first], twin, np.full(n, -1)))
+                if len(spans):
+                    same, zero = np.full(len(spans), row), np.zeros(len(spans), np.uint64)
+                    out.append((spans[:, 0].astype(np.uint64) + of[0], zero, same, spans[:, 0], zero.astype(bool), spans[:, 1]))
             if out:
-                a, c, cls, pos = (np.concatenate([o[i] for o in out]) for i in range(4))
-                yield pa.record_batch([pa.array(a.view(np.int64)), pa.array(c.view(np.int64)), pa.array(cls), pa.array(pos.astype(np.int32))], ["a", "c", "cls", "pos"])
+                a, c, rows, pos, twin, stop = (np.concatenate([o[i] for o in out]) for i in range(6))
+                cols = [pa.array(a.view(np.int64)), pa.array(c.view(np.int64)), batch.column(0).take(pa.array(rows)), pa.array(pos.astype(np.int32)), pa.array(twin), pa.array(stop.astype(np.int32))]
+                yield pa.record_batch(cols, names)
 
     return run
 
 
+def _twins(a: np.ndarray, c: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a text's anchors the first of each (a, c); whether there are more of it; and the ranges that those with more cover."""
+    order = np.lexsort((np.arange(len(a)), c, a))
+    new = np.ones(len(a), bool)
+    new[1:] = (a[order][1:] != a[order][:-1]) | (c[order][1:] != c[order][:-1])
+    starts = np.flatnonzero(new)
+    size = np.diff(np.concatenate((starts, [len(a)])))
+    many = np.sort(order[np.repeat(size > 1, size)])
+    many = many[high[many] - low[many] >= length]
+    if len(many):
+        cut = np.concatenate(([True], low[many][1:] > high[many][:-1]))  # both ends rise with the place
+        spans = np.stack((low[many][cut], high[many][np.concatenate((cut[1:], [True]))]), 1)
+    else:
+        spans = np.zeros((0, 2), np.int64)
+    return order[starts], size > 1, spans
+
+
 def _windows(length: int, k: int):
     """(cls, text, places) -> (a, hot, cls, pos, left, gram, right)"""
 
     def run(batches):
         for batch in batches:
             rows = []
-            for name, raw, places in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                for p in places:
+            for name, raw, places in zip(batch.column(0), batch.column(1).cast(pa.binary()), batch.column(2), strict=True):
+                name, raw = name.as_py(), raw.as_py()
+                for p in places.as_py():
                     at = p["pos"]
                     rows.append((p["a"], p["hot"], name, at, raw[max(0, at - (length - k)) : at], raw[at : at + k], raw[at + k : at + length]))
-            kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             names = ["a", "hot", "cls", "pos", "left", "gram", "right"]
             for start in range(0, len(rows), 4096):
                 part = rows[start : start + 4096]
@@ -243,8 +274,11 @@ def _marks(length: int, batch_bytes: int):
     def told(parts):
         cols = [pa.chunked_array([p.column(i) for p in parts]) for i in range(6)]
         group = np.unique(cols[0].to_numpy(), return_inverse=True)[1]
-        found = repeated(group, cols[1].to_numpy(), cols[2].to_numpy().astype(np.int64), *[c.to_pylist() for c in cols[3:]], length)
-        return pa.record_batch([pa.array([f[i] for f in found], pa.int64()) for i in range(3)], ["cls", "start", "stop"])
+        texts = cols[1].combine_chunks().dictionary_encode()
+        found = repeated(group, texts.indices.to_numpy().astype(np.int64), cols[2].to_numpy().astype(np.int64), *[c.to_pylist() for c in cols[3:]], length)
+        found = sorted(set(found))
+        cls, start, stop = (pa.array([f[i] for f in found], pa.int64()) for i in range(3))
+        return pa.record_batch([texts.dictionary.take(cls), start, stop], ["cls", "start", "stop"])
 
     def run(batches):
         held, size = [], 0
@@ -267,29 +301,28 @@ def _marks(length: int, batch_bytes: int):
 
 
 def _strings(length: int):
-    """Windows -> (hash, cls, start) of all their strings of ``length`` bytes."""
+    """Windows -> (128-bit hash, cls, start) of all their strings of ``length`` bytes."""
 
     def run(batches):
         for batch in batches:
             for cls, pos, left, gram, right in zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True):
-                raw = np.frombuffer(left + gram + right, np.uint8)
-                if len(raw) >= length:
-                    h = Grams(raw).all(length).view(np.int64)
-                    yield pa.record_batch([pa.array(h), pa.array(np.full(len(h), cls)), pa.array(pos - len(left) + np.arange(len(h)))], ["h", "cls", "start"])
+                raw = left + gram + right
+                h = [hashlib.blake2b(raw[i : i + length], digest_size=16).digest() for i in range(len(raw) - length + 1)]
+                if h:
+                    yield pa.record_batch([pa.array(h, pa.binary()), pa.array([cls] * len(h), pa.binary()), pa.array(pos - len(left) + np.arange(len(h)))], ["h", "cls", "start"])
 
     return run
 
 
-def _removed(length: int, k: int):
-    """A UDF: (text, anchors that repeat outright, marks) -> what is removed and what is kept."""
+def _removed(length: int):
+    """A UDF: (text, marks) -> what is removed and what is kept."""
 
-    def run(texts: pa.Array, outright: pa.Array, marks: pa.Array) -> pa.Array:
+    def run(texts: pa.Array, marks: pa.Array) -> pa.Array:
         rows = []
-        for raw, places, spans in zip(texts.cast(pa.binary()), outright, marks, strict=True):
+        for raw, spans in zip(texts.cast(pa.binary()), marks, strict=True):
             raw = raw.as_py() or b""
             n = len(raw)
             ranges = [(s["start"], min(s["stop"], n)) for s in spans.as_py() or ()]
-            ranges += [(max(p - (length - k), 0), min(p + length, n)) for p in places.as_py() or ()]
             kept, spans_, removed, at = hashlib.sha256(), [], 0, 0
             for a, b in sorted(r for r in ranges if r[1] - r[0] >= length):
                 if spans_ and a <= spans_[-1][1]:
@@ -309,33 +342,36 @@ def _removed(length: int, k: int):
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, k: int = K, hot: int = HOT, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256, spans) for each row; spans are byte ranges that go."""
-    small_batches(df.sparkSession)
-    docs = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("cls"), F.col(text).alias("text"))
+    spark = df.sparkSession
+    small_batches(spark)
+    docs = df.select(F.col(key).alias("key"), F.unhex(F.md5(F.col(text).cast("binary"))).alias("cls"), F.col(text).alias("text"))
     long = docs.where(F.octet_length("text") >= length)
-    copies = long.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("rep"))
-    rows = long.select("cls", "text").mapInArrow(_anchored(length, k), "a long, c long, cls long, pos int")
-    same, of = W.partitionBy("a", "c"), W.partitionBy("a")
-    rows = rows.distinct().repartition("a")  # copies in several tasks
-    rows = rows.select("*", F.count(F.lit(1)).over(same).alias("twins"), F.row_number().over(same.orderBy("cls", "pos")).alias("nth"))
-    rows = rows.select("*", F.count(F.lit(1)).over(of).alias("all"), F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(of).alias("kinds")).where("all > 1")
-    shared = stored(rows.select("a", "cls", "pos", (F.col("twins") > 1).alias("outright"), ((F.col("nth") == 1) & (F.col("kinds") > 1)).alias("asked"), (F.col("kinds") > hot).alias("hot")), "anchors")
-    asked = shared.where("asked").groupBy("cls").agg(F.collect_list(F.struct("a", "pos", "hot")).alias("places")).join(copies.select("cls", "rep"), "cls")
-    cut = long.join(asked, (long["cls"] == asked["cls"]) & long["key"].eqNullSafe(asked["rep"])).select(long["cls"], "text", "places")
-    windows = cut.mapInArrow(_windows(length, k), "a long, hot boolean, cls long, pos int, left binary, gram binary, right binary")
-    any_hot = bool(shared.where("hot").limit(1).count())
-    windows = stored(windows, "windows") if any_hot else windows
-    usual = windows.where("not hot") if any_hot else windows
-    marks = usual.select("a", "cls", "pos", "left", "gram", "right").repartition("a").sortWithinPartitions("a").mapInArrow(_marks(length, batch_bytes), "cls long, start long, stop long")
-    if any_hot:
-        strings = stored(windows.where("hot").select("cls", "pos", "left", "gram", "right").mapInArrow(_strings(length), "h long, cls long, start long").distinct(), "strings")
-        often = strings.groupBy("h").count().where("count > 1").select("h")
-        marks = marks.union(strings.join(often, "h").select("cls", "start", (F.col("start") + length).alias("stop")))
-    marks = marks.union(copies.where("n > 1").select("cls", F.lit(0).cast("long"), F.lit(1 << 40)))
-    marks = stored(marks, "marks")
-    spans = marks.distinct().groupBy("cls").agg(F.collect_list(F.struct("start", "stop")).alias("marks"))
-    places = shared.where("outright").groupBy("cls").agg(F.collect_list("pos").alias("outright"))
-    told = docs.join(spans.join(places, "cls", "full_outer"), "cls", "left")
-    return told.select(F.col("key").alias(key), _removed(length, k)("text", "outright", "marks").alias("r")).select(key, "r.*")
+    with scratch(spark):
+        copies = stored(long.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("rep")), "copies")
+        rows = long.select("cls", "text").mapInArrow(_anchored(length, k), "a long, c long, cls binary, pos int, twin boolean, stop int")
+        same, of = W.partitionBy("a", "c"), W.partitionBy("a")
+        rows = rows.repartition("a").distinct()  # copies in several tasks; the one exchange serves the windows too
+        rows = rows.select("*", (F.count(F.lit(1)).over(same) > 1).alias("twins"), F.row_number().over(same.orderBy("cls", "pos")).alias("nth"))
+        rows = rows.select("*", F.sum(F.when((F.col("nth") == 1) & (F.col("stop") < 0), 1).otherwise(0)).over(of).alias("kinds"))
+        rows = rows.select("a", "cls", "pos", "stop", ((F.col("stop") < 0) & F.col("twins")).alias("outright"), ((F.col("stop") < 0) & (F.col("nth") == 1) & (F.col("kinds") > 1)).alias("asked"), (F.col("kinds") > hot).alias("hot"))
+        shared = stored(rows.where("stop >= 0 or outright or asked"), "anchors")
+        asked = shared.where("asked").groupBy("cls").agg(F.collect_list(F.struct("a", "pos", "hot")).alias("places")).join(copies.select("cls", "rep"), "cls")
+        cut = long.join(asked, (long["cls"] == asked["cls"]) & long["key"].eqNullSafe(asked["rep"])).select(long["cls"], "text", "places")
+        windows = cut.mapInArrow(_windows(length, k), "a long, hot boolean, cls binary, pos int, left binary, gram binary, right binary")
+        any_hot = bool(shared.where("hot").limit(1).count())
+        windows = stored(windows, "windows") if any_hot else windows
+        usual = windows.where("not hot") if any_hot else windows
+        marks = usual.select("a", "cls", "pos", "left", "gram", "right").repartition("a").sortWithinPartitions("a").mapInArrow(_marks(length, batch_bytes), "cls binary, start long, stop long")
+        if any_hot:
+            strings = stored(windows.where("hot").select("cls", "pos", "left", "gram", "right").mapInArrow(_strings(length), "h binary, cls binary, start long").distinct(), "strings")
+            often = strings.groupBy("h").count().where("count > 1").select("h")
+            marks = marks.union(strings.join(often, "h").select("cls", "start", (F.col("start") + length).alias("stop")))
+        marks = marks.union(copies.where("n > 1").select("cls", F.lit(0).cast("long"), F.lit(1 << 40)))
+        marks = marks.union(shared.where("stop >= 0").select("cls", F.col("pos").cast("long"), F.col("stop").cast("long")))
+        marks = marks.union(shared.where("outright").select("cls", F.greatest(F.col("pos") - (length - k), F.lit(0)).cast("long"), (F.col("pos") + length).cast("long")))
+        spans = stored(marks.groupBy("cls").agg(F.collect_set(F.struct("start", "stop")).alias("marks")), "marks", outer=True)
+    told = docs.join(spans, "cls", "left")
+    return told.select(F.col("key").alias(key), _removed(length)("text", "marks").alias("r")).select(key, "r.*")
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,3 +87,28 @@ def test_copies_select_the_same_anchors():
 
 def test_empty_table(spark):
     assert repeats.without_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("texts", [
+    ["xy" * 9 + "Q", "prefix " + "xy" * 9 + "R"], ["abcd" * 7 + "e" + "abcd" * 7], ["ab" * 25, "ab" * 25 + "c"], ["a" * 19, "a" * 20, "a" * 21],
+    ["--" * 12 + "q" + "-" * 14, "z" + "-" * 13], ["x" * 30 + "y" * 30 + "x" * 25], ["=" * 24 + "title" + "=" * 24 + "body" + "=" * 18],
+])
+@pytest.mark.parametrize("k", [7, 10])
+def test_periodic_texts(spark, texts, k):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = repeats.without_repeats(df, length=20, k=k).orderBy("doc_id").collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == brute([t.encode() for t in texts], 20)
+
+
+def test_production_length_with_periodic_and_long_texts(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    shared = prose(90)
+    texts = [prose(60) + "-" * rng.randrange(200, 700) + prose(40) for _ in range(12)]
+    texts += [prose(30) + "ab| " * rng.randrange(40, 160) + prose(30) for _ in range(12)]
+    texts += [prose(5) + shared[rng.randrange(40) :] + prose(9) for _ in range(5)] + [prose(30_000) + shared]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, shared), (None, shared)], "doc_id long, text string")
+    got = repeats.without_repeats(df).collect()
+    want = brute([t.encode() for t in [*texts, shared, shared]], repeats.LENGTH)
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
