@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, scratch, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -20,12 +20,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for all nodes of ``edges`` (u, v: long); the root is the least node of the component."""
-    now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    last = None
-    while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == last or not mark[0]:
-            break
-        last = mark
-        now = stored(_star(_star(now, True), False), "edges")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
+    with scratch(edges.sparkSession):
+        now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        last = None
+        while True:
+            mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if mark == last or not mark[0]:
+                break
+            last, old = mark, now
+            now = stored(_star(_star(old, True), False), "edges")
+            discard(old)
+        roots = now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")))
+        return stored(roots.groupBy("node").agg(F.min("root").alias("root")), "roots", outer=True)

@@ -7,19 +7,21 @@ coordinates' minima, for two vectors or for a vector and the upper corner of an
 The trees are local to blocks, so that the join is dealt over the cluster without loss. |A| shingles hold at most |A| // 4 that a partner lacks, so
 linked classes share one of each other's first |A| // 4 + 1 shingles in any common order; a block is the classes that have one
 shingle among their first. In the order, frequent shingles come last. They are found by counting within windows of
-the scan; since they only order, what that count misses costs time, not links. Blocks over SLICE classes are cut in slices and
-dealt as pairs of slices.
+the scan; since they only order, what that count misses costs time, not links. Blocks over SLICE classes are cut in slices.
 
 In a block, classes are packed into an R-tree by size (a block of up to LEAF classes is one leaf); the size bound and the overlap
 bound of GROUPS coordinates give surviving pairs. Those are bounded again by finer vectors, of about half as many groups as
-shingles, and the survivors verified on the whole sets. A few star rounds come first: in each block, in an order drawn anew, each class
-meets the one with the largest bound among its LEAF neighbours, so that groups of near copies become few components in
-linear time. Then all pairs are searched that the bounds allow and that lie in different components: those are all pairs that can
-still change the result. Components come from star contraction.
-
-Null and empty texts, and texts
-of white space, have no shingles and stay alone (also if equal). Repeated rows are equal sets; rows with one key and several texts
-count each text. Keys are integers; a null key is no one's representative unless alone.
+shingles, and the survivors verified on the whole sets. A star round comes first: in each block, in a drawn order, each class
+meets the one with the largest bound among its LEAF neighbours, and of all its blocks the best pair is verified, so that groups of near
+copies become few components in linear time. Then all blocks are searched for pairs that the bounds allow and that lie in different components: only
+those can still change the result. Of two components one link is enough, so that a search verifies the few pairs of them with the
+largest bounds, contracts, and as long as two components have pairs left, searches again for eight times as many. The last search leaves none out.
+In a block of several slices the classes of its most common component lie in one slice each, all others in all. Components come from star contraction.
+
+Null and empty texts, and texts of white space, have no shingles and stay alone (also if equal). Repeated rows are equal sets; rows with
+one key and several texts count each text. Keys are integers; a null key is no one's representative unless alone. Sets are told apart
+by 128 bits. A text takes a worker some 60 times its bytes, whatever its length. An empty table gives an empty result. Other columns are not read, so
+their names cannot clash.
 """
 
 from __future__ import annotations
@@ -29,17 +31,20 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored, table
+from .common import discard, scratch, small_batches, stored, table
 from .components import components
 from .shingles import mixed, shingle_sets
 
 WORDS, PERCENT, GROUPS = 5, 75, 64
 #: Shingles counted together; the count in such a window, and in all, that makes a shingle frequent; so many are broadcast at most.
 WINDOW, OFTEN, FREQUENT, ORDERED = 2_000_000, 2, 8, 500_000
-#: Classes in a slice of a block; ids broadcast at most; fan-out of a tree; classes in a leaf; star rounds.
-SLICE, BROADCAST_IDS, FAN, LEAF, STARS = 20_000, 500_000, 16, 64, 3
+#: Classes in a slice of a block; ids broadcast at most; fan-out of a tree; classes in a leaf; parts of a frequent shingle.
+SLICE, BROADCAST_IDS, FAN, LEAF, SALTS = 20_000, 500_000, 16, 64, 64
+#: Pairs of two components that the first search tells; what _blocks tells.
+TOLD_FIRST, TOLD = 2, "u long, v long, ru long, rv long, score float, cut boolean, token long"
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
@@ -66,9 +71,17 @@ def fine_bound(a: bytes, b: bytes) -> int:
     return int(np.minimum(x.reshape(-1, size).sum(0), y.reshape(-1, size).sum(0)).sum())
 
 
-def class_of(shingles: np.ndarray) -> int:
-    total, other = shingles.sum(dtype=np.uint64, keepdims=True), np.bitwise_xor.reduce(mixed(shingles + np.uint64(len(shingles))), keepdims=True)
-    return int(mixed(total * np.uint64(3) + other).view(np.int64)[0])
+def class_of(shingles: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit hashes of a set: its id, and the one that tells sets with clashing ids apart."""
+    n, other = np.uint64(len(shingles)), np.bitwise_xor.reduce(mixed(shingles + np.uint64(len(shingles))), keepdims=True)
+    total = shingles.sum(dtype=np.uint64, keepdims=True)
+    squares = (mixed(shingles ^ np.uint64(0xA0761D6478BD642F)) * (shingles | np.uint64(1))).sum(dtype=np.uint64, keepdims=True)
+    return tuple(int(mixed(h).view(np.int64)[0]) for h in (total * np.uint64(3) + other, squares + n))
+
+
+def named(shingles: np.ndarray, clashing: frozenset[int]) -> int:
+    name, other = class_of(shingles)
+    return name ^ other if name in clashing else name
 
 
 class CountTree:
@@ -108,7 +121,7 @@ def allowed(x: np.ndarray, n: np.ndarray, y: np.ndarray, m: np.ndarray, percent:
     return (100 * least >= percent * most) & ((100 + percent) * np.minimum(bound, least) >= percent * (n + m))
 
 
-def leaf_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray | None, sides: np.ndarray | None, percent: int, reach: int = LEAF) -> np.ndarray:
+def leaf_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray | None, percent: int, reach: int = LEAF) -> np.ndarray:
     """(i, j), i < j <= i + reach, of rows that the bounds allow, over many blocks at once; starts: where each block starts, and the end."""
     left = np.repeat(starts[1:], np.diff(starts)) - np.arange(len(sizes)) - 1  # rows after this one in its block
     out = [np.zeros((0, 2), np.int64)]
@@ -118,52 +131,74 @@ def leaf_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots
         fits = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
         if roots is not None:
             fits &= roots[i] != roots[j]
-        if sides is not None:
-            fits &= sides[i] != sides[j]
         i, j = i[fits], j[fits]
         fits = allowed(vectors[i], sizes[i], vectors[j], sizes[j], percent)
         out.append(np.stack((i[fits], j[fits]), 1))
     return np.concatenate(out)
 
 
-def star_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray | None = None, percent: int = PERCENT) -> np.ndarray:
+def scores(pairs: np.ndarray, sizes: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """The overlap bound of each pair, for its sizes."""
+    i, j = pairs[:, 0], pairs[:, 1]
+    return np.minimum(vectors[i], vectors[j]).sum(1, dtype=np.int64) / (sizes[i] + sizes[j])
+
+
+def star_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """For each row the pair with the largest bound for its size, among its neighbours in its block."""
-    found = leaf_pairs(starts, sizes, vectors, roots, None, percent)
+    found = leaf_pairs(starts, sizes, vectors, None, percent)
     if not len(found):
         return found
-    score = np.minimum(vectors[found[:, 0]], vectors[found[:, 1]]).sum(1, dtype=np.int64) / (sizes[found[:, 0]] + sizes[found[:, 1]])
+    score = scores(found, sizes, vectors)
     row, pair = np.concatenate((found[:, 0], found[:, 1])), np.tile(np.arange(len(found)), 2)
     order = np.lexsort((-score[pair], row))
     first = np.concatenate(([True], row[order][1:] != row[order][:-1]))
     return found[np.unique(pair[order][first])]
 
 
-def tree_pairs(sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, sides: np.ndarray | None, percent: int) -> np.ndarray:
-    """All (i, j) of different roots (and sides) that the bounds allow: those of the most common root are only searched, not searching."""
-    names, inverse, counts = np.unique(roots, return_inverse=True, return_counts=True)
-    out = [np.zeros((0, 2), np.int64)]
-    if len(names) > 1:
+def best_of_roots(pairs: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs between two roots the ``most`` with the largest bounds; and whether those two roots have others."""
+    a, b = roots[pairs[:, 0]], roots[pairs[:, 1]]
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((-scores(pairs, sizes, vectors), b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    starts = np.flatnonzero(new)
+    size = np.diff(np.concatenate((starts, [len(a)])))
+    keep = np.arange(len(a)) - np.repeat(starts, size) < most
+    return pairs[order[keep]], np.repeat(size > most, size)[keep]
+
+
+def tree_pairs(sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, percent: int, most: int = 1 << 40) -> tuple[np.ndarray, bool]:
+    """(i, j) of different roots that the bounds allow, up to ``most`` for two roots and searching row; whether there are more.
+    Rows of the most common root are only searched, not searching."""
+    _, inverse, counts = np.unique(roots, return_inverse=True, return_counts=True)
+    out, cut = [np.zeros((0, 2), np.int64)], False
+    if len(counts) > 1:
         tree = CountTree(sizes, vectors, percent)
         for i in np.flatnonzero(inverse != counts.argmax()):
             found = tree.search(sizes[i], vectors[i])
             found = found[roots[found] != roots[i]]
-            if sides is not None:
-                found = found[sides[found] != sides[i]]
-            out.append(np.stack((found, np.full(len(found), i)), 1))
-    return np.concatenate(out)
+            pairs = np.stack((found, np.full(len(found), i)), 1)
+            if len(pairs) > most:
+                pairs, more = best_of_roots(pairs, sizes, vectors, roots, most)
+                cut |= bool(more.any())
+            out.append(pairs)
+    return np.concatenate(out), cut
 
 
-def block_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, sides: np.ndarray | None = None, percent: int = PERCENT, leaf: int = LEAF) -> np.ndarray:
-    """All pairs of rows of different roots in a block that the bounds allow. sides: which of two slices a row is of; pairs then
-    lie across."""
+def block_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, percent: int = PERCENT, leaf: int = LEAF, most: int = 1 << 40) -> tuple[np.ndarray, bool]:
+    """The pairs of rows of different roots in a block that the bounds allow, limited as in tree_pairs in blocks larger than a leaf."""
     size = np.diff(starts)
     at = np.flatnonzero(np.repeat(size <= leaf, size))
     cuts = np.concatenate(([0], np.cumsum(size[size <= leaf])))
-    out = [at[leaf_pairs(cuts, sizes[at], vectors[at], roots[at], None if sides is None else sides[at], percent, leaf)]]
+    out, cut = [at[leaf_pairs(cuts, sizes[at], vectors[at], roots[at], percent, leaf)]], False
     for b in np.flatnonzero(size > leaf):
         a, z = starts[b], starts[b + 1]
-        out.append(tree_pairs(sizes[a:z], vectors[a:z], roots[a:z], None if sides is None else sides[a:z], percent) + a)
-    return np.concatenate(out)
+        found, more = tree_pairs(sizes[a:z], vectors[a:z], roots[a:z], percent, most)
+        out.append(found + a)
+        cut |= more
+    return np.concatenate(out), cut
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -171,7 +206,7 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def _profiles(words: int):
-    names = ["key", "n", "id", "vector", "fine"]
+    names = ["key", "n", "id", "alt", "vector", "fine"]
 
     def run(batches):
         waiting, size = [], 0
@@ -180,7 +215,7 @@ def _profiles(words: int):
             tokens, counts = np.unique(np.concatenate(waiting), return_counts=True)
             tokens, counts = tokens[counts >= OFTEN], counts[counts >= OFTEN]
             n = len(tokens)
-            return pa.record_batch([pa.nulls(n, pa.int64()), pa.array(counts, pa.int32()), pa.array(tokens.view(np.int64)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names)
+            return pa.record_batch([pa.nulls(n, pa.int64()), pa.array(counts, pa.int32()), pa.array(tokens.view(np.int64)), *[pa.nulls(n, kind) for kind in (pa.int64(), pa.binary(), pa.binary())]], names)
 
         for batch in batches:
             n, ids, vectors = [], [], []
@@ -193,115 +228,115 @@ def _profiles(words: int):
                 if size >= WINDOW:
                     yield often()
                     waiting, size = [], 0
-            yield pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(n, pa.int32()), pa.array(ids, pa.int64()), *[pa.array([v[i] for v in vectors], pa.binary()) for i in (0, 1)]], names)
+            yield pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(n, pa.int32()), *[pa.array([x[i] for x in ids], pa.int64()) for i in (0, 1)], *[pa.array([v[i] for v in vectors], pa.binary()) for i in (0, 1)]], names)
         if size:
             yield often()
 
     return run
 
 
-def _prefixes(words: int, percent: int, frequent):
+def _prefixes(words: int, percent: int, frequent, clashing: frozenset[int]):
+    """Texts -> (token, salt, id) of their prefixes; frequent tokens are salted, by id, with 1 to SALTS; others have salt 0."""
+
     def run(batches):
         last, seen = frequent.value, set()
         for batch in batches:
-            tokens, ids, sizes = [], [], []
+            tokens, salts, ids, sizes = [], [], [], []
             for s in shingle_sets(_texts(batch.column(0)), words):
-                name = class_of(s)
+                name = named(s, clashing)
                 if not len(s) or name in seen:  # copies in one task say the same
                     continue
                 if len(seen) >= 1 << 19:
                     seen.clear()
                 seen.add(name)
                 k = prefix_size(len(s), percent)
+                common = np.zeros(len(s), bool)
                 if len(last):
-                    at = np.searchsorted(last, s)
-                    common = last[np.minimum(at, len(last) - 1)] == s
-                    s = np.concatenate((s[~common][:k], s[common][: max(0, k - int((~common).sum()))]))
-                s = s[:k]
-                tokens.append(s)
+                    common = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
+                order = np.argsort(common, kind="stable")[:k]
+                tokens.append(s[order])
+                salts.append(common[order] * (1 + name % SALTS))
                 ids.append(name)
-                sizes.append(len(s))
+                sizes.append(len(order))
             if tokens:
-                yield pa.record_batch([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(ids, np.int64), sizes))], ["token", "id"])
+                yield pa.record_batch([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(salts).astype(np.int32)), pa.array(np.repeat(np.array(ids, np.int64), sizes))], ["token", "salt", "id"])
 
     return run
 
 
 def _shared(batches):
-    """Of rows sorted by (token, id), those whose token has several ids, once each."""
-    held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """Of rows sorted by (token, salt, id), those whose token has several ids or is salted, once each."""
+    held = tuple(np.zeros(0, np.int64) for _ in range(3))
     told = False  # the held row was given out
     for batch in batches:
-        token, name = (np.concatenate((h, batch.column(i).to_numpy())) for i, h in enumerate(held))
+        token, salt, name = (np.concatenate((h, batch.column(i).to_numpy())) for i, h in enumerate(held))
         new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (name[1:] != name[:-1])
-        token, name = token[new], name[new]
+        new[1:] = (token[1:] != token[:-1]) | (salt[1:] != salt[:-1]) | (name[1:] != name[:-1])
+        token, salt, name = token[new], salt[new], name[new]
         if not len(token):
             continue
-        same = token[1:] == token[:-1]
-        out = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        same = (token[1:] == token[:-1]) & (salt[1:] == salt[:-1])
+        out = np.concatenate((same, [False])) | np.concatenate(([False], same)) | (salt > 0)
         given = out.copy()
         if told:
             given[0] = False
         told = bool(out[-1]) or (told and len(token) == 1)
-        held = token[-1:], name[-1:]
+        held = token[-1:], salt[-1:], name[-1:]
         if given.any():
             yield pa.record_batch([pa.array(token[given]), pa.array(name[given])], ["token", "id"])
 
 
-def _blocks(percent: int, star: bool, rows: int = 1 << 16):
-    """Rows sorted by (token, s, t, draw): (u, v, token) of whole blocks. In a star round, large blocks also tell their token."""
+def _blocks(percent: int, most: int | None, rows: int = 1 << 16):
+    """Rows sorted by (token, s, draw): pairs of whole blocks, as (u, v, ru, rv, score, cut, token), and the tokens that have to be
+    looked at again, as rows with u null. most: pairs told of two roots; in a star round, none."""
 
-    def pairs(held, seen):
-        token, s, t, name, size, vector, root, side = (np.concatenate([h[i] for h in held]) for i in range(8))
+    def pairs(held):
+        token, s, sliced, name, size, vector, root = (np.concatenate([h[i] for h in held]) for i in range(7))
         size = size.astype(np.int64)
-        starts = np.concatenate(([0], np.flatnonzero((token[1:] != token[:-1]) | (s[1:] != s[:-1]) | (t[1:] != t[:-1])) + 1, [len(token)]))
+        starts = np.concatenate(([0], np.flatnonzero((token[1:] != token[:-1]) | (s[1:] != s[:-1])) + 1, [len(token)]))
         matrix = np.frombuffer(b"".join(vector), np.uint8).reshape(-1, GROUPS)
-        if star:
-            found = star_pairs(starts, size, matrix, root, percent)
-            large = starts[:-1][np.diff(starts) > LEAF]
-            found = np.concatenate((found, np.stack((large, large), 1)))
+        if most is None:
+            found = star_pairs(starts, size, matrix, percent)
+            partly = starts[:-1][(np.diff(starts) > LEAF) | sliced[starts[:-1]].astype(bool)]
+            again, cut = np.unique(np.concatenate((token[found[:, 0]], token[partly]))), np.zeros(len(found), bool)
         else:
-            sides = np.where(s != t, side, np.arange(len(side)) + 2)  # within a slice all rows differ
-            found = block_pairs(starts, size, matrix, root, sides, percent)
-            found = _fresh(name, found, seen)
-        u, v = name[found[:, 0]], name[found[:, 1]]
-        return pa.record_batch([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(token[found[:, 0]])], ["u", "v", "token"])
+            found, more = block_pairs(starts, size, matrix, root, percent, LEAF, most)
+            again = np.unique(token[found[:, 0]])
+            u, v = np.sort(name[found], 1).T
+            order = np.lexsort((v, u))
+            new = np.ones(len(u), bool)
+            new[1:] = (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])
+            found, cut = best_of_roots(found[order[new]], size, matrix, root, most)
+            cut |= more
+        u, v, ru, rv = name[found[:, 0]], name[found[:, 1]], root[found[:, 0]], root[found[:, 1]]
+        n, none = len(again), lambda kind: pa.nulls(len(again), kind)
+        cols = [np.minimum(u, v), np.maximum(u, v), np.minimum(ru, rv), np.maximum(ru, rv), scores(found, size, matrix).astype(np.float32), cut]
+        kinds = [*[pa.int64()] * 4, pa.float32(), pa.bool_()]
+        told = [pa.concat_arrays([pa.array(c, kind), none(kind)]) for c, kind in zip(cols, kinds, strict=True)]
+        return pa.record_batch([*told, pa.array(np.concatenate((np.zeros(len(found), np.int64), again)), mask=np.arange(len(found) + n) < len(found))], [f.split()[0] for f in TOLD.split(", ")])
 
     def run(batches):
-        held, count, seen = [], 0, set()
+        held, count = [], 0
         for batch in batches:
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if count >= rows and len(cols[0]):
-                end = [h[-1] for h in held[-1][:3]]
-                other = (cols[0] != end[0]) | (cols[1] != end[1]) | (cols[2] != end[2])
+                end = [h[-1] for h in held[-1][:2]]
+                other = (cols[0] != end[0]) | (cols[1] != end[1])
                 cut = int(other.argmax()) if other.any() else len(other)
                 held.append([c[:cut] for c in cols])
                 cols = [c[cut:] for c in cols]
                 if len(cols[0]):
-                    yield pairs(held, seen)
+                    yield pairs(held)
                     held, count = [], 0
             if len(cols[0]):
                 held.append(cols)
                 count += len(cols[0])
         if held:
-            yield pairs(held, seen)
+            yield pairs(held)
 
     return run
 
 
-def _fresh(name: np.ndarray, found: np.ndarray, seen: set) -> np.ndarray:
-    """Without pairs that this task gave before."""
-    if len(seen) > 1 << 20:
-        seen.clear()
-    keep = []
-    for k, p in enumerate(zip(*np.sort(name[found], axis=1).T.tolist(), strict=True)):
-        if p not in seen:
-            seen.add(p)
-            keep.append(k)
-    return found[keep]
-
-
 def _bounded(percent: int):
     def run(a: pa.Array, n: pa.Array, b: pa.Array, m: pa.Array) -> pa.Array:
         each = zip(a.to_pylist(), n.to_pylist(), b.to_pylist(), m.to_pylist(), strict=True)
@@ -328,76 +363,101 @@ def _of_bounded(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
 
 
 class Join:
+    """Tables of the join of one column, stored in the scope around."""
+
     def __init__(self, df: DataFrame, key: str, text: str, words: int = WORDS, percent: int = PERCENT, slice_rows: int = SLICE):
         self.spark, self.words, self.percent, self.slice_rows = df.sparkSession, words, percent, slice_rows
         small_batches(self.spark)
         self.rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-        told = stored(self.rows.mapInArrow(_profiles(words), "key long, n int, id long, vector binary, fine binary"), "profiles")
-        self.members = told.where("vector is not null").select("key", "n", "id")
-        self.classes = told.where("vector is not null and n > 0").groupBy("id").agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("vector").alias("vector"), F.first("fine").alias("fine"))
+        told = stored(self.rows.mapInArrow(_profiles(words), "key long, n int, id long, alt long, vector binary, fine binary"), "profiles")
+        sets = told.where("vector is not null")
+        clashes = sets.groupBy("id").agg(F.min("alt").alias("a"), F.max("alt").alias("b")).where("a <> b").select("id")
+        self.clashing = frozenset(r.id for r in clashes.toLocalIterator())  # about n * n / 2 ** 65 of n sets: none, or a few
+        name = F.when(F.col("id").isin(*self.clashing), F.col("id").bitwiseXOR(F.col("alt"))).otherwise(F.col("id")) if self.clashing else F.col("id")
+        sets = sets.withColumn("id", name)
+        self.members = stored(sets.select("key", "n", "id"), "members")
+        self.classes = stored(sets.where("n > 0").groupBy("id").agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("vector").alias("vector"), F.first("fine").alias("fine")), "classes")
         frequent = told.where("vector is null").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "id").limit(ORDERED)
         last = np.sort(np.array([r.id for r in frequent.select("id").toLocalIterator()], np.int64).view(np.uint64))
-        prefixes = self.rows.select("text").mapInArrow(_prefixes(words, percent, self.spark.sparkContext.broadcast(last)), "token long, id long")
-        self.shared = stored(prefixes.repartition("token").sortWithinPartitions("token", "id").mapInArrow(_shared, "token long, id long"), "shared")
-
-    def candidates(self, rows: DataFrame, roots: DataFrame | None, draw: int | None) -> DataFrame:
-        """(u, v, token) that survive in some block of ``rows`` (token, id, n, vector); a star round if it has a number to draw by."""
+        discard(told)
+        prefixes = self.rows.select("text").mapInArrow(_prefixes(words, percent, self.spark.sparkContext.broadcast(last), self.clashing), "token long, salt int, id long")
+        self.shared = stored(prefixes.repartition("token", "salt").sortWithinPartitions("token", "salt", "id").mapInArrow(_shared, "token long, id long"), "shared")
+        self.large = stored(self.shared.groupBy("token").count().where(F.col("count") > slice_rows).select("token", F.ceil(F.col("count") / slice_rows).cast("int").alias("k")), "large")
+        self.any_large = bool(self.large.limit(1).count())
+
+    def candidates(self, rows: DataFrame, roots: DataFrame | None, most: int | None) -> DataFrame:
+        """What _blocks tells of ``rows`` (token, id, n, vector); a star round if ``most`` is none. In a sliced block, rows of its most
+        common root lie in one slice each, all others in all slices."""
         if roots is None:
             rows = rows.withColumn("root", F.col("id"))
         else:
             known = roots.select(F.col("node").alias("id"), "root")
             rows = rows.join(F.broadcast(known) if known.count() <= BROADCAST_IDS else known, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        large = rows.groupBy("token").count().where(F.col("count") > self.slice_rows).select("token", F.ceil(F.col("count") / self.slice_rows).cast("int").alias("k"))
-        rows = rows.join(large, "token", "left").withColumn("k", F.coalesce("k", F.lit(1)))
-        rows = rows.select("*", F.pmod(F.xxhash64("id"), "k").cast("int").alias("side"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
-        if draw is not None:
-            rows = rows.where("side = other")
-        rows = rows.select("token", F.least("side", "other").alias("s"), F.greatest("side", "other").alias("t"), "id", "n", "vector", "root", "side")
-        order = F.xxhash64("id", "token", F.lit(draw or 0))
-        return rows.repartition("token", "s", "t").sortWithinPartitions("token", "s", "t", order).mapInArrow(_blocks(self.percent, draw is not None), "u long, v long, token long")
+        rows = rows.select("token", F.lit(0).alias("s"), F.lit(False).alias("sliced"), "id", "n", "vector", "root")
+        if self.any_large:
+            cut = rows.join(self.large, "token")
+            own = F.pmod(F.xxhash64("id", "token"), "k").cast("int")
+            if most is None:
+                cut = cut.withColumn("s", own)
+            else:
+                common = cut.groupBy("token", "root").count().groupBy("token").agg(F.max_by("root", "count").alias("common"))
+                slices = F.when(F.col("root") == F.col("common"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("k") - 1))
+                cut = cut.join(common, "token").withColumn("s", F.explode(slices))
+            rows = rows.join(self.large, "token", "left_anti").union(cut.withColumn("sliced", F.lit(True)).select(rows.columns))
+        rows = rows.repartition("token", "s").sortWithinPartitions("token", "s", F.xxhash64("id", "token"))
+        return stored(rows.mapInArrow(_blocks(self.percent, most), TOLD), "told")
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """Those pairs that hold on the finer vectors, and then on the whole sets."""
-        fine = self.classes.select("id", "n", "fine")
-        u, v = (fine.select(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("fine").alias(f"fine_{i}")) for i in "uv")
-        pairs = stored(pairs.join(u, "u").join(v, "v").where(_bounded(self.percent)("fine_u", "n_u", "fine_v", "n_v")).select("u", "v"), "bounded")
-        ids = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
-        reps = stored(self.classes.select("id", "rep").join(ids, "id").select(F.col("rep").alias("key")).distinct(), "reps")
-        words = self.words
-
-        def sets(batches):
-            for batch in batches:
-                found = [(class_of(s), s.tobytes()) for s in shingle_sets(_texts(batch.column(0)), words)]
-                yield pa.record_batch([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())], ["id", "shingles"])
-
-        known = stored(_of_bounded(self.rows, reps, "key").select("text").mapInArrow(sets, "id long, shingles binary").join(ids, "id", "left_semi"), "sets").dropDuplicates(["id"])
-        left, right = known.select(F.col("id").alias("u"), F.col("shingles").alias("a")), known.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
-        return pairs.join(left, "u").join(right, "v").where(_near(self.percent)("a", "b")).select("u", "v")
-
-    def linked(self) -> DataFrame:
+        """Those pairs (u, v) that hold on the finer vectors, and then on the whole sets."""
+        with scratch(self.spark):
+            fine = self.classes.select("id", "n", "fine")
+            u, v = (fine.select(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("fine").alias(f"fine_{i}")) for i in "uv")
+            pairs = stored(pairs.join(u, "u").join(v, "v").where(_bounded(self.percent)("fine_u", "n_u", "fine_v", "n_v")).select("u", "v"), "bounded")
+            ids = stored(pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct(), "ids")
+            reps = stored(self.classes.select("id", "rep").join(ids, "id").select(F.col("rep").alias("key")).distinct(), "reps")
+            words, clashing = self.words, self.clashing
+
+            def sets(batches):
+                for batch in batches:
+                    found = [(named(s, clashing), s.tobytes()) for s in shingle_sets(_texts(batch.column(0)), words)]
+                    yield pa.record_batch([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())], ["id", "shingles"])
+
+            known = stored(_of_bounded(self.rows, reps, "key").select("text").mapInArrow(sets, "id long, shingles binary").join(ids, "id", "left_semi"), "sets").dropDuplicates(["id"])
+            left, right = known.select(F.col("id").alias("u"), F.col("shingles").alias("a")), known.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
+            return stored(pairs.join(left, "u").join(right, "v").where(_near(self.percent)("a", "b")).select("u", "v"), "links", outer=True)
+
+    def linked(self, most: int = TOLD_FIRST) -> DataFrame:
         """(node, root) over class ids, for classes that have links."""
-        rows, links, roots = self.shared.join(self.classes.select("id", "n", "vector"), "id"), None, None
-        for draw in range(STARS):
-            told = stored(self.candidates(rows, roots, draw), "stars")
-            new = stored(self.links(stored(told.where("u <> v").select("u", "v").distinct(), "candidates")), "links")
-            links = new if links is None else stored(links.union(new), "links")
-            roots = stored(components(links), "roots")
-            # blocks that had no pair, and were looked at whole, have none in later rounds
-            rows = stored(rows.join(told.select("token").distinct(), "token", "left_semi"), "rows")
-            if not new.limit(1).count():
-                break
-        rest = self.candidates(rows, roots, None).select("u", "v").distinct()
-        return stored(components(links.union(self.links(stored(rest, "candidates")))), "roots")
+        told = self.candidates(self.shared.join(self.classes.select("id", "n", "vector"), "id"), None, None)
+        best = told.where("u is not null").select("u", "v", "score")
+        best = best.union(best.select("v", "u", "score")).groupBy("u").agg(F.max(F.struct("score", "v")).alias("of"))
+        best = best.select(F.least("u", "of.v").alias("u"), F.greatest("u", "of.v").alias("v")).distinct()
+        roots = components(self.links(best))
+        again = told.where("u is null").select("token").distinct()
+        rows = stored(self.shared.join(again, "token", "left_semi").join(self.classes.select("id", "n", "vector"), "id"), "rows")
+        discard(told, self.shared)
+        while True:
+            told = self.candidates(rows, roots, most)
+            pairs = told.where("u is not null").groupBy("u", "v", "ru", "rv").agg(F.max("score").alias("score"), F.max("cut").alias("cut"))
+            pairs = stored(pairs.withColumn("nth", F.row_number().over(W.partitionBy("ru", "rv").orderBy(F.desc("score"), "u", "v"))), "pairs")
+            new = self.links(pairs.where(F.col("nth") <= most).select("u", "v"))
+            last, roots = roots, components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(new))
+            if not pairs.where((F.col("nth") > most) | F.col("cut")).limit(1).count():
+                return roots
+            rest = stored(rows.join(told.where("u is null").select("token").distinct(), "token", "left_semi"), "rows")
+            discard(rows, told, pairs, last, new)
+            rows, most = rest, most * 8
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """(key, n_shingles, component_id) for each row."""
-    join = Join(df, key, text, **options)
-    named = join.members.join(join.linked().select(F.col("node").alias("id"), "root"), "id", "left").select("key", "n", F.coalesce("root", "id").alias("root"))
-    alone, sets = named.where("n = 0"), named.where("n > 0")
-    least = sets.groupBy("root").agg(F.min("key").alias("component_id"))
-    out = sets.join(least, "root").select("key", "n", "component_id").union(alone.select("key", "n", F.col("key").alias("component_id")))
-    return out.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id")
+    with scratch(df.sparkSession):
+        join = Join(df, key, text, **options)
+        named = join.members.join(join.linked().select(F.col("node").alias("id"), "root"), "id", "left").select("key", "n", F.coalesce("root", "id").alias("root"))
+        alone, sets = named.where("n = 0"), named.where("n > 0")
+        least = sets.groupBy("root").agg(F.min("key").alias("component_id"))
+        out = sets.join(least, "root").select("key", "n", "component_id").union(alone.select("key", "n", F.col("key").alias("component_id")))
+        return stored(out.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id"), "near-duplicates", outer=True)
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,6 +62,43 @@ def test_jaccard(spark, slice_rows):
     assert jaccard.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("slice_rows", [1, 5])
+def test_isolated_pairs_in_slices(spark, slice_rows):
+    """Each shingle of a pair is in two documents only, so that with slices of one row the two never meet by chance."""
+    docs = []
+    for i in range(12):
+        w = [f"w{i}x{j}" for j in range(60)]
+        docs += [(2 * i, " ".join(w)), (2 * i + 1, " ".join([*w[:30], "other", *w[31:]]))]
+    got = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), slice_rows=slice_rows).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(k, k - k % 2) for k, _ in docs]
+
+
+def test_pairs_that_are_refused_first(spark, monkeypatch):
+    """With one pair told of two components at first, the one link that joins them is still found, and clashing ids are told apart."""
+    monkeypatch.setattr(jaccard.Join.linked, "__defaults__", (1,))
+    rng = random.Random(4)
+    base = [f"w{j}" for j in range(40)]
+    docs = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            w[rng.randrange(len(w))] = f"v{i}"
+        docs.append((i, " ".join(w)))
+    real = jaccard.class_of
+    few = lambda s: (real(s)[0] % 8, real(s)[1])  # noqa: E731  ids that clash; both go to the workers by value
+    monkeypatch.setattr(jaccard, "class_of", few)
+    monkeypatch.setattr(jaccard, "named", lambda s, clashing: few(s)[0] ^ few(s)[1] if few(s)[0] in clashing else few(s)[0])
+    got = sorted(tuple(r) for r in jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert got == linked(docs)
+
+
+def test_jaccard_of_a_long_text(spark):
+    words = [f"w{j * 7919 % 100_003}" for j in range(60_000)]
+    docs = [(1, " ".join(words)), (2, " ".join([*words[:-500], "end"])), (3, " ".join(words[:30_000]))]
+    got = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 1), (3, 3)]
+
+
 def test_bounds_never_refuse_a_link():
     rng = np.random.default_rng(1)
     for _ in range(200):
@@ -91,9 +128,19 @@ def test_block_pairs(leaf):
         (i, j) for a, b in itertools.pairwise(starts) for i, j in itertools.combinations(range(a, b), 2)
         if roots[i] != roots[j] and jaccard.allowed(vectors[i], sizes[i], vectors[j], sizes[j])
     }
-    assert {tuple(sorted(p)) for p in jaccard.block_pairs(starts, sizes, vectors, roots, leaf=leaf).tolist()} == want
-    star = jaccard.star_pairs(starts, sizes, vectors, roots)
-    assert {tuple(p) for p in star.tolist()} <= want and set(star.ravel().tolist()) == {i for p in want for i in p}
+    found, cut = jaccard.block_pairs(starts, sizes, vectors, roots, leaf=leaf)
+    assert {tuple(sorted(p)) for p in found.tolist()} == want and not cut
+    few, cut = jaccard.block_pairs(starts, sizes, vectors, roots, leaf=leaf, most=1)
+    assert {tuple(sorted(p)) for p in few.tolist()} <= want and cut == (len(few) < len(found))
+    best, more = jaccard.best_of_roots(found, sizes, vectors, roots, 2)
+    of_roots = lambda p: tuple(sorted((roots[p[0]], roots[p[1]])))
+    for p in {of_roots(p) for p in found}:
+        own = [q for q in found if of_roots(q) == p]
+        kept = [q for q in best if of_roots(q) == p]
+        assert len(kept) == min(2, len(own)) and all(m == (len(own) > 2) for q, m in zip(best, more, strict=True) if of_roots(q) == p)
+        assert max(jaccard.scores(np.array(own), sizes, vectors)) == max(jaccard.scores(np.array(kept), sizes, vectors))
+    star = jaccard.star_pairs(starts, sizes, vectors)
+    assert {tuple(p) for p in star.tolist()} and all(jaccard.allowed(vectors[i], sizes[i], vectors[j], sizes[j]) for i, j in star)
 
 
 def test_components(spark):
