@@ -10,12 +10,13 @@ shingle among their first. In the order, frequent shingles come last. They are f
 the scan; since they only order, what that count misses costs time, not links. Blocks over SLICE classes are cut in slices.
 
 In a block, classes are packed into an R-tree by size (a block of up to LEAF classes is one leaf); the size bound and the overlap
-bound of GROUPS coordinates give surviving pairs. Those are bounded again by finer vectors, of about half as many groups as
-shingles, and the survivors verified on the whole sets. A star round comes first: in each block, in a drawn order, each class
+bound of GROUPS coordinates give surviving pairs. Those are bounded again by finer vectors, of twice as many groups as
+shingles or more, and the survivors verified on the whole sets. A star round comes first: in each block, in a drawn order, each class
 meets the one with the largest bound among its LEAF neighbours, and of all its blocks the best pair is verified, so that groups of near
 copies become few components in linear time. Then all blocks are searched for pairs that the bounds allow and that lie in different components: only
 those can still change the result. Of two components one link is enough, so that a search verifies the few pairs of them with the
-largest bounds, contracts, and as long as two components have pairs left, searches again for eight times as many. The last search leaves none out.
+largest bounds, contracts, and as long as two components have pairs left, searches again for 16 times as many, with MIDDLE coordinates. The last search
+leaves none out.
 In a block of several slices the classes of its most common component lie in one slice each, all others in all. Components come from star contraction.
 
 Null and empty texts, and texts of white space, have no shingles and stay alone (also if equal). Repeated rows are equal sets; rows with
@@ -38,13 +39,13 @@ from .common import discard, scratch, small_batches, stored, table
 from .components import components
 from .shingles import mixed, shingle_sets
 
-WORDS, PERCENT, GROUPS = 5, 75, 64
+WORDS, PERCENT, GROUPS, MIDDLE = 5, 75, 64, 256
 #: Shingles counted together; the count in such a window, and in all, that makes a shingle frequent; so many are broadcast at most.
 WINDOW, OFTEN, FREQUENT, ORDERED = 2_000_000, 2, 8, 500_000
 #: Classes in a slice of a block; ids broadcast at most; fan-out of a tree; classes in a leaf; parts of a frequent shingle.
 SLICE, BROADCAST_IDS, FAN, LEAF, SALTS = 20_000, 500_000, 16, 64, 64
 #: Pairs of two components that the first search tells; what _blocks tells.
-TOLD_FIRST, TOLD = 2, "u long, v long, ru long, rv long, score float, cut boolean, token long"
+TOLD_FIRST, TOLD = 4, "u long, v long, ru long, rv long, score float, cut boolean, token long"
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
@@ -52,23 +53,34 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
 
 
 def fine_groups(n: int) -> int:
-    return max(GROUPS, 1 << max(0, (n - 1) // 2).bit_length())
+    return max(MIDDLE, 1 << max(0, 2 * n - 1).bit_length())
 
 
 def vectors_of(shingles: np.ndarray) -> tuple[bytes, bytes]:
-    """The vector of GROUPS coordinates, and the finer one, as bytes; 255 stands for all above."""
+    """The vector of GROUPS coordinates, a byte each, and the finer one, two coordinates in a byte; 255 and 15 stand for all above."""
     groups = fine_groups(len(shingles))
     fine = np.bincount((mixed(shingles) & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
-    return tuple(np.minimum(v, 255).astype(np.uint8).tobytes() for v in (fine.reshape(-1, GROUPS).sum(0), fine))
+    packed = np.minimum(fine, 15).astype(np.uint8).reshape(-1, 2)
+    return np.minimum(fine.reshape(-1, GROUPS).sum(0), 255).astype(np.uint8).tobytes(), (packed[:, 0] << 4 | packed[:, 1]).tobytes()
+
+
+def unpacked(fine: bytes) -> np.ndarray:
+    raw = np.frombuffer(fine, np.uint8)
+    return np.stack((raw >> 4, raw & 15), 1).ravel()
+
+
+def middle(fine: bytes) -> bytes:
+    """The vector of MIDDLE coordinates, a byte each, of a finer one."""
+    v = unpacked(fine).reshape(-1, MIDDLE)
+    return np.where((v == 15).any(0), 255, np.minimum(v.sum(0, dtype=np.int64), 255)).astype(np.uint8).tobytes()
 
 
 def fine_bound(a: bytes, b: bytes) -> int:
     """At least the overlap of two sets, from their finer vectors."""
-    x, y = (np.frombuffer(v, np.uint8).astype(np.int32) for v in (a, b))
-    if (x == 255).any() or (y == 255).any():
-        return 1 << 60
+    x, y = unpacked(a), unpacked(b)
     size = min(len(x), len(y))
-    return int(np.minimum(x.reshape(-1, size).sum(0), y.reshape(-1, size).sum(0)).sum())
+    full = ((x == 15).reshape(-1, size).any(0) & (y == 15).reshape(-1, size).any(0)).any()
+    return 1 << 60 if full else int(np.minimum(*(v.astype(np.int64).reshape(-1, size).sum(0) + (1 << 40) * (v == 15).reshape(-1, size).any(0) for v in (x, y))).sum())
 
 
 def class_of(shingles: np.ndarray) -> tuple[int, int]:
@@ -294,7 +306,7 @@ def _blocks(percent: int, most: int | None, rows: int = 1 << 16):
         token, s, sliced, name, size, vector, root = (np.concatenate([h[i] for h in held]) for i in range(7))
         size = size.astype(np.int64)
         starts = np.concatenate(([0], np.flatnonzero((token[1:] != token[:-1]) | (s[1:] != s[:-1])) + 1, [len(token)]))
-        matrix = np.frombuffer(b"".join(vector), np.uint8).reshape(-1, GROUPS)
+        matrix = np.frombuffer(b"".join(vector), np.uint8).reshape(len(token), -1)
         if most is None:
             found = star_pairs(starts, size, matrix, percent)
             partly = starts[:-1][(np.diff(starts) > LEAF) | sliced[starts[:-1]].astype(bool)]
@@ -337,6 +349,10 @@ def _blocks(percent: int, most: int | None, rows: int = 1 << 16):
     return run
 
 
+def _middle():
+    return F.arrow_udf(lambda fine: pa.array([middle(x.as_py()) for x in fine], pa.binary()), "binary")
+
+
 def _bounded(percent: int):
     def run(a: pa.Array, n: pa.Array, b: pa.Array, m: pa.Array) -> pa.Array:
         each = zip(a.to_pylist(), n.to_pylist(), b.to_pylist(), m.to_pylist(), strict=True)
@@ -436,6 +452,7 @@ class Join:
         again = told.where("u is null").select("token").distinct()
         rows = stored(self.shared.join(again, "token", "left_semi").join(self.classes.select("id", "n", "vector"), "id"), "rows")
         discard(told, self.shared)
+        sharper = False
         while True:
             told = self.candidates(rows, roots, most)
             pairs = told.where("u is not null").groupBy("u", "v", "ru", "rv").agg(F.max("score").alias("score"), F.max("cut").alias("cut"))
@@ -444,9 +461,14 @@ class Join:
             last, roots = roots, components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(new))
             if not pairs.where((F.col("nth") > most) | F.col("cut")).limit(1).count():
                 return roots
-            rest = stored(rows.join(told.where("u is null").select("token").distinct(), "token", "left_semi"), "rows")
+            again = told.where("u is null").select("token").distinct()
+            if not sharper:
+                finer = self.classes.select("id", _middle()("fine").alias("vector"))
+                rest = stored(rows.drop("vector").join(again, "token", "left_semi").join(finer, "id").select(rows.columns), "rows")
+            else:
+                rest = stored(rows.join(again, "token", "left_semi"), "rows")
             discard(rows, told, pairs, last, new)
-            rows, most = rest, most * 8
+            rows, most, sharper = rest, most * 16, True
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
