@@ -373,11 +373,6 @@ def _near(percent: int):
     return F.arrow_udf(run, "boolean")
 
 
-def _of_bounded(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    """Semi-join in which null meets null; ids are broadcast only if they are few."""
-    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, df[on].eqNullSafe(ids[on]), "left_semi")
-
-
 class Join:
     """Tables of the join of one column, stored in the scope around."""
 
@@ -424,13 +419,16 @@ class Join:
         return stored(rows.mapInArrow(_blocks(self.percent, most), TOLD), "told")
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """Those pairs (u, v) that hold on the finer vectors, and then on the whole sets."""
+        """Those pairs (u, v) that hold on the finer vectors, and then on the whole sets. Ids are broadcast only if they are few."""
+        small = lambda df: F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+        of = lambda pairs: pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
         with scratch(self.spark):
-            fine = self.classes.select("id", "n", "fine")
+            pairs = stored(pairs.select("u", "v"), "candidates")
+            fine = stored(self.classes.select("id", "n", "fine", "rep").join(small(stored(of(pairs), "ids")), "id"), "fine")
             u, v = (fine.select(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("fine").alias(f"fine_{i}")) for i in "uv")
             pairs = stored(pairs.join(u, "u").join(v, "v").where(_bounded(self.percent)("fine_u", "n_u", "fine_v", "n_v")).select("u", "v"), "bounded")
-            ids = stored(pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct(), "ids")
-            reps = stored(self.classes.select("id", "rep").join(ids, "id").select(F.col("rep").alias("key")).distinct(), "reps")
+            ids = small(stored(of(pairs), "ids"))
+            reps = stored(fine.select("id", "rep").join(ids, "id").select(F.col("rep").alias("key")).distinct(), "reps")
             words, clashing = self.words, self.clashing
 
             def sets(batches):
@@ -438,7 +436,8 @@ class Join:
                     found = [(named(s, clashing), s.tobytes()) for s in shingle_sets(_texts(batch.column(0)), words)]
                     yield pa.record_batch([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())], ["id", "shingles"])
 
-            known = stored(_of_bounded(self.rows, reps, "key").select("text").mapInArrow(sets, "id long, shingles binary").join(ids, "id", "left_semi"), "sets").dropDuplicates(["id"])
+            asked = self.rows.join(small(reps), self.rows["key"].eqNullSafe(reps["key"]), "left_semi")  # null meets null
+            known = stored(asked.select("text").mapInArrow(sets, "id long, shingles binary").join(ids, "id", "left_semi"), "sets").dropDuplicates(["id"])
             left, right = known.select(F.col("id").alias("u"), F.col("shingles").alias("a")), known.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
             return stored(pairs.join(left, "u").join(right, "v").where(_near(self.percent)("a", "b")).select("u", "v"), "links", outer=True)
 

@@ -143,7 +143,8 @@ def test_block_pairs(leaf):
     assert {tuple(p) for p in star.tolist()} and all(jaccard.allowed(vectors[i], sizes[i], vectors[j], sizes[j]) for i, j in star)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("part", [components.PART, 20])
+def test_components(spark, part):
     rng = random.Random(3)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(40)]
     root = {n: n for e in edges for n in e if e[0] != e[1]}
@@ -157,7 +158,7 @@ def test_components(spark):
         if u != v:
             a, b = sorted((find(u), find(v)))
             root[b] = a
-    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long"), part).collect()}
     assert got == {n: find(n) for n in root}
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
