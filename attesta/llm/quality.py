@@ -116,13 +116,16 @@ def fit(vectors: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
                 add = [len(own), own.sum(0), own.T @ own]
                 sums[c] = [a + b for a, b in zip(sums[c], add, strict=True)] if c in sums else add
         if sums:
-            yield pa.record_batch([pa.array([int(c) for c in sums], pa.int32()), pa.array([float(v[0]) for v in sums.values()]), pa.array([v[1] for v in sums.values()], pa.list_(pa.float64())), pa.array([v[2].ravel() for v in sums.values()], pa.list_(pa.float64()))], ["label", "n", "s", "p"])
-
-    total: dict[int, list] = {}
-    for r in rows.mapInArrow(moments, "label int, n double, s array<double>, p array<double>").toLocalIterator():
-        add = [r.n, np.array(r.s), np.array(r.p).reshape(len(FEATURES), -1)]
-        total[r.label] = [a + b for a, b in zip(total[r.label], add, strict=True)] if r.label in total else add
-    return Discriminant({c: tuple(v) for c, v in total.items()}, **options)
+            flat = np.array([np.concatenate(([v[0]], v[1], v[2].ravel())) for v in sums.values()], float)
+            each = flat.shape[1]
+            yield pa.record_batch([pa.array(np.repeat(np.array(list(sums), np.int32), each)), pa.array(np.tile(np.arange(each, dtype=np.int32), len(sums))), pa.array(flat.ravel())], ["label", "at", "value"])
+
+    size = len(FEATURES)
+    told = rows.mapInArrow(moments, "label int, at int, value double").groupBy("label", "at").agg(F.sum("value").alias("value"))
+    total: dict[int, np.ndarray] = {}
+    for r in told.collect():  # a count, sums and sums of products for two classes
+        total.setdefault(r.label, np.zeros(1 + size + size * size))[r.at] = r.value
+    return Discriminant({c: (v[0], v[1 : 1 + size], v[1 + size :].reshape(size, size)) for c, v in total.items()}, **options)
 
 
 def scored(spark: SparkSession, model: Discriminant):
