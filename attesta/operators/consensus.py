@@ -12,6 +12,7 @@ CONFIRMED, CONFLICT, UNPARSED = "confirmed", "conflict", "unparsed"
 # Markers of texts that no longer stand, and the lawful band.
 SUPERSEDED = ("Утратил силу", "Утратило силу", "Утратила силу", "внесены изменения", "Внесены изменения")
 LEAST, MOST = 0.02, 0.06
+NO_SENTENCE = "no single sentence lowers a rate — none matched, or several did"
 
 
 def values(readings: Column, field: str = "value") -> Column:
@@ -61,10 +62,10 @@ def classify(df: DataFrame, text: str = "text", kazakh_text: str = "kazakh_text"
     absent, objections = kinds(R.UNAVAILABLE), kinds(R.SUBSTANTIVE)
     detail = F.get(absent, F.lit(0))["detail"]
     reason = (
-        F.when(F.size("__superseded") > 0, F.concat(F.lit("amended or repealed: "), F.get("__superseded", F.lit(0))))
-        .when(s.isNull(), "no single sentence moves a rate")
-        .when((F.size(absent) > 0) & detail.contains("HTTPError: HTTP Error 404"), F.concat(F.lit("not published (404): "), detail))
-        .when(F.size(absent) > 0, F.concat(F.lit("could not be fetched: "), detail))
+        F.when(F.size("__superseded") > 0, F.concat(F.lit("document is amended or repealed: '"), F.get("__superseded", F.lit(0)), F.lit("'")))
+        .when(s.isNull(), NO_SENTENCE)
+        .when((F.size(absent) > 0) & detail.contains("HTTPError: HTTP Error 404"), F.concat(F.lit("kazakh returned HTTP 404 — an answer: no copy in the other language may be published. ("), detail, F.lit(")")))
+        .when(F.size(absent) > 0, F.concat(F.lit("kazakh could not be fetched — a failure of transport, no disagreement. ("), detail, F.lit(")")))
         .when(F.size(objections) > 0, F.array_join(F.transform(objections, lambda x: F.concat_ws(" objected: ", x["reader"], x["detail"])), "; "))
         .when(F.size(found) == 0, "no reader produced a rate")
         .when(F.size(found) > 1, F.concat(F.lit("readers disagree: "), F.array_join(F.sort_array(found).cast("array<string>"), ", ")))
@@ -81,3 +82,18 @@ def classify(df: DataFrame, text: str = "text", kazakh_text: str = "kazakh_text"
         F.when(~F.col("__early"), R.decision_ref(t)).alias("decision_ref"), F.when(~F.col("__early"), R.in_force(t)).alias("in_force_from"),
     )
     return out.drop("__superseded", "__year", "__kazakh", "__conflict", "__early", "__rate")
+
+
+def extract(ids: DataFrame, documents: DataFrame, failures: DataFrame, base: str = "https://adilet.zan.kz") -> DataFrame:
+    """The outcome of each asked document: ids (document_id), documents (document_id, lang, url, text, sha256) in rus and kaz, failures
+    (document_id, lang, error). A failure of the other language is an unavailable witness, never a fallback; a document without its
+    own text has the outcome null and its failure as reason."""
+    own = lambda lang, names: documents.where(F.col("lang") == lang).select("document_id", *[F.col(a).alias(b) for a, b in names.items()])
+    failed = lambda lang, name: failures.where(F.col("lang") == lang).groupBy("document_id").agg(F.min("error").alias(name))
+    told = ids.select("document_id").distinct().join(own("rus", {"url": "pdf_url", "text": "text", "sha256": "pdf_sha256"}), "document_id", "left")
+    told = told.join(own("kaz", {"url": "kazakh_pdf_url", "text": "kazakh_text", "sha256": "kazakh_pdf_sha256"}), "document_id", "left")
+    told = told.join(failed("rus", "__error"), "document_id", "left").join(failed("kaz", "kazakh_error"), "document_id", "left")
+    told = told.withColumn("source_url", F.concat(F.lit(f"{base}/rus/docs/"), F.col("document_id")))
+    lost = F.col("text").isNull()
+    out = classify(told)
+    return out.withColumn("outcome", F.when(~lost, F.col("outcome"))).withColumn("reason", F.when(lost, F.coalesce("__error", F.lit("not fetched"))).otherwise(F.col("reason"))).drop("__error", "text", "kazakh_text")

@@ -63,20 +63,47 @@ def missing_references(rows: DataFrame, key: str, known: DataFrame, known_key: s
 
 
 def overlaps(rows: DataFrame, keys: list[str], start: str = "valid_from", stop: str = "valid_to", line: str = "line", strict: bool = False) -> DataFrame:
-    """Reversed intervals, and intervals (inclusive) that overlap: with the one before in order of start, or, if strict, with
+    """Reversed intervals, and intervals (inclusive) of equal trimmed keys that overlap: with the one before in order of start, or, if strict, with
     any before (a long one can reach over its neighbour)."""
     reversed_ = rows.where(F.col(start) > F.col(stop)).select(line, F.lit("reversed").alias("rule"), F.lit("starts after its end").alias("message"))
-    w = W.partitionBy(*keys).orderBy(start, line)
+    w = W.partitionBy(*[F.trim(F.col(k).cast("string")) for k in keys]).orderBy(start, line)
     last = F.max(stop).over(w.rowsBetween(W.unboundedPreceding, -1)) if strict else F.lag(stop).over(w)
     bad = rows.where(F.col(start) <= F.col(stop)).select(line, F.col(start).alias("__start"), last.alias("__last")).where("__start <= __last")
     return reversed_.unionByName(bad.select(line, F.lit("overlap").alias("rule"), F.lit("overlaps an earlier interval").alias("message")))
 
 
-def validate(rates: DataFrame, codes: DataFrame) -> DataFrame:
-    """Every row, reference and interval violation of a rates table with a ``line`` column."""
+def validate(rates: DataFrame, codes: DataFrame, migrations: DataFrame | None = None) -> DataFrame:
+    """Every row, reference and interval violation of a rates table with a ``line`` column. codes: (kato); a retired code that
+    ``migrations`` (retired, current) lead to one of them is known too."""
+    if migrations is not None:
+        from .temporal import resolvable
+
+        codes = resolvable(codes.select(F.trim("kato").alias("code")), migrations).select(F.col("code").alias("kato"))
     return row_violations(rates).unionByName(missing_references(rates, "kato", codes)).unionByName(overlaps(rates, ["kato", "kato_version"]))
 
 
+def validate_file(spark, path: str, codes: DataFrame, migrations: DataFrame | None = None) -> DataFrame:
+    """The violations of a file; a missing file, or a header that differs, is the only one told then."""
+    from ..sources.tables import RATES, read_csv, with_lines
+
+    failure = lambda rule, say: spark.createDataFrame([(None, rule, say)], "line long, rule string, message string")
+    try:
+        head = spark.read.option("header", True).csv(path).columns
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return failure("file-missing", f"{path} is missing")
+    if head != RATES.names:
+        return failure("file-header", f"header {head}, expected {RATES.names}")
+    found = validate(with_lines(read_csv(spark, path, RATES)), codes, migrations)
+    return found.select(F.col("line").cast("long").alias("line"), "rule", "message")
+
+
+def deferred() -> list[str]:
+    """Checks that are known and not made: none; told all the same."""
+    return []
+
+
 def require(bad: DataFrame, what: str) -> None:
     """An action of its own before a write: a raise inside a projection can be optimised away."""
     rows = bad.limit(5).collect()

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,6 +16,14 @@ WANTED, UNWANTED, REPEALED = ("понижени", "ставки"), ("утрат
 DRY_ROUNDS, PAGE_SIZE, MOST_PAGES = 2, 100, 30
 LINK = r'/rus/docs/([A-Z0-9]+)"[^>]*>\s*([^<]{20,300})'
 TOTAL = r"Найдено:\s*([\d ]+)\s*документ"
+FORM = "РЕШ"
+BODIES = {
+    "151": "город Астана", "152": "Акмолинская область", "153": "Актюбинская область", "154": "Алматинская область", "155": "г. Алматы",
+    "156": "Атырауская область", "157": "Восточно-Казахстанская область", "158": "Жамбылская область", "159": "Западно-Казахстанская область",
+    "160": "Карагандинская область", "161": "Кызылординская область", "162": "Костанайская область", "163": "Мангистауская область",
+    "164": "Павлодарская область", "165": "Северо-Казахстанская область", "166": "Туркестанская область", "167": "г. Шымкент",
+    "168": "область Абай", "169": "область Ұлытау", "170": "область Жетісу",
+}
 
 
 def any_of(text: Column, words: Iterable[str]) -> Column:
@@ -50,12 +59,22 @@ def links(pages: DataFrame, key: str, html: str, pattern: str = LINK) -> DataFra
 
 
 def total_stated(html: Column) -> Column:
-    return F.coalesce(F.regexp_replace(T.found(html, TOTAL, 1), " ", "").try_cast("int"), F.lit(0))
+    text = T.squeeze(T.unescape_all(T.without_tags(html)))
+    return F.coalesce(F.regexp_replace(T.found(text, TOTAL, 1), " ", "").try_cast("int"), F.lit(0))
 
 
 def listing_url(base: str, body: str, year: int, page: int = 1) -> str:
     """The page number is left out on the first page."""
-    return f"{base}/rus/search/docs/body={body}&year={year}&pagesize={PAGE_SIZE}" + (f"&page={page}" if page > 1 else "")
+    return f"{base}/rus/search/docs/dt={year}-&kv={quote('|')}1_{body}&va={quote(FORM)}&pagesize={PAGE_SIZE}" + (f"&page={page}" if page > 1 else "")
+
+
+def search_url(base: str, phrase: str) -> str:
+    return f"{base}/rus/search/docs/{quote(phrase)}"
+
+
+def bodies(spark: SparkSession) -> DataFrame:
+    """(body, name): the issuing bodies of the listing's facet."""
+    return spark.createDataFrame(sorted(BODIES.items()), "body string, name string")
 
 
 def frontier(catalogue: Callable[[str], DataFrame], seeds: list[str], accept: Callable[[Column], Column], dry_rounds: int = DRY_ROUNDS, words: int = 12) -> dict[str, str]:
@@ -91,6 +110,24 @@ def paged(fetch: Callable[[int], tuple[list[tuple[str, str]], int]], most: int =
     return found, None
 
 
+def sweep(spark: SparkSession, years: list[int], fetch: Callable[[str, int, int], tuple[list[tuple[str, str]], int]], names: dict[str, str] = BODIES) -> tuple[DataFrame, DataFrame]:
+    """Every body and year, paged: (document_id, title, body, adopted_year, kind) with the first listing of a document kept, and the ledger
+    (body, adopted_year, reason) of listings that failed part way; no failure is taken for an empty listing."""
+    found, failures, pos = [], [], 0
+    for year in years:
+        for body, name in names.items():
+            rows, failure = paged(lambda page, body=body, year=year: fetch(body, year, page))
+            if failure is not None:
+                failures.append((body, year, failure))
+            for document, title in rows.items():
+                found.append((pos, document, title, name, year))
+                pos += 1
+    table = spark.createDataFrame(found, "pos long, document_id string, title string, body string, adopted_year int")
+    kind = title_class(F.col("title"), max(years)) if years else F.lit(None).cast("string")
+    kept = first_wins(table.withColumn("kind", kind), ["document_id"], ["pos"]).drop("pos")
+    return kept, spark.createDataFrame(failures, "body string, adopted_year int, reason string")
+
+
 def first_wins(rows: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """One row per key, the first in order."""
     return rows.withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")

@@ -87,9 +87,11 @@ def merge_batches(batches: list[DataFrame], key: str = "document_id") -> DataFra
     return out.drop("__batch")
 
 
-def fingerprint(pairs: DataFrame, key: str, value: str) -> DataFrame:
+def fingerprint(pairs: DataFrame, key: str, value: str, most: int = 1_000_000) -> DataFrame:
     """sha256 of the sorted key=value lines: independent of order and partitioning. One row by definition; for published tables, which
-    are small. ``fingerprint_large`` has one for tables of any size."""
+    are small: more than ``most`` rows are an error. ``fingerprint_large`` has one for tables of any size."""
+    if pairs.limit(most + 1).count() > most:
+        raise ConstraintError(f"over {most} rows; see fingerprint_large")
     line = F.concat_ws("=", F.col(key).cast("string"), F.col(value).cast("string"))
     return pairs.agg(F.sha2(F.array_join(F.sort_array(F.collect_list(line)), "\n"), 256).alias("fingerprint"))
 
@@ -103,3 +105,31 @@ def fingerprint_large(pairs: DataFrame, key: str, value: str) -> DataFrame:
 
 def require_verified(results: DataFrame) -> None:
     require(results.where(F.col("outcome") == CANNOT_VERIFY), "cannot verify")
+
+
+def population(confirmed: DataFrame, queued: DataFrame) -> DataFrame:
+    """(document_id): all that were ever read, sorted."""
+    return confirmed.select("document_id").union(queued.select("document_id")).distinct().orderBy("document_id")
+
+
+def ingest(results: DataFrame, parsed: DataFrame, path: str, allow_shrink: bool = False) -> str:
+    """Store the gate's results with the fingerprint of the parser rates they were held against; refused if a verdict cannot be verified or
+    stored results would go. Returns the fingerprint."""
+    from ..sources.tables import optional, swap_write
+    from .constraints import require_no_shrink
+
+    spark = results.sparkSession
+    require_verified(results)
+    old = optional(lambda: spark.read.parquet(path), spark, results.schema)
+    require_no_shrink(old, results, "document_id", allow_shrink)
+    mark = fingerprint_large(parsed, "document_id", "rate").first().fingerprint
+    swap_write(results.withColumn("parser_fingerprint", F.lit(mark)), path)
+    return mark
+
+
+def stale(stored: DataFrame, parsed: DataFrame) -> bool:
+    """Whether the stored results were held against other parser rates; results without a fingerprint are not stale."""
+    if "parser_fingerprint" not in stored.columns:
+        return False
+    marks = [r[0] for r in stored.select("parser_fingerprint").distinct().limit(2).collect() if r[0]]
+    return bool(marks) and marks != [fingerprint_large(parsed, "document_id", "rate").first().fingerprint]

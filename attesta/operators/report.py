@@ -12,8 +12,21 @@ from ..functions import text as T
 from .constraints import NULL_LIKE, ConstraintError, require
 
 FIELDS = ("kato", "kato_version", "name_ru", "name_kk", "rate", "base_rate", "valid_from", "valid_to", "decision_ref", "source_url", "kazakh_source_url", "extraction_method")
-# Refusal categories by how a reason starts.
-REFUSALS = (("amended or repealed:", "repealed"), ("no single sentence", "no-sentence"), ("regime objected:", "other-regime"), ("not published (404)", "no-kazakh-text"))
+# Refusal categories, by how a reason starts, and the one that is a whole sentence; their labels; null-like methods.
+REFUSALS = (("document is amended or repealed:", "repealed"), ("regime objected:", "other-regime"), ("kazakh returned HTTP 404", "no-kazakh-text"))
+NO_SENTENCE = "no single sentence lowers a rate — none matched, or several did"
+LABELS = {
+    "no-sentence": "Ни одно предложение решения не понижает ставку",
+    "other-regime": "Решение регулирует другой специальный налоговый режим (например, розничный налог), а не упрощёнку",
+    "repealed": "Решение утратило силу или было изменено",
+    "no-kazakh-text": "Текст решения на казахском языке не опубликован, поэтому ставку не удалось подтвердить двумя независимыми источниками",
+    "unmapped-no-district-matched": "Ставка в решении подтверждена, но район или город, к которому оно относится, определить не удалось",
+    "unmapped-jurisdiction-type-not-stated": "Ставка в решении подтверждена, но неясно, к какой из двух одноимённых территорий оно относится",
+    "other": "Иная причина, не входящая в основные категории выше",
+}
+ABOUT_ALL = "Ставки извлечены из решений маслихатов программой, по одному и тому же правилу. Прежде чем полагаться на ставку, откройте решение по ссылке рядом с ней."
+ABOUT_SOME = "Часть ставок получена методом, который здесь не описан. Смотрите extraction_method в data/rates.csv для каждой строки."
+TITLE = "Ставка налога по упрощённой декларации (упрощёнка) по районам Казахстана"
 
 
 def missing_citation(value: Column) -> Column:
@@ -52,18 +65,23 @@ def by_year(rates: DataFrame, oblasts: DataFrame, expected: int = 200) -> DataFr
 
 
 def payload(years: DataFrame, stamp: str) -> DataFrame:
-    """One row: the nested report as JSON, nulls kept."""
+    """One row: the nested report as JSON, nulls kept. What a reader downloads, hence small; by ``by_year`` a year's rates are one row."""
     body = F.map_from_entries(F.sort_array(F.collect_list(F.struct("year", F.struct("base_rate", "rates", "districts", "expected", "complete").alias("of")))))
     return years.agg(F.to_json(F.struct(F.lit(stamp).alias("generated_at"), body.alias("years")), {"ignoreNullFields": "false"}).alias("json"))
 
 
 def refusal_category(reason: Column) -> Column:
-    out = None
+    out = F.when(reason == NO_SENTENCE, "no-sentence")
     for start, name in REFUSALS:
-        out = F.when(reason.startswith(start), name) if out is None else out.when(reason.startswith(start), name)
+        out = out.when(reason.startswith(start), name)
     return out.otherwise("other")
 
 
+def refusal_label(category: Column) -> Column:
+    """The label of a category; one without is its own."""
+    return F.coalesce(T.lookup(LABELS)[category], category)
+
+
 def refused(queue: DataFrame, mapped: DataFrame) -> DataFrame:
     """(document_id, category, candidates, pos) of both refusal sources; none is dropped."""
     none = F.array().cast("array<string>")
@@ -86,9 +104,31 @@ def absent(districts: DataFrame, rates: DataFrame, refusals: DataFrame) -> DataF
     return out.select("code", "name", F.coalesce("attribution", F.array().cast("array<struct<document_id:string,category:string>>")).alias("attribution")).orderBy("code")
 
 
+def verification(rates: DataFrame) -> DataFrame:
+    """One row: how many rates there are, and how many a program extracted."""
+    return rates.agg(F.count(F.lit(1)).alias("rows"), F.count_if(T.strip(F.col("extraction_method")) == "deterministic-readers").alias("machine_extracted"))
+
+
+def provenance(rows: Column, machine: Column) -> Column:
+    """How the rates got here, counted rather than declared; nothing to say of no rates."""
+    return F.when(rows == 0, "").when(machine < rows, ABOUT_SOME).otherwise(ABOUT_ALL)
+
+
+def districts_counted(years: DataFrame) -> DataFrame:
+    """One row: distinct codes over all years, not the sum of the years' counts."""
+    return years.select(F.explode("rates").alias("r")).agg(F.count_distinct("r.kato").alias("districts"))
+
+
+def with_aliases(districts: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(code, name, resolves_to) of what can be searched: districts, and places that another one's decision covers. Names may repeat; an
+    alias has no rate of its own."""
+    own = districts.select("code", "name", F.col("code").alias("resolves_to"))
+    return own.unionByName(aliases.select(F.col("kato").alias("code"), F.col("name_ru").alias("name"), "resolves_to"))
+
+
 def artefacts(years: list[str], base_url: str) -> list[dict[str, str]]:
     files = [("rates.csv", "text/csv"), ("rates.json", "application/json"), ("datapackage.json", "application/json"), *[(f"rates-{y}.json", "application/json") for y in sorted(years)]]
-    return [{"name": n, "url": f"{base_url}/{n}", "format": f} for n, f in files]
+    return [{"name": n, "url": f"{base_url}/{n}", "href": n, "format": f, "title": n.split(".")[0]} for n, f in files]
 
 
 def page_view(years: list[str], stamp: str) -> dict[str, object]:
@@ -102,6 +142,11 @@ def description(years: list[str]) -> str:
     return "" if not years else years[0] if len(years) == 1 else f"{years[0]}, {years[-1]}"
 
 
+def title(years: list[str]) -> str:
+    """Built from the years that are there."""
+    return TITLE + (", " + " · ".join(sorted(years)) if years else "") + " · КАТО"
+
+
 def datapackage(name: str, tables: dict[str, DataFrame]) -> str:
     kinds = {"string": "string", "int": "integer", "bigint": "integer", "double": "number", "boolean": "boolean", "date": "date"}
     return json.dumps({"name": name, "profile": "tabular-data-package", "resources": [{"name": t, "path": f"{t}.csv", "schema": {"fields": [{"name": c, "type": kinds.get(k, "any")} for c, k in df.dtypes]}} for t, df in tables.items()]}, ensure_ascii=False, indent=2)
@@ -111,6 +156,55 @@ def jsonld(name: str, years: list[str], base_url: str) -> dict[str, object]:
     return {"@context": "https://schema.org", "@type": "Dataset", "name": name, "url": base_url, "temporalCoverage": f"{min(years)}-01-01/{max(years)}-12-31"}
 
 
+def website(name: str, base_url: str) -> dict[str, object]:
+    return {"@context": "https://schema.org", "@type": "WebSite", "name": name, "url": base_url, "inLanguage": ["ru", "kk"]}
+
+
+def data_uri(content: bytes | None, kind: str = "image/svg+xml") -> str:
+    """A file within a page; nothing if there is no file."""
+    import base64
+
+    return f"data:{kind};base64,{base64.b64encode(content).decode()}" if content else ""
+
+
+def head(years: list[str], base_url: str, icon: bytes | None = None) -> str:
+    """The head of the index page; all that is inserted is escaped, for text or for a script."""
+    safe = lambda value: json.dumps(value, ensure_ascii=False).replace("</", "<\\/")
+    parts = [f"<title>{html.escape(title(years))}</title>", f'<meta name="description" content="{html.escape(description(years))}">', f'<link rel="canonical" href="{html.escape(base_url)}/">']
+    if icon:
+        parts.append(f'<link rel="icon" href="{data_uri(icon)}">')
+    parts += [f'<script type="application/ld+json">{safe(x)}</script>' for x in ((jsonld(TITLE, years, base_url),) if years else ()) + (website(TITLE, base_url),)]
+    return "\n".join(parts)
+
+
+def index_page(template: str, payload_json: str, view: dict[str, object], aliases: list[list[str]], base_url: str, vendored: str = "", icon: bytes | None = None) -> str:
+    """The lookup page with its data inlined, in one pass over {{DATA}}, {{VIEW}}, {{ALIASES}}, {{SEARCH}} and {{HEAD}}."""
+    safe = lambda text: text.replace("</", "<\\/")
+    values = {"DATA": safe(payload_json), "VIEW": safe(json.dumps(view, ensure_ascii=False)), "ALIASES": safe(json.dumps(aliases, ensure_ascii=False)), "SEARCH": vendored, "HEAD": head(view["years"], base_url, icon)}
+    return rendered(template, values, vendored)
+
+
+def write_artefacts(spark, payload_json: str, folder: str, base_url: str, template: str, name: str, tables: dict[str, DataFrame], aliases: list[list[str]] = (), vendored: str = "", icon: bytes | None = None) -> list[str]:
+    """All published files from one report, which is what a reader downloads: the names written. A year's file is the report with that
+    year alone. Everything is made before anything is written."""
+    from ..sources.tables import write_text
+
+    body = json.loads(payload_json)
+    years = sorted(body["years"])
+    listed = artefacts(years, base_url)
+    files = {"index.html": index_page(template, payload_json, page_view(years, body["generated_at"]), [list(a) for a in aliases], base_url, vendored, icon)}
+    files["llms.txt"] = llms_txt(title(years), description(years), listed)
+    files["sitemap.xml"] = sitemap([f"{base_url}/", *[a["url"] for a in listed]])
+    files["robots.txt"] = robots(f"{base_url}/sitemap.xml")
+    files["datapackage.json"] = datapackage(name, tables)
+    files["rates.json"] = json.dumps(body, ensure_ascii=False, indent=2)
+    for y in years:
+        files[f"rates-{y}.json"] = json.dumps({**body, "years": {y: body["years"][y]}}, ensure_ascii=False, indent=2)
+    for file, text in files.items():
+        write_text(spark, f"{folder.rstrip('/')}/{file}", text)
+    return sorted(files)
+
+
 def sitemap(urls: list[str]) -> str:
     return '<?xml version="1.0" encoding="UTF-8"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">\n' + "".join(f"<url><loc>{html.escape(u)}</loc></url>\n" for u in dict.fromkeys(urls)) + "</urlset>\n"
 

@@ -7,15 +7,19 @@ noted below.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import unicodedata
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from .constraints import require
+
 # Tokenizer pattern, BM25+ constants, weights.
 SEPARATOR = r"[\n\r\p{Z}\p{P}]"
 K1, B, DELTA = 1.2, 0.7, 0.5
 PREFIX_WEIGHT, FUZZY_WEIGHT, DECAY, DEFAULT_FUZZY, MOST_FUZZY = 0.375, 0.45, 0.3, 0.2, 6
+LEAST_DIRT, DIRTY_SHARE = 20, 0.1
 
 
 def tokenize(text: Column) -> Column:
@@ -23,6 +27,12 @@ def tokenize(text: Column) -> Column:
     return F.split(text, SEPARATOR, -1)
 
 
+def query_terms(query: str) -> list[str]:
+    """The terms of a query: cut and lower-cased as indexed texts are, empty ones left out."""
+    cut = "".join("\n" if c in "\n\r" or unicodedata.category(c)[0] in "ZP" else c for c in query)
+    return [t.lower() for t in cut.split("\n") if t]
+
+
 @dataclass
 class Index:
     postings: DataFrame
@@ -31,10 +41,13 @@ class Index:
     stats: DataFrame
     documents: DataFrame
     fields: tuple[str, ...] = field(default_factory=tuple)
+    gone: DataFrame | None = None
 
     @staticmethod
-    def build(docs: DataFrame, key: str, fields: list[str]) -> Index:
-        """Field length: distinct raw tokens, before lower-casing; null fields are skipped."""
+    def build(docs: DataFrame, key: str, fields: list[str], stored: list[str] | None = None) -> Index:
+        """Field length: distinct raw tokens, before lower-casing; null fields are skipped. ``stored`` columns stay beside the
+        documents. A null or repeated key is an error."""
+        require(docs.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull()), "missing or repeated ids")
         parts = [docs.select(F.col(key).alias("doc"), F.lit(f).alias("field"), tokenize(F.col(f)).alias("tokens")).where(F.col("tokens").isNotNull()) for f in fields]
         raw = parts[0]
         for p in parts[1:]:
@@ -44,7 +57,7 @@ class Index:
         postings = terms.groupBy("doc", "field", "term").agg(F.count(F.lit(1)).alias("tf"))
         vocabulary = postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
         stats = lengths.groupBy("field").agg(F.avg("length").alias("mean")).crossJoin(docs.agg(F.count(F.lit(1)).alias("docs")))
-        return Index(postings, vocabulary, lengths, stats, docs.select(F.col(key).alias("doc")), tuple(fields))
+        return Index(postings, vocabulary, lengths, stats, docs.select(F.col(key).alias("doc"), *(stored or [])), tuple(fields))
 
     def without(self, gone: DataFrame) -> Index:
         """Less the documents of ``gone`` (doc); statistics are counted anew."""
@@ -55,12 +68,38 @@ class Index:
 
     def plus(self, docs: DataFrame, key: str) -> Index:
         """With the documents of ``docs``, which replace those of equal keys."""
-        new = Index.build(docs, key, list(self.fields))
+        new = Index.build(docs, key, list(self.fields), self.documents.columns[1:])
         old = self.without(new.documents)
         postings, lengths, documents = (a.unionByName(b) for a, b in ((old.postings, new.postings), (old.lengths, new.lengths), (old.documents, new.documents)))
         stats = lengths.groupBy("field").agg(F.avg("length").alias("mean")).crossJoin(documents.agg(F.count(F.lit(1)).alias("docs")))
         return Index(postings, postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")), lengths, stats, documents, self.fields)
 
+    def discard(self, gone: DataFrame) -> Index:
+        """Without the documents of ``gone`` (doc) in results from now on; postings keep them until vacuum."""
+        gone = gone.select("doc").distinct()
+        return replace(self, gone=gone if self.gone is None else self.gone.union(gone).distinct())
+
+    def live(self) -> Index:
+        return self if self.gone is None else self.without(self.gone)
+
+    def vacuum(self, least: int = LEAST_DIRT, share: float = DIRTY_SHARE) -> Index:
+        """Purged of discarded documents, if they are many enough."""
+        if self.gone is None:
+            return self
+        dirty, total = self.gone.count(), self.documents.count()
+        return self.live() if dirty >= least and dirty >= share * total else self
+
+    def has(self, key: object) -> bool:
+        return self.stored_fields(key) is not None
+
+    def stored_fields(self, key: object) -> Row | None:
+        return self.live().documents.where(F.col("doc") == F.lit(key)).first()
+
+    def counts(self) -> DataFrame:
+        """One row: documents and distinct terms."""
+        live = self.live()
+        return live.documents.agg(F.count(F.lit(1)).alias("documents")).crossJoin(live.vocabulary.agg(F.count_distinct("term").alias("terms")))
+
     def save(self, path: str) -> None:
         for name in ("postings", "vocabulary", "lengths", "stats", "documents"):
             getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
@@ -81,7 +120,7 @@ def fuzzy_budget(size: int, fuzzy: float | bool) -> int:
 
 
 def expanded(index: Index, terms: list[str], prefix: bool | list[bool] = False, fuzzy: float | bool = False) -> DataFrame:
-    """(q, field, term, df, weight): indexed terms for each query term; exact ones weigh 1, and a term found by prefix is not fuzzy too."""
+    """(q, asked, field, term, df, weight): indexed terms for each query term; exact ones weigh 1, and a term found by prefix is not fuzzy too."""
     spark = index.postings.sparkSession
     flags = prefix if isinstance(prefix, list) else [prefix] * len(terms)
     rows = [(i, t, bool(p), fuzzy_budget(len(t), fuzzy) if fuzzy else 0) for i, (t, p) in enumerate(zip(terms, flags, strict=True))]
@@ -93,28 +132,49 @@ def expanded(index: Index, terms: list[str], prefix: bool | list[bool] = False,
     distance = F.levenshtein("asked", "term")
     hit = index.vocabulary.join(F.broadcast(asked), exact | starts | (near & (distance <= F.col("budget"))))
     weight = F.when(exact, 1.0).when(starts, PREFIX_WEIGHT * size / (size + DECAY * (size - own))).otherwise(FUZZY_WEIGHT * size / (size + distance))
-    return hit.select("q", "field", "term", "df", weight.alias("weight"))
+    return hit.select("q", "asked", "field", "term", "df", weight.alias("weight"))
+
+
+def _matched(index: Index, hits: DataFrame) -> DataFrame:
+    return index.postings.join(hits, ["field", "term"]).join(index.lengths, ["doc", "field"]).join(F.broadcast(index.stats), "field")
+
 
+def search(index: Index, query: str, combine: str = "OR", prefix: bool | list[bool] = False, fuzzy: float | bool = False, boost: dict[str, float] | None = None, fields: list[str] | None = None, boost_documents: DataFrame | None = None, where: Column | None = None) -> DataFrame:
+    """(doc, score, terms): score is the sum over matches times the number of distinct query terms that match.
 
-def search(index: Index, query: str, combine: str = "OR", prefix: bool | list[bool] = False, fuzzy: float | bool = False, boost: dict[str, float] | None = None, fields: list[str] | None = None) -> DataFrame:
-    """(doc, score, terms): score is the sum over matches times the number of distinct query terms that match."""
-    terms = [t.lower() for t in __import__("re").split(r"[\n\r\s!-/:-@\[-`{-~]", query) if t]
+    ``boost_documents`` (doc, boost) multiplies; 0 drops a document. ``where`` is a condition on the stored columns. The result
+    has no order; see ``ranked``.
+    """
+    index, terms = index.live(), query_terms(query)
     spark = index.postings.sparkSession
     if not terms:
-        return spark.createDataFrame([], "doc long, score double, terms int")
+        return spark.createDataFrame([], f"doc {index.documents.schema['doc'].dataType.simpleString()}, score double, terms int")
     hits = expanded(index, terms, prefix, fuzzy)
     if fields:
         hits = hits.where(F.col("field").isin(*fields))
-    matched = index.postings.join(F.broadcast(hits), ["field", "term"]).join(index.lengths, ["doc", "field"]).join(F.broadcast(index.stats), "field")
     weight = F.col("weight")
     for f, w in (boost or {}).items():
         weight = weight * F.when(F.col("field") == f, w).otherwise(1.0)
-    scored = matched.select("doc", "q", (weight * bm25(F.col("tf"), F.col("df"), F.col("docs"), F.col("length"), F.col("mean"))).alias("s"))
-    by_term = scored.groupBy("doc", "q").agg(F.sum("s").alias("s"))
+    scored = _matched(index, hits).select("doc", "q", "asked", (weight * bm25(F.col("tf"), F.col("df"), F.col("docs"), F.col("length"), F.col("mean"))).alias("s"))
+    if boost_documents is not None:
+        scored = scored.join(boost_documents.select("doc", F.col("boost").cast("double").alias("boost")), "doc", "left").where(F.coalesce("boost", F.lit(1.0)) != 0)
+        scored = scored.select("doc", "q", "asked", (F.col("s") * F.coalesce("boost", F.lit(1.0))).alias("s"))
+    by_term = scored.groupBy("doc", "q", "asked").agg(F.sum("s").alias("s"))
     if combine == "AND_NOT":
-        return by_term.where("q = 0").join(by_term.where("q > 0").select("doc"), "doc", "left_anti").groupBy("doc").agg(F.sum("s").alias("score"), F.lit(1).alias("terms"))
-    out = by_term.groupBy("doc").agg((F.sum("s") * F.count(F.lit(1))).alias("score"), F.count(F.lit(1)).cast("int").alias("terms"))
-    return out.where(F.col("terms") == len(terms)) if combine == "AND" else out
+        out = by_term.where("q = 0").join(by_term.where("q > 0").select("doc"), "doc", "left_anti").groupBy("doc").agg(F.sum("s").alias("score"), F.lit(1).alias("terms"))
+    else:
+        distinct = F.size(F.collect_set("asked"))
+        out = by_term.groupBy("doc").agg((F.sum("s") * distinct).alias("score"), distinct.alias("terms"), F.count(F.lit(1)).alias("n"))
+        out = (out.where(F.col("n") == len(terms)) if combine == "AND" else out).drop("n")
+    if where is not None:
+        out = out.join(index.documents.where(where).select("doc"), "doc", "left_semi")
+    return out
+
+
+def ranked(hits: DataFrame, most: int | None = None) -> DataFrame:
+    """Best first, ties by document; with ``most``, a top-k that is never sorted whole."""
+    out = hits.orderBy(F.desc("score"), "doc")
+    return out if most is None else out.limit(most)
 
 
 def everything(index: Index) -> DataFrame:
@@ -131,10 +191,11 @@ def combined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 
 
 def suggest(index: Index, query: str, fuzzy: float | bool = False) -> DataFrame:
-    """(suggestion, score): all terms have to match, the last one as a prefix; documents are grouped by their matched terms."""
-    terms = [t.lower() for t in query.split() if t]
+    """(suggestion, score, n): all terms have to match, the last one as a prefix; documents are grouped by their matched terms."""
+    index, terms = index.live(), query_terms(query)
+    if not terms:
+        return index.postings.sparkSession.createDataFrame([], "suggestion string, score double, n long")
     hits = expanded(index, terms, [False] * (len(terms) - 1) + [True], fuzzy)
-    matched = index.postings.join(F.broadcast(hits), ["field", "term"]).join(index.lengths, ["doc", "field"]).join(F.broadcast(index.stats), "field")
-    scored = matched.select("doc", "q", "term", (F.col("weight") * bm25(F.col("tf"), F.col("df"), F.col("docs"), F.col("length"), F.col("mean"))).alias("s"))
-    docs = scored.groupBy("doc").agg(F.count_distinct("q").alias("n"), F.array_join(F.transform(F.sort_array(F.collect_set(F.struct("q", "term"))), lambda x: x["term"]), " ").alias("suggestion"), F.sum("s").alias("s")).where(F.col("n") == len(terms))
-    return docs.groupBy("suggestion").agg(F.avg(F.col("s") * F.col("n")).alias("score"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("score"), "suggestion")
+    scored = _matched(index, hits).select("doc", "q", "asked", "term", (F.col("weight") * bm25(F.col("tf"), F.col("df"), F.col("docs"), F.col("length"), F.col("mean"))).alias("s"))
+    docs = scored.groupBy("doc").agg(F.count_distinct("q").alias("n"), F.size(F.collect_set("asked")).alias("terms"), F.array_join(F.transform(F.sort_array(F.collect_set(F.struct("q", "term"))), lambda x: x["term"]), " ").alias("suggestion"), F.sum("s").alias("s")).where(F.col("n") == len(terms))
+    return docs.groupBy("suggestion").agg(F.avg(F.col("s") * F.col("terms")).alias("score"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("score"), "suggestion")

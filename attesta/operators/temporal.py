@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import cut
+
 LEVELS = ("oblast", "district", "sub_district", "settlement")
 
 
@@ -16,30 +18,66 @@ def level_of(code: Column) -> Column:
     return F.when(code.rlike(r"^[0-9]{9}$"), level)
 
 
+def _ends(edges: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """edges: (code, to), one from each code. (code, to, hops) for the chains that end, by doubling: after k rounds a row spans up to
+    2 ** k edges, so that a chain of any depth takes the logarithm of it in rounds. As long as chains that end are open, each round closes
+    some; when none closes, the open codes lie on cycles or lead to one: once rows span all of them, (code, to) with ``to`` on a cycle."""
+    jump, span, last = cut(edges.select("code", "to", F.lit(1).cast("long").alias("hops"))), 1, -1
+    while True:
+        ahead = jump.select(F.col("code").alias("to"), F.col("to").alias("__to"), F.col("hops").alias("__hops"))
+        joined = jump.select("code", "to", "hops").join(ahead, "to", "left")
+        jump = cut(joined.select("code", F.coalesce("__to", "to").alias("to"), (F.col("hops") + F.coalesce("__hops", F.lit(0))).alias("hops"), F.col("__to").isNotNull().alias("open")))
+        span, open_ = 2 * span, jump.where("open").count()
+        if not open_:
+            return jump.select("code", "to", "hops"), None
+        if open_ == last and span > open_:
+            return jump.where("not open").select("code", "to", "hops"), jump.where("open").select("code", "to")
+        last = open_
+
+
+def _cycles(edges: DataFrame, left: DataFrame) -> DataFrame:
+    """(code, hops): how many edges the codes in or before a cycle follow until one comes again. left: (code, to), ``to`` on a cycle."""
+    on = cut(left.select(F.col("to").alias("code")).distinct())
+    least = cut(edges.join(on, "code", "left_semi").select("code", "to", F.least("code", "to").alias("name")))
+    for _ in range(max(1, on.count()).bit_length()):
+        ahead = least.select(F.col("code").alias("to"), F.col("to").alias("__to"), F.col("name").alias("__name"))
+        least = cut(least.join(ahead, "to").select("code", F.col("__to").alias("to"), F.least("name", "__name").alias("name")))
+    size = least.groupBy("name").agg(F.count(F.lit(1)).alias("size"))
+    around = cut(least.select("code", "name").join(size, "name").select("code", "size"))
+    before = edges.join(left.select("code"), "code", "left_semi").join(on, "code", "left_anti")
+    told, _ = _ends(before)
+    entered = told.join(around.withColumnRenamed("code", "to"), "to").select("code", (F.col("hops") + F.col("size")).alias("hops"))
+    return around.select("code", F.col("size").alias("hops")).unionByName(entered)
+
+
 def resolve(codes: DataFrame, current: DataFrame, edges: DataFrame, at: str | None = None) -> DataFrame:
     """codes: (code); current: (code); edges: (retired, current[, effective_from]). Gives (code, resolved, hops, status) with status
-    ``current``, ``cycle`` or ``unknown``. ``at`` (a date) leaves out later edges. A recursive query follows all chains at once;
+    ``current``, ``cycle`` or ``unknown``. ``at`` (a date) leaves out later edges. Chains may be of any depth and number;
     of several edges from one code the greatest target counts.
     """
-    spark = codes.sparkSession
     if at is not None:
         edges = edges.where(F.col("effective_from") <= F.lit(at))
-    edges = edges.groupBy(F.trim("retired").alias("retired")).agg(F.max(F.trim("current")).alias("next"))
-    known = current.select(F.trim("code").alias("code")).distinct()
-    for name, df in (("__codes", codes.select(F.trim("code").alias("code")).distinct()), ("__known", known), ("__edges", edges)):
-        df.createOrReplaceTempView(name)
-    return spark.sql("""
-        WITH RECURSIVE walk(code, at, hops, seen, done) AS (
-            SELECT c.code, c.code, 0, array(c.code), k.code IS NOT NULL FROM __codes c LEFT JOIN __known k ON k.code = c.code
-            UNION ALL
-            SELECT w.code, e.next, w.hops + 1, array_append(w.seen, e.next), k.code IS NOT NULL OR array_contains(w.seen, e.next)
-            FROM walk w JOIN __edges e ON e.retired = w.at LEFT JOIN __known k ON k.code = e.next
-            WHERE NOT w.done
-        ),
-        last AS (SELECT code, max_by(struct(at, hops, seen), hops) AS s FROM walk GROUP BY code)
-        SELECT l.code, CASE WHEN k.code IS NOT NULL THEN s.at END AS resolved, s.hops AS hops,
-            CASE WHEN k.code IS NOT NULL THEN 'current' WHEN size(array_distinct(s.seen)) < size(s.seen) THEN 'cycle' ELSE 'unknown' END AS status
-        FROM last l LEFT JOIN __known k ON k.code = l.s.at""")
+    known = cut(current.select(F.trim("code").alias("code")).distinct())
+    edges = edges.groupBy(F.trim("retired").alias("code")).agg(F.max(F.trim("current")).alias("to")).where("to is not null")
+    edges = cut(edges.join(known, "code", "left_anti"))
+    ends, left = _ends(edges)
+    asked = codes.select(F.trim("code").alias("code")).distinct().join(ends, "code", "left")
+    asked = asked.select("code", F.coalesce("to", "code").alias("to"), F.coalesce("hops", F.lit(0)).alias("hops"))
+    asked = asked.join(known.select(F.col("code").alias("to"), F.lit(True).alias("__known")), "to", "left")
+    status = F.when(F.col("__known"), "current").otherwise("unknown")
+    out = asked.select("code", F.when(F.col("__known"), F.col("to")).alias("resolved"), F.col("hops").cast("int").alias("hops"), status.alias("status"))
+    if left is None:
+        return out
+    around = _cycles(edges, left).select("code", F.col("hops").cast("int").alias("__hops"))
+    out = out.join(around, "code", "left")
+    cycle = F.col("__hops").isNotNull()
+    return out.select("code", F.when(~cycle, F.col("resolved")).alias("resolved"), F.coalesce("__hops", "hops").alias("hops"), F.when(cycle, "cycle").otherwise(F.col("status")).alias("status"))
+
+
+def resolvable(current: DataFrame, edges: DataFrame, at: str | None = None) -> DataFrame:
+    """(code): the current codes and all retired ones whose chain ends in one."""
+    asked = current.select("code").union(edges.select(F.col("retired").alias("code")))
+    return resolve(asked, current, edges, at).where("status = 'current'").select("code")
 
 
 def require_resolved(resolved: DataFrame) -> DataFrame:

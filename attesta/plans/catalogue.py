@@ -174,7 +174,7 @@ def title_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     low = F.lower(name)
     cls = F.when(discover.any_of(low, ("bolt", "nut")), "repeal").when(discover.all_of(low, ("red",)) & F.col("p_brand").contains("1"), "rate-decision").otherwise("other")
     wanted = ~discover.any_of(low, ("bolt", "nut")) & discover.all_of(low, ("red", "widget"))
-    reason = F.when(F.col("p_type").startswith("ECO"), "amended or repealed: x").when(F.col("p_type") == "SMALL", "no single sentence moves a rate").otherwise("else")
+    reason = F.when(F.col("p_type").startswith("ECO"), "document is amended or repealed: x").when(F.col("p_type") == "SMALL", report.NO_SENTENCE).otherwise("else")
     return read(spark, sf_dir, "part").select("p_partkey", cls.alias("class"), wanted.alias("wanted"), report.refusal_category(reason).alias("refusal"))
 
 

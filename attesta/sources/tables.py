@@ -107,16 +107,23 @@ def verified_blobs(files: DataFrame, sidecars: DataFrame) -> tuple[DataFrame, Da
 
 
 def swap_write(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Written aside, then renamed: a failed write leaves what was there."""
+    """Written aside, then renamed: a failed write leaves what was there, and so does a failure between the renames, beside the new one."""
     spark = df.sparkSession
     aside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     df.write.format(fmt).save(aside)
     jvm = spark.sparkContext._jvm
     at, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(aside)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(at, True)
+    old = jvm.org.apache.hadoop.fs.Path(f"{aside}.old")
+    had = fs.exists(at)
+    if had and not fs.rename(at, old):
+        raise OSError(f"cannot move {path} aside")
     if not fs.rename(new, at):
+        if had:
+            fs.rename(old, at)
         raise OSError(f"cannot move {aside} to {path}")
+    if had:
+        fs.delete(old, True)
 
 
 def split_write(results: DataFrame, confirmed_path: str, queue_path: str, key: str = "document_id", allow_shrink: bool = False) -> dict[str, int]:
@@ -134,3 +141,77 @@ def split_write(results: DataFrame, confirmed_path: str, queue_path: str, key: s
 def write_tasks(tasks: DataFrame, path: str, full: bool) -> None:
     """One folder per document; a full run replaces all, an explicit list of ids adds."""
     tasks.write.partitionBy("document_id").mode("overwrite" if full else "append").json(path)
+
+
+EXTRACTED = "document_id string, outcome string, rate double"
+VERDICTS = "document_id string, rate double, refused boolean, quoted_span string, refusal_reason string"
+
+
+def oblast_names(codes: DataFrame) -> DataFrame:
+    """(prefix, ru, kk) of the oblasts; of several with one prefix the last by code."""
+    own = codes.where("level = 'oblast'").select(F.substring(F.trim("kato"), 1, 2).alias("prefix"), F.struct(strip(F.col("name_ru")).alias("ru"), strip(F.col("name_kk")).alias("kk")).alias("names"), "kato")
+    return own.groupBy("prefix").agg(F.max_by("names", "kato").alias("names")).select("prefix", "names.ru", "names.kk")
+
+
+def names_by_code(codes: DataFrame) -> DataFrame:
+    """(code, name_ru, name_kk)"""
+    return codes.select(F.trim("kato").alias("code"), "name_ru", "name_kk")
+
+
+def parser_rates(extracted: DataFrame) -> DataFrame:
+    """(document_id, rate) of what the readers confirmed."""
+    return extracted.where("outcome = 'confirmed'").select("document_id", F.col("rate").cast("double").alias("rate"))
+
+
+def queue_ids(queue: DataFrame) -> DataFrame:
+    """(document_id), sorted, distinct, not empty."""
+    return queue.select(F.trim("document_id").alias("document_id")).where("document_id <> ''").distinct().orderBy("document_id")
+
+
+def unavailable_log(spark: SparkSession, path: str) -> DataFrame:
+    """(document_id) of a JSON list of ids or of objects; a missing file has none."""
+    rows = optional(lambda: read_list(spark, path), spark, T.StructType([T.StructField("document_id", T.StringType())]))
+    return rows.select("document_id").distinct()
+
+
+def aliases(spark: SparkSession, path: str) -> DataFrame:
+    """(kato, name_ru, name_kk, resolves_to) of a JSON list of four-element lists; a missing file has none."""
+    lines = optional(lambda: spark.read.text(path, wholetext=True), spark, T.StructType([T.StructField("value", T.StringType())]))
+    rows = lines.select(F.explode(F.from_json("value", "array<array<string>>")).alias("r"))
+    return rows.select(*[F.get("r", F.lit(i)).alias(c) for i, c in enumerate(("kato", "name_ru", "name_kk", "resolves_to"))])
+
+
+def read_through(files: DataFrame, sidecars: DataFrame, fetch) -> tuple[DataFrame, DataFrame]:
+    """Verified blobs with those fetched anew: ``fetch`` takes the names (name) whose digest fails or that lack a part, and
+    gives (name, content). The second table holds the sidecars to write."""
+    good, again = verified_blobs(files, sidecars)
+    new = fetch(again).select("name", "content", F.sha2("content", 256).alias("sha256"))
+    return good.select("name", "content", "sha256").unionByName(new), new.select("name", "sha256")
+
+
+def write_with_source(df: DataFrame, path: str, source: dict[str, object]) -> None:
+    """A classifier and, beside it, where it came from, with counts by level and the digest of its codes."""
+    import json
+
+    write_csv(df, path)
+    counts = {r.level: r.n for r in df.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
+    text = json.dumps({**source, "rows": sum(counts.values()), "by_level": dict(sorted(counts.items()))}, ensure_ascii=False, indent=2)
+    write_text(df.sparkSession, f"{path.rstrip('/')}.source.json", text)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, through the file system that the path names."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def write_rows_json(df: DataFrame, path: str, order: list[str]) -> None:
+    """A small table as one pretty JSON list in a given order, nulls kept, letters as they are."""
+    import json
+
+    rows = [json.loads(r[0]) for r in df.orderBy(*order).select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).collect()]
+    write_text(df.sparkSession, path, json.dumps(rows, ensure_ascii=False, indent=2))

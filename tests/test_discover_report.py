@@ -75,7 +75,7 @@ def test_reports(spark):
     assert (r.year, r.base_rate, r.districts, r.machine_extracted, [x.oblast for x in r.rates]) == ("2026", 0.04, 2, 1, ["Озёрная область", ""])
     body = json.loads(report.payload(years, "2026-01-01T00:00:00Z").first().json)
     assert body["years"]["2026"]["districts"] == 2
-    queue = spark.createDataFrame([("q1", "amended or repealed: x", 1), ("q2", "why", 2)], "document_id string, reason string, pos long")
+    queue = spark.createDataFrame([("q1", "document is amended or repealed: x", 1), ("q2", "why", 2)], "document_id string, reason string, pos long")
     mapped = spark.createDataFrame([("m1", "unmapped-several-districts-matched", ["Дом"], 1), ("m2", "mapped", [], 2)], "document_id string, outcome string, candidates array<string>, pos long")
     refused = report.refused(queue, mapped)
     assert [(g.category, g.n) for g in report.grouped(refused, "category", "pos").collect()] == [("repealed", 1), ("other", 1), ("unmapped-several-districts-matched", 1)]

@@ -18,12 +18,12 @@ CASES = {
     "plain": (doc(), KAZAKH, None, "confirmed", None),
     "digits only": (doc(CLAUSE.replace("4 (четырех) процентов", "4%").replace("3 (три) процента", "3%").replace(" на 3", " до 3")), KAZAKH, None, "confirmed", None),
     "inner space": (doc(CLAUSE.replace("(три)", "( три)")), KAZAKH, None, "confirmed", None),
-    "superseded": ("Утратило силу. " + doc(), KAZAKH, None, "unparsed", "amended or repealed"),
+    "superseded": ("Утратило силу. " + doc(), KAZAKH, None, "unparsed", "document is amended or repealed:"),
     "two clauses": (doc(CLAUSE + " " + CLAUSE), KAZAKH, None, "unparsed", "no single sentence"),
     "none": (doc("Понизить размер ставки."), KAZAKH, None, "unparsed", "no single sentence"),
-    "transport": (doc(), None, "SSLError: x", "conflict", "could not be fetched"),
-    "not published": (doc(), None, "HTTPError: HTTP Error 404: ", "conflict", "not published (404)"),
-    "missing": (doc(), None, None, "conflict", "could not be fetched"),
+    "transport": (doc(), None, "SSLError: x", "conflict", "kazakh could not be fetched"),
+    "not published": (doc(), None, "HTTPError: HTTP Error 404: ", "conflict", "kazakh returned HTTP 404"),
+    "missing": (doc(), None, None, "conflict", "kazakh could not be fetched"),
     "origin": (doc(CLAUSE.replace("4 (четырех)", "5 (пяти)")), KAZAKH, None, "conflict", "transition objected"),
     "rise": (doc(CLAUSE.replace("4 (четырех) процентов на 3 (три)", "3 (три) процентов на 4 (четыре)")), KAZAKH, None, "conflict", "transition objected"),
     "unknown word": (doc(CLAUSE.replace("(три)", "(трижды)")), KAZAKH, None, "conflict", "word objected"),
