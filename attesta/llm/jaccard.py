@@ -448,8 +448,9 @@ class Join:
         best = best.union(best.select("v", "u", "score")).groupBy("u").agg(F.max(F.struct("score", "v")).alias("of"))
         best = best.select(F.least("u", "of.v").alias("u"), F.greatest("u", "of.v").alias("v")).distinct()
         roots = components(self.links(best))
-        again = told.where("u is null").select("token").distinct()
-        rows = stored(self.shared.join(again, "token", "left_semi").join(self.classes.select("id", "n", "vector"), "id"), "rows")
+        # hints: one plan, whatever the size
+        again = told.where("u is null").select("token").distinct().hint("merge")
+        rows = stored(self.shared.join(again, "token", "left_semi").join(self.classes.select("id", "n", "vector").hint("merge"), "id"), "rows")
         discard(told, self.shared)
         sharper = False
         while True:
@@ -460,10 +461,10 @@ class Join:
             last, roots = roots, components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(new))
             if not pairs.where((F.col("nth") > most) | F.col("cut")).limit(1).count():
                 return roots
-            again = told.where("u is null").select("token").distinct()
+            again = told.where("u is null").select("token").distinct().hint("merge")
             if not sharper:
                 finer = self.classes.select("id", _middle()("fine").alias("vector"))
-                rest = stored(rows.drop("vector").join(again, "token", "left_semi").join(finer, "id").select(rows.columns), "rows")
+                rest = stored(rows.drop("vector").join(again, "token", "left_semi").join(finer.hint("merge"), "id").select(rows.columns), "rows")
             else:
                 rest = stored(rows.join(again, "token", "left_semi"), "rows")
             discard(rows, told, pairs, last, new)
