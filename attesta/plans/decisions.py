@@ -282,7 +282,7 @@ SELECT line, unnest(CASE s WHEN 1 THEN ['kato-format', 'unknown-code'] WHEN 2 TH
 def rates_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rules of a rates file: rows, references through replaced codes, intervals."""
     s = F.col("line") % 11
-    bad = {"kato": {1: "12 45"}, "decision_ref": {2: " ", 3: "NaN", 4: "постановление"}, "source_url": {5: "https://other/rus"}, "kazakh_source_url": {6: " None "}, "rate": {7: "3", 8: "x"}, "valid_to": {9: "2001-01-01"}}
+    bad = {"kato": {1: F.concat(F.lit("1 "), F.col("line").cast("string"))}, "decision_ref": {2: " ", 3: "NaN", 4: "постановление"}, "source_url": {5: "https://other/rus"}, "kazakh_source_url": {6: " None "}, "rate": {7: "3", 8: "x"}, "valid_to": {9: "2001-01-01"}}
     rates = _published(spark, sf_dir)
     codes = rates.where(~s.isin(0, 1, 10)).select("kato")
     edges = rates.where(s == 0).select(F.col("kato").alias("retired"), F.concat(F.lit("new "), F.col("kato")).alias("current"))
