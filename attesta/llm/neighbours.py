@@ -7,16 +7,18 @@ reranked by exact distances in double precision.
 
 M starts at half the logarithm of the number of vectors. The number of probes is calibrated: in a sample of at most SAMPLE vectors, at which
 probe would a query's true neighbours be found? It is the TARGET quantile, and M falls until that needs at most PROBES
-probes. (Neighbours in the whole table are nearer than in the sample, so the target is a cautious one.) Every vector is indexed in every table.
+probes; if it does not with M = 1, all queries are compared with all classes. (Neighbours in the whole table are nearer than in the sample, so the target is a cautious one.) Every vector is indexed in every table.
 
 Equal vectors are one class, indexed once; a class keeps its k + 1 smallest ids, since no query can need more of it, found
 with a limit before the shuffle. So copies, however many, make no hot bucket. Buckets have no caps: buckets are dealt into
 parts of about PART_ROWS rows, and if one bucket alone is larger, all parts are split by id into as many slices as it needs, each of which
 gets the queries. Only ids and distances are shuffled after that, at most k + 1 for each query and part.
 
-A query whose buckets hold fewer than k candidates, though there are more, is compared with all classes, in blocks of ASKERS queries by part.
+A query whose buckets hold fewer than k candidates, though there are more, or whose neighbours found lie further off than is usual in the
+sample, is compared with all classes, in blocks of ASKERS queries by part.
 
-Vectors that are null, empty, zero or hold null or non-finite components take no part. Vectors of different lengths never meet.
+Vectors that are null, empty, zero or hold null or non-finite components take no part. Other columns are not read, so their names cannot
+clash; a long vector takes its length times the tables in memory, in bounded parts. Vectors of different lengths never meet.
 Repeated rows (same id, same vector) count once; an id with several vectors has each as a row. Fewer candidates give fewer
 ranks, ties go to smaller ids, an empty table gives an empty result.
 """
@@ -34,16 +36,18 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, stored, table
 
-TABLES, PROBES, SAMPLE, SAMPLE_QUERIES, TARGET, SEED = 16, 320, 20_000, 40, 0.96, 20240607
+TABLES, PROBES, SAMPLE, SAMPLE_QUERIES, TARGET, SEED = 16, 320, 20_000, 160, 0.985, 20240607
 #: Bucket width in units of the projections' standard deviation; index rows in a part.
 WIDTH, PART_ROWS = 1.5, 40_000
+#: The share of the sample whose last neighbours lie within what counts as usual.
+USUAL = 0.95
 #: Queries in a block of the exact search.
 ASKERS = 1_000
 
 
 class Hashing:
     def __init__(self, m: int, width: float, tables: int = TABLES, probes: int = PROBES):
-        self.m, self.width, self.tables, self.probes = m, width, tables, probes
+        self.m, self.width, self.tables, self.probes, self.sure, self.reach = m, width, tables, probes, True, math.inf
         self._made: dict[int, tuple] = {}
 
     def lines(self, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,11 +120,12 @@ def hashing_for(classes: DataFrame, n: int, k: int, tables: int = TABLES, probes
     rng = np.random.default_rng(SEED)
     width = WIDTH * max(float((x @ rng.standard_normal((x.shape[1], 32))).std(0).mean()), 1e-12)
     asked = rng.permutation(len(x))[:SAMPLE_QUERIES]
-    near = []
+    near, last = [], []
     for q in asked:
         d = ((x - x[q]) ** 2).sum(1)
         d[q] = np.inf
         near.append(np.argsort(d)[: min(k, len(x) - 1)])
+        last += [math.sqrt(d[i]) for i in near[-1][-1:]]
     for m in range(max(1, min(round(math.log2(max(2, n)) / 2), 16)), 0, -1):
         hashing = Hashing(m, width, tables, probes)
         found = []
@@ -133,7 +138,8 @@ def hashing_for(classes: DataFrame, n: int, k: int, tables: int = TABLES, probes
                 found.extend(at.tolist())
         need = int(np.quantile(found, target, method="higher")) if found else 0
         if need < probes or m == 1:
-            hashing.probes = min(probes, need + 1)
+            hashing.probes, hashing.sure = min(probes, need + 1), need < probes
+            hashing.reach = float(np.quantile(last, USUAL, method="lower")) * (1 + 1e-9) if last else math.inf
             return hashing
 
 
@@ -169,7 +175,8 @@ def nearest(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
     members = rows.select("id", "vector", F.dense_rank().over(few).alias("nth")).where(F.col("nth") <= k + 1).distinct()
     members = stored(members.select("id", "vector", "nth", F.min("id").over(W.partitionBy("vector")).alias("class")), "members")
     classes = members.where("nth = 1").select("id", "vector")
-    askers = stored(asked.distinct().select("id", "vector", F.min("id").over(W.partitionBy("vector")).alias("asker")), "askers")
+    asked = asked.distinct()
+    askers = stored(asked.join(asked.groupBy("vector").agg(F.min("id").alias("asker")), "vector").select("id", "vector", "asker"), "askers")
     n = classes.count()
     hashing = hashing_for(classes, n, k, **options)
     kind = df.schema[vector].dataType.simpleString()
@@ -225,12 +232,12 @@ def nearest(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
 
     best = stored(best_of(scored), "best")
     size = F.size("vector").alias("size")
-    got = pairs_of(best).groupBy(F.col("query_id").alias("id"), "asker").agg(F.count(F.lit(1)).alias("got"))
-    short = askers.join(got, ["id", "asker"], "left").select("id", "asker", "vector", size, F.coalesce("got", F.lit(0)).alias("got")).where(F.col("got") < k)
+    got = pairs_of(best).groupBy(F.col("query_id").alias("id"), "asker").agg(F.count(F.lit(1)).alias("got"), F.max("score").alias("worst"))
+    short = askers.join(got, ["id", "asker"], "left").select("id", "asker", "vector", size, F.coalesce("got", F.lit(0)).alias("got"), "worst").where((F.col("got") < k) | (F.col("worst") > hashing.reach))
     own = members.groupBy("id", size).agg(F.count(F.lit(1)).alias("own"))
     total = members.groupBy(size).agg(F.count(F.lit(1)).alias("total"))
     short = short.join(own, ["id", "size"], "left").join(total, "size").where(F.col("got") < F.col("total") - F.coalesce("own", F.lit(0)))
-    short = stored(short.select("asker", "vector").dropDuplicates(["asker"]), "short")
+    short = stored((short if hashing.sure else askers).select("asker", "vector").dropDuplicates(["asker"]), "short")
     many = short.count()
     if many:
         blocks, spans = math.ceil(many / ASKERS), math.ceil(n / part_rows)

@@ -1,6 +1,7 @@
 """Jaccard join, neighbours, classifier, components, pipeline."""
 
 import itertools
+import os
 import random
 import zlib
 
@@ -207,6 +208,35 @@ def test_neighbours_of_far_vectors(spark):
     assert {(r.query_id, r.vec_id) for r in got} == want and len(got) == 32
 
 
+@pytest.mark.parametrize("table", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall_on_the_given_vectors(spark, table):
+    path = f"/root/testdata/{table}/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no such table")
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(path).select("vec_id", "embedding").collect() if r.embedding]
+    want = {(q, i) for q, _, i in exact_of(rows, 100)}
+    got = {(r.query_id, r.vec_id) for r in neighbours.op5_neighbours(spark, f"/root/testdata/{table}").collect()}
+    assert len(got) == len(want) and len(got & want) / len(want) >= 0.95
+
+
+def exact_of(rows, step, k=10):
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    for q in np.flatnonzero(ids % step == 0):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[ids == ids[q]] = np.inf
+        yield from ((int(ids[q]), n + 1, int(ids[i])) for n, i in enumerate(np.lexsort((ids, d))[:k]))
+
+
+def test_ties_at_the_last_rank(spark):
+    """Of distinct vectors at one distance the smaller ids are taken."""
+    corners = [[0.0] * 8 for _ in range(16)]
+    for i in range(16):
+        corners[i][i // 2] = 1.0 if i % 2 else -1.0
+    rows = [(100, [1e-9] + [0.0] * 7)] + [(i, c) for i, c in enumerate(corners)]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), spark.createDataFrame([(100, [0.0, 1e-300] + [0.0] * 6)], "vec_id long, embedding array<double>"), k=5)
+    assert [r.vec_id for r in got.orderBy("rank").collect()] == [0, 1, 2, 3, 4]
+
+
 def test_probes_reach_the_target(spark, monkeypatch):
     rng = np.random.default_rng(7)
     x = np.repeat(rng.standard_normal((60, 16)), 5, axis=0) + rng.standard_normal((300, 16)) * 0.6
