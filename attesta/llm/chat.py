@@ -11,7 +11,8 @@ loss mask lists the spans (in code points) of the assistant texts.
 
 Null texts and roles are empty; a record of no known layout, a null or malformed record gives no turns, layout null and an empty
 text. Repeated turns stay, ordered by turn, role, text. An empty table gives an empty result. A conversation
-becomes one text by definition, so that its size, not the table's, bounds a task's memory.
+becomes one text by definition, so that its size, however long its texts, and not the table's, bounds a task's memory. A null key is one
+conversation. Columns other than those named are not read, so their names cannot clash. ``unknown_layouts`` counts what no mapping covers.
 """
 
 from __future__ import annotations
@@ -167,6 +168,11 @@ def format_chats(df: DataFrame, key: str, record: str) -> DataFrame:
     return df.select(F.col(key), F.arrow_udf(formatted, FORMATTED)(F.col(record)).alias("out")).select(key, "out.*")
 
 
+def unknown_layouts(formatted: DataFrame) -> DataFrame:
+    """(schema, n) of the records that no mapping covers, so that a new layout is noticed and not lost."""
+    return formatted.where("layout is null").groupBy("schema").agg(F.count(F.lit(1)).alias("n"))
+
+
 def records_of_rows(rows: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(key, record): one JSON record with its ordered turns for each key."""
     each = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))

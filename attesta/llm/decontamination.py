@@ -11,7 +11,8 @@ most BLOCK_BYTES, each broadcast; several blocks are joined one after another an
 
 Words are what remains between ASCII characters that are no letters or digits, lower-cased A-Z; null and empty texts have none,
 and items without words are ignored. Repeated rows of documents are judged one by one, repeated items count once for
-each item_id. An empty benchmark leaves all documents clean.
+each item_id. An empty benchmark leaves all documents clean. A null item_id is the item "None"; keys of documents are only handed on. Other
+columns are not read, so their names cannot clash. A text takes a worker some 50 times its bytes, whatever its length.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ gets the queries. Only ids and distances are shuffled after that, at most k + 1
 A query whose buckets hold fewer than k candidates, though there are more, or whose neighbours found lie further off than is usual in the
 sample, is compared with all classes, in blocks of ASKERS queries by part.
 
-Vectors that are null, empty, zero or hold null or non-finite components take no part. Other columns are not read, so their names cannot
+Vectors that are null, empty, zero or hold null or non-finite components, and those without an id, take no part. Other columns are not read, so their names cannot
 clash; a long vector takes its length times the tables in memory, in bounded parts. Vectors of different lengths never meet.
 Repeated rows (same id, same vector) count once; an id with several vectors has each as a row. Fewer candidates give fewer
 ranks, ties go to smaller ids, an empty table gives an empty result.
@@ -168,7 +168,7 @@ def nearest(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
     spark = df.sparkSession
     small_batches(spark, 2048)
     v = F.col("vector")
-    usable = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
+    usable = F.col("id").isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector")).where(usable)
     asked = queries.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector")).where(usable)
     few = W.partitionBy("vector").orderBy("id")

@@ -14,7 +14,8 @@ The hash is the first 52 bits of an MD5 digest, so that every SQL engine can rep
 
 Law: ``key`` (key and shard count decide). Null keys hash as an empty string; equal keys share a shard; null texts
 have size 1 and CRC 0. The slots of a shard count gapless from 0 in the order (bucket, key, CRC, size); rows that are equal in
-all of these take neighbouring slots. An empty table gives an empty result.
+all of these take neighbouring slots. An empty table gives an empty result. Other columns are not read, so their names cannot clash; long texts are
+measured where they lie.
 """
 
 from __future__ import annotations
