@@ -15,7 +15,7 @@ shingles or more, and the survivors verified on the whole sets. A star round com
 meets the one with the largest bound among its LEAF neighbours, and of all its blocks the best pair is verified, so that groups of near
 copies become few components in linear time. Then all blocks are searched for pairs that the bounds allow and that lie in different components: only
 those can still change the result. Of two components one link is enough, so that a search verifies the few pairs of them with the
-largest bounds, contracts, and as long as two components have pairs left, searches again for 16 times as many, with MIDDLE coordinates. The last search
+largest bounds, contracts, and as long as two components have pairs left, searches again among such for 16 times as many, with MIDDLE coordinates. The last search
 leaves none out.
 In a block of several slices the classes of its most common component lie in one slice each, all others in all. Components come from star contraction.
 
@@ -459,14 +459,18 @@ class Join:
             pairs = stored(pairs.withColumn("nth", F.row_number().over(W.partitionBy("ru", "rv").orderBy(F.desc("score"), "u", "v"))), "pairs")
             new = self.links(pairs.where(F.col("nth") <= most).select("u", "v"))
             last, roots = roots, components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(new))
-            if not pairs.where((F.col("nth") > most) | F.col("cut")).limit(1).count():
+            cut = pairs.where((F.col("nth") > most) | F.col("cut"))
+            open_ = stored(cut.select(F.col("ru").alias("root")).union(cut.select(F.col("rv").alias("root"))).distinct(), "open")
+            if not open_.limit(1).count():
                 return roots
-            again = told.where("u is null").select("token").distinct().hint("merge")
+            # only the classes of components that have pairs left can still meet
+            ids = stored(last.join(open_, "root").select(F.col("node").alias("id")).union(open_.select(F.col("root").alias("id"))).distinct(), "ids")
+            ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
             if not sharper:
-                finer = self.classes.select("id", _middle()("fine").alias("vector"))
-                rest = stored(rows.drop("vector").join(again, "token", "left_semi").join(finer.hint("merge"), "id").select(rows.columns), "rows")
+                finer = self.classes.join(ids, "id", "left_semi").select("id", _middle()("fine").alias("vector"))
+                rest = stored(rows.drop("vector").join(ids, "id", "left_semi").join(finer, "id").select(rows.columns), "rows")
             else:
-                rest = stored(rows.join(again, "token", "left_semi"), "rows")
+                rest = stored(rows.join(ids, "id", "left_semi"), "rows")
             discard(rows, told, pairs, last, new)
             rows, most, sharper = rest, most * 16, True
 
