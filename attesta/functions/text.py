@@ -60,8 +60,12 @@ def tokens(text: Column, pattern: str = WORD) -> Column:
 
 def prefixes(text: Column, size: int = 5, least: int = 5, pattern: str = WORD, stopwords: tuple[str, ...] = STOPWORDS) -> Column:
     """Distinct beginnings of the words that have at least ``least`` characters, without those of stop words."""
-    long = F.filter(tokens(text, pattern), lambda w: F.char_length(w) >= least)
-    cut = F.array_distinct(F.transform(long, lambda w: F.substring(w, 1, size)))
+    letter = pattern.removesuffix("+")
+    if letter.startswith("[") and letter.endswith("]") and "]" not in letter[:-1] and size >= least:  # a class of letters: the pattern itself cuts
+        cut = F.array_distinct(all_found(F.lower(text), f"({letter}{{{least},{size}}}){letter}*+", 1))
+    else:
+        long = F.filter(tokens(text, pattern), lambda w: F.char_length(w) >= least)
+        cut = F.array_distinct(F.transform(long, lambda w: F.substring(w, 1, size)))
     return F.array_except(cut, F.array(*[F.lit(s[:size]) for s in dict.fromkeys(stopwords)]).cast("array<string>"))
 
 
@@ -71,7 +75,7 @@ def stems(text: Column, least: int = 5) -> Column:
 
 def roots(text: Column) -> Column:
     """Six characters; plain Cyrillic, no stop words."""
-    return prefixes(text, 6, 5, "[а-яё]{5,}", ())
+    return prefixes(text, 6, 5, "[а-яё]+", ())
 
 
 def head_words(text: Column, n: int = 12) -> Column:
