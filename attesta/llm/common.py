@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,27 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
             spark.conf.set(name, most)
 
 
+def release() -> None:
+    """Give what a Python worker has freed back to the system: workers live on between tasks, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def releasing(run):
+    """A function of Arrow batches that releases memory at the end of its task."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; only where none is configured (tests, one machine) a local one."""
     at = spark.conf.get("spark.checkpoint.dir", None)

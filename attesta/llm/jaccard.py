@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import discard, scratch, small_batches, stored, table
+from .common import discard, releasing, scratch, small_batches, stored, table
 from .components import components
 from .shingles import mixed, shingle_sets
 
@@ -380,7 +380,7 @@ class Join:
         self.spark, self.words, self.percent, self.slice_rows = df.sparkSession, words, percent, slice_rows
         small_batches(self.spark)
         self.rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-        told = stored(self.rows.mapInArrow(_profiles(words), "key long, n int, id long, alt long, vector binary, fine binary"), "profiles")
+        told = stored(self.rows.mapInArrow(releasing(_profiles(words)), "key long, n int, id long, alt long, vector binary, fine binary"), "profiles")
         sets = told.where("vector is not null")
         clashes = sets.groupBy("id").agg(F.min("alt").alias("a"), F.max("alt").alias("b")).where("a <> b").select("id")
         self.clashing = frozenset(r.id for r in clashes.toLocalIterator())  # about n * n / 2 ** 65 of n sets: none, or a few
@@ -391,8 +391,8 @@ class Join:
         frequent = told.where("vector is null").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "id").limit(ORDERED)
         last = np.sort(np.array([r.id for r in frequent.select("id").toLocalIterator()], np.int64).view(np.uint64))
         discard(told)
-        prefixes = self.rows.select("text").mapInArrow(_prefixes(words, percent, self.spark.sparkContext.broadcast(last), self.clashing), "token long, salt int, id long")
-        self.shared = stored(prefixes.repartition("token", "salt").sortWithinPartitions("token", "salt", "id").mapInArrow(_shared, "token long, id long"), "shared")
+        prefixes = self.rows.select("text").mapInArrow(releasing(_prefixes(words, percent, self.spark.sparkContext.broadcast(last), self.clashing)), "token long, salt int, id long")
+        self.shared = stored(prefixes.repartition("token", "salt").sortWithinPartitions("token", "salt", "id").mapInArrow(releasing(_shared), "token long, id long"), "shared")
         self.large = stored(self.shared.groupBy("token").count().where(F.col("count") > slice_rows).select("token", F.ceil(F.col("count") / slice_rows).cast("int").alias("k")), "large")
         self.any_large = bool(self.large.limit(1).count())
 
@@ -416,7 +416,7 @@ class Join:
                 cut = cut.join(common, "token").withColumn("s", F.explode(slices))
             rows = rows.join(self.large, "token", "left_anti").union(cut.withColumn("sliced", F.lit(True)).select(rows.columns))
         rows = rows.repartition("token", "s").sortWithinPartitions("token", "s", F.xxhash64("id", "token"))
-        return stored(rows.mapInArrow(_blocks(self.percent, most), TOLD), "told")
+        return stored(rows.mapInArrow(releasing(_blocks(self.percent, most)), TOLD), "told")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those pairs (u, v) that hold on the finer vectors, and then on the whole sets. Ids are broadcast only if they are few."""
@@ -437,7 +437,7 @@ class Join:
                     yield pa.record_batch([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())], ["id", "shingles"])
 
             asked = self.rows.join(small(reps), self.rows["key"].eqNullSafe(reps["key"]), "left_semi")  # null meets null
-            known = stored(asked.select("text").mapInArrow(sets, "id long, shingles binary").join(ids, "id", "left_semi"), "sets").dropDuplicates(["id"])
+            known = stored(asked.select("text").mapInArrow(releasing(sets), "id long, shingles binary").join(ids, "id", "left_semi"), "sets").dropDuplicates(["id"])
             left, right = known.select(F.col("id").alias("u"), F.col("shingles").alias("a")), known.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
             return stored(pairs.join(left, "u").join(right, "v").where(_near(self.percent)("a", "b")).select("u", "v"), "links", outer=True)
 

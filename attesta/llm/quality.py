@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored, table
+from .common import release, small_batches, stored, table
 
 FOLDS = 5
 SHRINKAGE, TEMPERATURE, THRESHOLD = 0.05, 3.0, 0.3
@@ -97,7 +97,9 @@ def held_out(key: Column) -> Column:
 def statistics(text: Column) -> Column:
     @F.arrow_udf("array<double>")
     def run(column: pa.Array) -> pa.Array:
-        return pa.array(list(_matrix(column)), pa.list_(pa.float64()))
+        out = pa.array(list(_matrix(column)), pa.list_(pa.float64()))
+        release()
+        return out
 
     return run(text)
 

@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .anchors import Grams, anchors
-from .common import scratch, small_batches, stored, table
+from .common import releasing, scratch, small_batches, stored, table
 
 LENGTH, K = 400, 200
 #: Bytes of windows in one suffix structure; surroundings of one anchor that a task compares.
@@ -348,7 +348,7 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
     long = docs.where(F.octet_length("text") >= length)
     with scratch(spark):
         copies = stored(long.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("rep")), "copies")
-        rows = long.select("cls", "text").mapInArrow(_anchored(length, k), "a long, c long, cls binary, pos int, twin boolean, stop int")
+        rows = long.select("cls", "text").mapInArrow(releasing(_anchored(length, k)), "a long, c long, cls binary, pos int, twin boolean, stop int")
         same, of = W.partitionBy("a", "c"), W.partitionBy("a")
         rows = rows.repartition("a").distinct()  # copies in several tasks; the one exchange serves the windows too
         rows = rows.select("*", (F.count(F.lit(1)).over(same) > 1).alias("twins"), F.row_number().over(same.orderBy("cls", "pos")).alias("nth"))
@@ -357,11 +357,11 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
         shared = stored(rows.where("stop >= 0 or outright or asked"), "anchors")
         asked = shared.where("asked").groupBy("cls").agg(F.collect_list(F.struct("a", "pos", "hot")).alias("places")).join(copies.select("cls", "rep"), "cls")
         cut = long.join(asked, (long["cls"] == asked["cls"]) & long["key"].eqNullSafe(asked["rep"])).select(long["cls"], "text", "places")
-        windows = cut.mapInArrow(_windows(length, k), "a long, hot boolean, cls binary, pos int, left binary, gram binary, right binary")
+        windows = cut.mapInArrow(releasing(_windows(length, k)), "a long, hot boolean, cls binary, pos int, left binary, gram binary, right binary")
         any_hot = bool(shared.where("hot").limit(1).count())
         windows = stored(windows, "windows") if any_hot else windows
         usual = windows.where("not hot") if any_hot else windows
-        marks = usual.select("a", "cls", "pos", "left", "gram", "right").repartition("a").sortWithinPartitions("a").mapInArrow(_marks(length, batch_bytes), "cls binary, start long, stop long")
+        marks = usual.select("a", "cls", "pos", "left", "gram", "right").repartition("a").sortWithinPartitions("a").mapInArrow(releasing(_marks(length, batch_bytes)), "cls binary, start long, stop long")
         if any_hot:
             strings = stored(windows.where("hot").select("cls", "pos", "left", "gram", "right").mapInArrow(_strings(length), "h binary, cls binary, start long").distinct(), "strings")
             often = strings.groupBy("h").count().where("count > 1").select("h")
