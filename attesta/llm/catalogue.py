@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontamination, jaccard, licenses, lines, neighbours, quality, repeats, sharding, sql
+from . import bpe, chat, decontamination, extraction, jaccard, licenses, lines, neighbours, overwrite, quality, repeats, resampling, sharding, sql
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -15,8 +15,11 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_chat": chat.op10_chat,
+    "op11_html": extraction.op11_html,
+    "op12_resampling": resampling.op12_resampling,
+    "op13_overwrite": overwrite.op13_overwrite,
 }
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_sharding": sharding.oracle(), "op4_jaccard": sql.JACCARD, "op7_decontamination": sql.DECONTAMINATION, "op10_chat": sql.CHAT}
+    return {"op1_sharding": sharding.oracle(), "op4_jaccard": sql.JACCARD, "op7_decontamination": sql.DECONTAMINATION, "op10_chat": sql.CHAT, "op12_resampling": sql.RESAMPLING}

@@ -38,3 +38,29 @@ e AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
 l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
 r(doc_id, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, m AS component_id FROM s JOIN (SELECT doc_id, min(reached) AS m FROM r GROUP BY 1) USING (doc_id)"""
+
+RESAMPLING = f"""
+WITH crc_table AS (
+  SELECT list(c ORDER BY n) AS t FROM (
+    SELECT n, list_reduce(list_prepend(n::BIGINT, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+    FROM range(256) r(n))),
+d AS (SELECT doc_id, row_number() OVER () AS n, {_WORDS} AS w FROM documents),
+b AS (SELECT unnest({_WORDS}) AS word FROM benchmark),
+c AS (SELECT n, unnest(w) AS word FROM d),
+own AS (SELECT n, word, count(*) AS k FROM c GROUP BY 1, 2),
+h AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM own UNION SELECT DISTINCT word FROM b)),
+x AS (
+  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 10000 AS bucket
+  FROM h, crc_table),
+s AS (SELECT bucket, sum(k)::DOUBLE AS s FROM own JOIN x USING (word) GROUP BY 1),
+t AS (SELECT bucket, count(*)::DOUBLE AS t FROM b JOIN x USING (word) GROUP BY 1),
+a AS (SELECT coalesce((SELECT sum(s) FROM s), 0) AS s_all, coalesce((SELECT sum(t) FROM t), 0) AS t_all),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket), a),
+v AS (SELECT n, sum(k * gain)::BIGINT AS weight FROM own JOIN x USING (word) JOIN g USING (bucket) GROUP BY 1),
+r AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN v USING (n)),
+k AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place, 10 * count(*) FILTER (n_features >= 20) OVER () // 100 AS k FROM r)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= k THEN place END AS rank FROM k"""
