@@ -13,6 +13,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from . import lookup
 from .constraints import require
 
 # Tokenizer pattern, BM25+ constants, weights.
@@ -119,24 +120,38 @@ def fuzzy_budget(size: int, fuzzy: float | bool) -> int:
     return min(MOST_FUZZY, int(size * value + 0.5)) if value < 1 else int(value)
 
 
-def expanded(index: Index, terms: list[str], prefix: bool | list[bool] = False, fuzzy: float | bool = False) -> DataFrame:
-    """(q, asked, field, term, df, weight): indexed terms for each query term; exact ones weigh 1, and a term found by prefix is not fuzzy too."""
-    spark = index.postings.sparkSession
+def asked_terms(terms: list[str], prefix: bool | list[bool] = False, fuzzy: float | bool = False) -> list[tuple[int, str, bool, int]]:
+    """(q, term, whether it is a prefix, edits)"""
     flags = prefix if isinstance(prefix, list) else [prefix] * len(terms)
-    rows = [(i, t, bool(p), fuzzy_budget(len(t), fuzzy) if fuzzy else 0) for i, (t, p) in enumerate(zip(terms, flags, strict=True))]
-    asked = spark.createDataFrame(rows, "q int, asked string, prefix boolean, budget int")
+    return [(i, t, bool(p), fuzzy_budget(len(t), fuzzy) if fuzzy else 0) for i, (t, p) in enumerate(zip(terms, flags, strict=True))]
+
+
+def weighted(found: DataFrame, near: DataFrame | None) -> DataFrame:
+    """Exact terms weigh 1; a term found by prefix is not fuzzy too."""
     size, own = F.char_length("term"), F.char_length("asked")
-    exact = F.col("term") == F.col("asked")
-    starts = F.col("prefix") & F.col("term").startswith(F.col("asked"))
-    near = (F.col("budget") > 0) & (F.abs(size - own) <= F.col("budget")) & F.col("budget").isNotNull()
-    distance = F.levenshtein("asked", "term")
-    hit = index.vocabulary.join(F.broadcast(asked), exact | starts | (near & (distance <= F.col("budget"))))
-    weight = F.when(exact, 1.0).when(starts, PREFIX_WEIGHT * size / (size + DECAY * (size - own))).otherwise(FUZZY_WEIGHT * size / (size + distance))
-    return hit.select("q", "asked", "field", "term", "df", weight.alias("weight"))
+    by_start = F.when(F.col("term") == F.col("asked"), 1.0).otherwise(PREFIX_WEIGHT * size / (size + DECAY * (size - own)))
+    columns = [c for c in found.columns if c not in ("prefix", "edits")]
+    out = found.select(*columns, by_start.alias("weight"))
+    return out if near is None else out.unionByName(near.select(*columns, (FUZZY_WEIGHT * size / (size + F.col("distance"))).alias("weight")))
+
+
+def expanded(index: Index, terms: list[str], prefix: bool | list[bool] = False, fuzzy: float | bool = False) -> DataFrame:
+    """(q, asked, field, term, df, weight): indexed terms for each query term. Prefixes are ranges of the vocabulary, near terms meet in an equi
+    join on segments; see lookup."""
+    asked, near = asked_terms(terms, prefix, fuzzy), None
+    for edits in sorted({k for *_, k in asked if k > 0}):
+        own = [a for a in asked if a[3] == edits]
+        size = F.char_length("term")
+        fitting = index.vocabulary.where(size.between(min(len(a[1]) for a in own) - edits, max(len(a[1]) for a in own) + edits))
+        found = lookup.near(lookup.parts(fitting, edits), own)
+        near = found if near is None else near.unionByName(found)
+    return weighted(lookup.exact_or_prefix(index.vocabulary, asked), near).select("q", "asked", "field", "term", "df", "weight")
 
 
 def _matched(index: Index, hits: DataFrame) -> DataFrame:
-    return index.postings.join(hits, ["field", "term"]).join(index.lengths, ["doc", "field"]).join(F.broadcast(index.stats), "field")
+    met = index.postings.join(hits, ["field", "term"])
+    met = met if "length" in index.postings.columns else met.join(index.lengths, ["doc", "field"])
+    return met.join(F.broadcast(index.stats), "field")
 
 
 def search(index: Index, query: str, combine: str = "OR", prefix: bool | list[bool] = False, fuzzy: float | bool = False, boost: dict[str, float] | None = None, fields: list[str] | None = None, boost_documents: DataFrame | None = None, where: Column | None = None) -> DataFrame:
