@@ -72,6 +72,26 @@ def overlaps(rows: DataFrame, keys: list[str], start: str = "valid_from", stop:
     return reversed_.unionByName(bad.select(line, F.lit("overlap").alias("rule"), F.lit("overlaps an earlier interval").alias("message")))
 
 
+def overlapping_pairs(rows: DataFrame, keys: list[str], start: str = "valid_from", stop: str = "valid_to", line: str = "line") -> DataFrame:
+    """(line, other): each pair of intervals (inclusive, of dates) of equal trimmed keys that overlap, once, the smaller line first. An interval joins by
+    bins as wide as a power of two that holds its length, so that it lies in two of them at most; shorter ones look into the bins of
+    every width there is. No key's rows have to meet in one task, and nothing is compared beyond neighbours in time. Null keys are no key."""
+    own = [F.trim(F.col(k).cast("string")).alias(f"__k{i}") for i, k in enumerate(keys)]
+    day = lambda c: F.unix_date(F.col(c).cast("date"))
+    good = rows.where(F.col(start) <= F.col(stop)).select(*own, F.col(line).alias("line"), day(start).alias("a"), day(stop).alias("b"))
+    wide = F.ceil(F.log2(F.greatest(F.lit(1), F.col("b") - F.col("a") + 1))).cast("int")
+    sized = good.select("*", wide.alias("w"))
+    names = [f"__k{i}" for i in range(len(keys))]
+    bins = lambda w: F.explode(F.sequence(F.floor(F.col("a") / F.pow(F.lit(2.0), w)).cast("long"), F.floor(F.col("b") / F.pow(F.lit(2.0), w)).cast("long")))
+    longer = sized.select(*names, "line", "a", "b", "w", bins(F.col("w")).alias("bin"))
+    widths = sized.groupBy().agg(F.sort_array(F.collect_set("w")).alias("all"))  # at most one for each bit of a date
+    looking = sized.crossJoin(F.broadcast(widths)).select(*names, F.col("line").alias("o_line"), F.col("a").alias("o_a"), F.col("b").alias("o_b"), F.col("w").alias("o_w"), "a", "b", F.explode(F.filter("all", lambda w: w >= F.col("w"))).alias("w"))
+    looking = looking.select(*names, "o_line", "o_a", "o_b", "o_w", "w", bins(F.col("w")).alias("bin"))
+    met = longer.join(looking, [*names, "w", "bin"]).where((F.col("a") <= F.col("o_b")) & (F.col("o_a") <= F.col("b")) & ((F.col("o_w") < F.col("w")) | (F.col("o_line") < F.col("line"))))
+    first = F.col("bin") == F.floor(F.greatest("a", "o_a") / F.pow(F.lit(2.0), F.col("w"))).cast("long")  # of the bins that both lie in
+    return met.where(first).select(F.least("line", "o_line").alias("line"), F.greatest("line", "o_line").alias("other"))
+
+
 def validate(rates: DataFrame, codes: DataFrame, migrations: DataFrame | None = None) -> DataFrame:
     """Every row, reference and interval violation of a rates table with a ``line`` column. codes: (kato); a retired code that
     ``migrations`` (retired, current) lead to one of them is known too."""

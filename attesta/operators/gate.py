@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .constraints import LEAST, MOST, ConstraintError, require
+from .storage import cut, numbered
 
 # Fixed values.
 AGREE, BLOCKED, FLAGGED, ESCALATED, WITHDRAWN, REFUSED, CANNOT_VERIFY = "agree", "blocked", "flagged", "escalated", "published_support_withdrawn", "refused", "cannot_verify"
+#: Lines of a chunk of ``fingerprint_chunked``.
+CHUNK = 4096
 TASK_COLUMNS = ("document_id", "source_url", "text", "kazakh_text")
 
 
@@ -103,6 +106,21 @@ def fingerprint_large(pairs: DataFrame, key: str, value: str) -> DataFrame:
     return pairs.agg(F.sha2(F.concat_ws("|", F.count(F.lit(1)).cast("string"), total(F.xxhash64(line)), total(F.xxhash64(F.lit(1), line))), 256).alias("fingerprint"))
 
 
+def fingerprint_chunked(pairs: DataFrame, key: str, value: str, chunk: int = CHUNK) -> DataFrame:
+    """As ``fingerprint`` for up to ``chunk`` rows; beyond, the sorted lines are digested by chunks of as many, these digests again, until one is
+    left. One value for any partitioning and number of rows; no task holds more than a chunk beside its sorted share."""
+    line = F.concat_ws("=", F.col(key).cast("string"), F.col(value).cast("string"))
+    level = numbered(pairs.select(line.alias("line")), ["line"])
+    n = level.count()
+    while True:
+        own = F.sort_array(F.collect_list(F.struct("pos", "line")))
+        level = level.groupBy(F.floor(F.col("pos") / chunk).alias("pos")).agg(F.sha2(F.array_join(F.transform(own, lambda x: x["line"]), "\n"), 256).alias("line"))
+        n = -(-n // chunk)
+        if n <= 1:
+            return level.agg(F.coalesce(F.max("line"), F.sha2(F.lit(""), 256)).alias("fingerprint"))
+        level = cut(level)
+
+
 def require_verified(results: DataFrame) -> None:
     require(results.where(F.col("outcome") == CANNOT_VERIFY), "cannot verify")
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .storage import cut
+from .storage import cut, cut_and_count
 
 LEVELS = ("oblast", "district", "sub_district", "settlement")
 
@@ -26,8 +27,9 @@ def _ends(edges: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     while True:
         ahead = jump.select(F.col("code").alias("to"), F.col("to").alias("__to"), F.col("hops").alias("__hops"))
         joined = jump.select("code", "to", "hops").join(ahead, "to", "left")
-        jump = cut(joined.select("code", F.coalesce("__to", "to").alias("to"), (F.col("hops") + F.coalesce("__hops", F.lit(0))).alias("hops"), F.col("__to").isNotNull().alias("open")))
-        span, open_ = 2 * span, jump.where("open").count()
+        jumped = joined.select("code", F.coalesce("__to", "to").alias("to"), (F.col("hops") + F.coalesce("__hops", F.lit(0))).alias("hops"), F.col("__to").isNotNull().alias("open"))
+        jump, open_ = cut_and_count(jumped, F.col("open"))
+        span *= 2
         if not open_:
             return jump.select("code", "to", "hops"), None
         if open_ == last and span > open_:
@@ -74,6 +76,47 @@ def resolve(codes: DataFrame, current: DataFrame, edges: DataFrame, at: str | No
     return out.select("code", F.when(~cycle, F.col("resolved")).alias("resolved"), F.coalesce("__hops", "hops").alias("hops"), F.when(cycle, "cycle").otherwise(F.col("status")).alias("status"))
 
 
+def _pieces(edges: DataFrame) -> DataFrame:
+    """(code, since, until, to): of each code that has edges, over all dates, where it leads: to the greatest target of the edges that are in force by
+    then, or nowhere (null). edges: (code, to, since); a null ``since`` is always in force."""
+    first, last = F.lit("0000-00-00"), F.lit("9999-99-99")
+    step = edges.groupBy("code", F.coalesce("since", first).alias("since")).agg(F.max("to").alias("to"))
+    own = W.partitionBy("code").orderBy("since")
+    reach = step.select("code", "since", F.coalesce(F.lead("since").over(own), last).alias("until"), F.max("to").over(own).alias("to"))
+    before = step.groupBy("code").agg(F.min("since").alias("until")).where(F.col("until") > first).select("code", first.alias("since"), "until", F.lit(None).cast("string").alias("to"))
+    return reach.unionByName(before)
+
+
+def resolve_each(rows: DataFrame, current: DataFrame, edges: DataFrame) -> DataFrame:
+    """rows: (code, at): each is resolved as of its own date (text, as effective_from), following only edges in force by then. Gives (code, at,
+    resolved, hops, status), one for each distinct pair; hops is null on a cycle. Where an edge leads depends on the date, so pointers are doubled over pieces
+    of time: a piece and the pieces of its target that meet it make the pieces of twice the span. A null date follows every edge."""
+    known = cut(current.select(F.trim("code").alias("code")).distinct())
+    named = edges.select(F.trim("retired").alias("code"), F.trim("current").alias("to"), F.col("effective_from").alias("since")).where("to is not null")
+    piece = cut(_pieces(named.join(known, "code", "left_anti")).select("*", F.col("to").isNotNull().cast("long").alias("hops"), F.col("to").isNotNull().alias("open")))
+    codes = piece.select("code").distinct().count()
+    open_, span = codes, 1
+    while open_ and span <= 2 * codes:
+        ahead = piece.select(F.col("code").alias("to"), F.col("since").alias("__since"), F.col("until").alias("__until"), F.col("to").alias("__to"), F.col("hops").alias("__hops"), F.col("open").alias("__open"))
+        going, ended = piece.where("open"), piece.where("not open")
+        meet = (F.col("since") < F.col("__until")) & (F.col("__since") < F.col("until"))
+        both = going.join(ahead.where("__to is not null"), "to").where(meet)
+        further = both.select("code", F.greatest("since", "__since").alias("since"), F.least("until", "__until").alias("until"), F.col("__to").alias("to"), (F.col("hops") + F.col("__hops")).alias("hops"), F.col("__open").alias("open"))
+        nowhere = going.join(ahead.where("__to is null"), "to").where(meet).select("code", F.greatest("since", "__since").alias("since"), F.least("until", "__until").alias("until"), "to", "hops", F.lit(False).alias("open"))
+        at_end = going.join(ahead.select("to").distinct(), "to", "left_anti").select("code", "since", "until", "to", "hops", F.lit(False).alias("open"))
+        piece, open_ = cut_and_count(ended.unionByName(further).unionByName(nowhere).unionByName(at_end), F.col("open"))
+        span *= 2
+    asked = rows.select(F.trim("code").alias("code"), F.col("at").alias("at")).distinct()
+    day = F.coalesce("at", F.lit("9999-99-98"))
+    met = asked.join(piece.withColumnRenamed("code", "__code"), (F.col("code") == F.col("__code")) & (F.col("since") <= day) & (day < F.col("until")), "left")
+    end = F.coalesce("to", "code")
+    told = met.select("code", "at", end.alias("to"), F.coalesce("hops", F.lit(0)).cast("int").alias("hops"), F.coalesce("open", F.lit(False)).alias("cycle"))
+    told = told.join(known.select(F.col("code").alias("to"), F.lit(True).alias("__known")), "to", "left")
+    good = F.coalesce("__known", F.lit(False)) & ~F.col("cycle")
+    status = F.when(F.col("cycle"), "cycle").when(good, "current").otherwise("unknown")
+    return told.select("code", "at", F.when(good, F.col("to")).alias("resolved"), F.when(~F.col("cycle"), F.col("hops")).alias("hops"), status.alias("status"))
+
+
 def resolvable(current: DataFrame, edges: DataFrame, at: str | None = None) -> DataFrame:
     """(code): the current codes and all retired ones whose chain ends in one."""
     asked = current.select("code").union(edges.select(F.col("retired").alias("code")))

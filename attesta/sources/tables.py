@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
 from ..operators.constraints import ConstraintError, require, require_no_shrink
+from ..operators.storage import cut
 
 RATES = T.StructType([T.StructField(c, T.StringType()) for c in ("kato", "kato_version", "name_ru", "name_kk", "rate", "base_rate", "valid_from", "valid_to", "decision_ref", "source_url", "kazakh_source_url", "extraction_method")])
 KATO = T.StructType([T.StructField(c, T.StringType()) for c in ("kato", "kato_version", "level", "type_code", "name_ru", "name_kk")])
@@ -31,6 +33,29 @@ def with_lines(df: DataFrame, first: int = 2) -> DataFrame:
     return df.withColumn("line", F.monotonically_increasing_id() + first)
 
 
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line, value) of text files of any size: ``line`` counts from 1 within its file, whatever splits it is read in. Two passes: lines are counted by
+    split, and numbered from the count of the splits before."""
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("__id"))
+    splits = rows.groupBy("path", "start").agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("__first"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("path").orderBy("start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    met = rows.join(F.broadcast(splits.select("path", "start", "__first", before.alias("before"))), ["path", "start"])
+    return met.select("path", (F.col("before") + F.col("__id") - F.col("__first") + 1).alias("line"), "value")
+
+
+def read_csv_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """As read_csv, with ``line``: the line of the file that holds the row. For files without line breaks in fields, which are split; blank lines are
+    no rows. Every file starts with a header that has to agree with the schema."""
+    lines = text_lines(spark, path)
+    options = {"escape": '"', "mode": "FAILFAST"}
+    names = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    # a byte order mark and a carriage return belong to the line's ends
+    parsed = lines.select("path", "line", F.from_csv(F.regexp_replace("value", "^\ufeff|\r$", ""), names.simpleString()[7:-1].replace(":", " "), options).alias("r")).where(F.trim("value") != "")
+    wrong = parsed.where(F.col("line") == 1).where(~F.to_json(F.array(*[F.col("r")[c] for c in names.names])).eqNullSafe(F.to_json(F.array(*[F.lit(c) for c in names.names]))))
+    require(wrong.select("path"), "a header that disagrees")
+    return parsed.where("line > 1").select(*[F.col("r")[c].alias(c) for c in names.names], "line")
+
+
 def code_set(codes: DataFrame, column: str = "kato") -> DataFrame:
     return codes.select(F.trim(F.col(column)).alias("code")).where("code <> ''").distinct()
 
@@ -127,8 +152,9 @@ def swap_write(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def split_write(results: DataFrame, confirmed_path: str, queue_path: str, key: str = "document_id", allow_shrink: bool = False) -> dict[str, int]:
-    """Confirmed rows to one table, the others to another; refused if confirmed rows that exist would go. Returns counts by outcome."""
-    spark = results.sparkSession
+    """Confirmed rows to one table, the others to another; refused if confirmed rows that exist would go. Returns counts by outcome. The two are swapped
+    one after the other; publish.publish_split has both in one commit."""
+    spark, results = results.sparkSession, cut(results)
     good = results.where("outcome = 'confirmed'")
     old = optional(lambda: spark.read.parquet(confirmed_path), spark, good.schema)
     require_no_shrink(old, results, key, allow_shrink)
@@ -195,7 +221,10 @@ def write_with_source(df: DataFrame, path: str, source: dict[str, object]) -> No
 
     write_csv(df, path)
     counts = {r.level: r.n for r in df.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
-    text = json.dumps({**source, "rows": sum(counts.values()), "by_level": dict(sorted(counts.items()))}, ensure_ascii=False, indent=2)
+    from ..operators.gate import fingerprint_chunked
+
+    digest = fingerprint_chunked(df.select("kato", "level"), "kato", "level").first().fingerprint
+    text = json.dumps({**source, "rows": sum(counts.values()), "by_level": dict(sorted(counts.items())), "codes_sha256": digest}, ensure_ascii=False, indent=2)
     write_text(df.sparkSession, f"{path.rstrip('/')}.source.json", text)
 
 
