@@ -12,7 +12,7 @@ held out.
 
 Null and empty texts have the statistics of an empty text, and a score like any other. Labels other than 0 and 1, and
 labels of unknown documents, are ignored; a document with contradicting labels counts for each. A class without
-labelled rows, or an empty table, gives the neutral model: every score is the share of label 1 (0.5 without labels), and every document is accepted.
+labelled rows, or an empty table, gives the neutral model: every score is the share of label 1 (0.5 without labels), predicted follows it as always, and accepted() keeps every document.
 Repeated rows are scored alike, null keys as well (they count as held out). Other columns are not read by classify and stay in accepted. A
 text takes a worker some 100 times its bytes, whatever its length.
 """
@@ -148,7 +148,7 @@ def classify(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     vectors = stored(documents.select(F.col(key), statistics(F.col(text)).alias("vector")), "quality")
     model = fit(vectors, labels, key, label, **options)
     out = vectors.select(key, held_out(F.col(key)).alias("held_out"), scored(documents.sparkSession, model)("vector").alias("score"))
-    return out.select("*", F.when((F.col("score") >= threshold) | F.lit(model.neutral is not None), 1).otherwise(0).alias("predicted"))
+    return out.select("*", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
 def accepted(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = THRESHOLD, **options) -> DataFrame:

@@ -278,7 +278,8 @@ def test_quality_of_few_labels(spark):
     rows = quality.classify(docs, labels).collect()
     assert all(r.predicted == r.doc_id % 2 for r in rows)
     one_class = labels.where("quality = 0")
-    assert {(r.score, r.predicted) for r in quality.classify(docs, one_class).collect()} == {(0.0, 1)}
+    assert {(r.score, r.predicted) for r in quality.classify(docs, one_class).collect()} == {(0.0, 0)}
+    assert quality.accepted(docs, one_class).count() == docs.count()
     assert quality.accepted(docs, one_class).count() == 60
     moments = {c: (1.0, np.full(19, float(c)), np.full((19, 19), float(c))) for c in (0, 1)}
     scores = quality.Discriminant(moments).scores(np.array([[0.0] * 19, [1.0] * 19]))
