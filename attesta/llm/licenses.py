@@ -73,11 +73,12 @@ class Notice:
 
 class Scanner:
     def __init__(self, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES, chars_per_edit: int = CHARS_PER_EDIT):
+        """notices: any number of them, from a table as notices_of() reads it."""
         self.base = [(b" %s " % p.encode(), label) for p, label in base.items()]
         self.notices = [Notice(p, label, chars_per_edit) for p, label in notices.items()]
 
-    def scan(self, raw: bytes) -> tuple[int, list[tuple[int, str]], list[tuple[str, int, int, int]]]:
-        """Number of words; base places (word, label); spans (label, first word, last word, edits)."""
+    def scan(self, raw: bytes) -> tuple[int, list[tuple[int, str]], list[tuple[str, int, int, int, int]]]:
+        """Number of words; base places (word, label); spans (label, first word, last word, edits, characters of the notice)."""
         words = words_of(raw)
         line = b" %s " % b" ".join(words)
         places, spans = [], []
@@ -90,15 +91,16 @@ class Scanner:
         for notice in self.notices:
             for start, end, edits in notice.spans(line):
                 first, last = line.count(b" ", 0, start + 1) - 1, line.count(b" ", 0, end) - 1
-                spans.append((notice.label, max(first, 0), max(first, min(last, len(words) - 1)), edits))
+                spans.append((notice.label, max(first, 0), max(first, min(last, len(words) - 1)), edits, len(notice.text)))
         return len(words), places, spans
 
-    def score(self, places, spans_with_length) -> float:
-        return 1.0 if places else max((1 - edits / size for edits, size in spans_with_length), default=0.0)
+    def score(self, places, spans) -> float:
+        """1 for a base place, else the share of the best span's notice that is unchanged."""
+        return 1.0 if places else max((1 - edits / size for *_, edits, size in spans), default=0.0)
 
 
-SPAN = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("edits", pa.int64())])
-RESULT = "struct<n_words:bigint,n_base:bigint,first_word:bigint,last_word:bigint,base_labels:string,labels:string,score:double,spans:array<struct<label:string,first_word:bigint,last_word:bigint,edits:bigint>>>"
+SPAN = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("edits", pa.int64()), ("chars", pa.int64())])
+RESULT = "struct<n_words:bigint,n_base:bigint,first_word:bigint,last_word:bigint,base_labels:string,labels:string,score:double,spans:array<struct<label:string,first_word:bigint,last_word:bigint,edits:bigint,chars:bigint>>>"
 
 
 def scanned(scanner_args: tuple = ()):
@@ -107,15 +109,14 @@ def scanned(scanner_args: tuple = ()):
     @F.arrow_udf(RESULT)
     def run(texts: pa.Array) -> pa.Array:
         scanner, rows = Scanner(*scanner_args), []
-        least = {n.label: min(len(x.text) for x in scanner.notices if x.label == n.label) for n in scanner.notices}
         for raw in texts.cast(pa.binary()):
             n, places, spans = scanner.scan(raw.as_py() or b"")
             base = {label for _, label in places}
             rows.append({
                 "n_words": n, "n_base": len(places), "first_word": min(places)[0] if places else None, "last_word": max(places)[0] if places else None,
                 "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(base | {s[0] for s in spans})),
-                "score": scanner.score(places, [(s[3], least[s[0]]) for s in spans]),
-                "spans": [dict(zip(("label", "first_word", "last_word", "edits"), s, strict=True)) for s in spans],
+                "score": scanner.score(places, spans),
+                "spans": [dict(zip(("label", "first_word", "last_word", "edits", "chars"), s, strict=True)) for s in spans],
             })
         kind = pa.struct([("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()), ("spans", pa.list_(SPAN))])
         return pa.array(rows, kind)
@@ -123,6 +124,18 @@ def scanned(scanner_args: tuple = ()):
     return run
 
 
+def notices_of(rows: DataFrame, phrase: str = "phrase", label: str = "label", most: int = 100_000) -> dict[str, str]:
+    """Notices from a table, folded as texts are; of two labels for one phrase the lesser stays. They go into every worker, so over ``most`` are an error."""
+    own = rows.select(F.col(phrase).alias("p"), F.col(label).alias("l")).where("p is not null and l is not null").limit(most + 1).collect()
+    if len(own) > most:
+        raise ValueError(f"over {most} notices")
+    out: dict[str, str] = {}
+    for r in sorted(own, key=lambda r: r.l, reverse=True):
+        if text := b" ".join(words_of(r.p.encode())).decode():
+            out[text] = r.l
+    return out
+
+
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text", scanner_args: tuple = ()) -> DataFrame:
     """(key, n_words, n_base, first_word, last_word, base_labels, labels, score, spans)."""
     small_batches(df.sparkSession)

@@ -142,3 +142,24 @@ def test_chat_query(spark, tmp_path):
     assert (got[2].n_turns, got[2].turns_sha256, got[2].loss_chars) == (2, sha("\nx\n\nx\n"), 0)
     assert got[3].turns_sha256 == sha("human\n<|im_end|>\n")
     assert (got[-1].turns_sha256, got[-1].loss_chars, got[-1].loss_sha256) == (sha(f"user\n{odd}\nassistant\n{odd}\n"), len(odd), sha(odd))
+
+
+def test_score_is_of_the_spans_own_notice():
+    phrase = "permission is hereby granted free of charge to any person"
+    raw = phrase.replace("granted", "gronted").encode()
+    _, places, spans = licenses.Scanner().scan(raw)
+    assert not places and {s[0] for s in spans} == {"mit"}
+    assert licenses.Scanner().score(places, spans) == 1 - 1 / len(phrase)
+
+
+def test_notices_from_a_table(spark):
+    """A hundred notices, each found with an edit, under its label."""
+    names = [" ".join(f"w{(i * 37 + j * 11) % 97}x{i}" for j in range(5)) for i in range(100)]
+    table = spark.createDataFrame([(n.upper() + "!", f"l{i}") for i, n in enumerate(names)] + [(None, "x"), ("...", "y")], "phrase string, label string")
+    notices = licenses.notices_of(table)
+    assert notices == {n: f"l{i}" for i, n in enumerate(names)}
+    docs = spark.createDataFrame([(i, f"some words {n[:7]}z{n[7:]} and more") for i, n in enumerate(names)], "doc_id long, text string")
+    rows = licenses.scan(docs, scanner_args=(licenses.BASE, notices)).collect()
+    assert all(f"l{r.doc_id}" in r.labels.split(",") and r.score == 1 - 1 / len(names[r.doc_id]) for r in rows)
+    with pytest.raises(ValueError, match="notices"):
+        licenses.notices_of(table, most=10)
