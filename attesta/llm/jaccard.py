@@ -9,7 +9,7 @@ linked classes share one of each other's first |A| // 4 + 1 shingles in any comm
 shingle among their first. In the order, frequent shingles come last. They are found by counting within windows of
 the scan; since they only order, what that count misses costs time, not links. Blocks over SLICE classes are cut in slices.
 
-In a block, classes are packed into an R-tree by size (a block of up to LEAF classes is one leaf); the size bound and the overlap
+In a block, classes are packed into an R-tree by size (a block of up to NODE classes is one leaf); the size bound and the overlap
 bound of GROUPS coordinates give surviving pairs. Those are bounded again by finer vectors, of twice as many groups as
 shingles or more, and the survivors verified on the whole sets. A star round comes first: in each block, in a drawn order, each class
 meets the one with the largest bound among its LEAF neighbours, and of all its blocks the best pair is verified, so that groups of near
@@ -44,6 +44,8 @@ WORDS, PERCENT, GROUPS, MIDDLE = 5, 75, 64, 256
 WINDOW, OFTEN, FREQUENT, ORDERED = 2_000_000, 2, 8, 500_000
 #: Classes in a slice of a block; ids broadcast at most; fan-out of a tree; classes in a leaf; parts of a frequent shingle.
 SLICE, BROADCAST_IDS, FAN, LEAF, SALTS = 20_000, 500_000, 16, 64, 64
+#: Blocks of more rows than this are searched through a tree, those of up to LEAF rows through one of this fan-out and for all pairs.
+NODE = 4
 #: Pairs of two components that the first search tells; what _blocks tells.
 TOLD_FIRST, TOLD = 4, "u long, v long, ru long, rv long, score float, cut boolean, token long"
 
@@ -181,13 +183,13 @@ def best_of_roots(pairs: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roo
     return pairs[order[keep]], np.repeat(size > most, size)[keep]
 
 
-def tree_pairs(sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, percent: int, most: int = 1 << 40) -> tuple[np.ndarray, bool]:
+def tree_pairs(sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, percent: int, most: int = 1 << 40, fan: int = FAN) -> tuple[np.ndarray, bool]:
     """(i, j) of different roots that the bounds allow, up to ``most`` for two roots and searching row; whether there are more.
     Rows of the most common root are only searched, not searching."""
     _, inverse, counts = np.unique(roots, return_inverse=True, return_counts=True)
     out, cut = [np.zeros((0, 2), np.int64)], False
     if len(counts) > 1:
-        tree = CountTree(sizes, vectors, percent)
+        tree = CountTree(sizes, vectors, percent, fan)
         for i in np.flatnonzero(inverse != counts.argmax()):
             found = tree.search(sizes[i], vectors[i])
             found = found[roots[found] != roots[i]]
@@ -199,15 +201,15 @@ def tree_pairs(sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, percen
     return np.concatenate(out), cut
 
 
-def block_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, percent: int = PERCENT, leaf: int = LEAF, most: int = 1 << 40) -> tuple[np.ndarray, bool]:
+def block_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, roots: np.ndarray, percent: int = PERCENT, leaf: int = LEAF, most: int = 1 << 40, node: int = NODE) -> tuple[np.ndarray, bool]:
     """The pairs of rows of different roots in a block that the bounds allow, limited as in tree_pairs in blocks larger than a leaf."""
-    size = np.diff(starts)
-    at = np.flatnonzero(np.repeat(size <= leaf, size))
-    cuts = np.concatenate(([0], np.cumsum(size[size <= leaf])))
-    out, cut = [at[leaf_pairs(cuts, sizes[at], vectors[at], roots[at], percent, leaf)]], False
-    for b in np.flatnonzero(size > leaf):
+    size, node = np.diff(starts), min(node, leaf)
+    at = np.flatnonzero(np.repeat(size <= node, size))
+    cuts = np.concatenate(([0], np.cumsum(size[size <= node])))
+    out, cut = [at[leaf_pairs(cuts, sizes[at], vectors[at], roots[at], percent, node)]], False
+    for b in np.flatnonzero(size > node):
         a, z = starts[b], starts[b + 1]
-        found, more = tree_pairs(sizes[a:z], vectors[a:z], roots[a:z], percent, most)
+        found, more = tree_pairs(sizes[a:z], vectors[a:z], roots[a:z], percent, *((most,) if size[b] > leaf else (1 << 40, node)))
         out.append(found + a)
         cut |= more
     return np.concatenate(out), cut
