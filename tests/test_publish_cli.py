@@ -1,5 +1,6 @@
 """Files, loaders, entry points: what needs a folder."""
 
+import hashlib
 import json
 
 import pytest
@@ -77,7 +78,7 @@ def test_loaders(spark, tmp_path):
     assert tables.aliases(spark, f"{tmp_path}/a.json").first().resolves_to == "2" and tables.aliases(spark, f"{tmp_path}/no.json").count() == 0
     assert tables.unavailable_log(spark, f"{tmp_path}/u.json").count() == 1 and tables.unavailable_log(spark, f"{tmp_path}/no.json").count() == 0
     tables.write_with_source(spark.createDataFrame([("1", "e", "oblast", "0", "а", "б")], KATO), f"{tmp_path}/k", {"edition": "e"})
-    assert json.loads((tmp_path / "k.source.json").read_text()) == {"edition": "e", "rows": 1, "by_level": {"oblast": 1}}
+    assert json.loads((tmp_path / "k.source.json").read_text()) == {"edition": "e", "rows": 1, "by_level": {"oblast": 1}, "codes_sha256": hashlib.sha256(b"1=oblast").hexdigest()}
     tables.write_rows_json(spark.createDataFrame([("b", None), ("a", 1)], "k string, v int"), f"{tmp_path}/r.json", ["k"])
     assert json.loads((tmp_path / "r.json").read_text()) == [{"k": "a", "v": 1}, {"k": "b", "v": None}]
     files = spark.createDataFrame([("a", b"1"), ("b", b"2")], "name string, content binary").withColumn("sha256", F.sha2("content", 256))
