@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .storage import cut
 
 # Fixed values.
 WANTED, UNWANTED, REPEALED = ("понижени", "ставки"), ("утративш", "утратил", "внесении изменени"), ("утративш", "утратил")
@@ -51,11 +53,18 @@ def title_class(title: Column, year: int, wanted=WANTED, repealed=REPEALED) -> C
     return F.when(any_of(low, repealed), "repeal").when(all_of(low, wanted) & title.contains(str(year)), "rate-decision").otherwise("other")
 
 
+def raw_links(html: Column, pattern: str = LINK) -> Column:
+    """Array of (document_id, title): hrefs and their texts as they stand."""
+    return F.arrays_zip(T.all_found(html, pattern, 1).alias("document_id"), T.all_found(html, pattern, 2).alias("title"))
+
+
+def plain_title(raw: Column) -> Column:
+    return T.squeeze(T.unescape_all(T.without_tags(raw)))
+
+
 def links(pages: DataFrame, key: str, html: str, pattern: str = LINK) -> DataFrame:
     """(key, document_id, title): hrefs and their unescaped texts."""
-    h = F.col(html)
-    pairs = F.arrays_zip(T.all_found(h, pattern, 1).alias("document_id"), T.all_found(h, pattern, 2).alias("title"))
-    return pages.select(key, F.explode(pairs).alias("p")).select(key, "p.document_id", T.squeeze(T.unescape_all(T.without_tags(F.col("p")["title"]))).alias("title"))
+    return pages.select(key, F.explode(raw_links(F.col(html), pattern)).alias("p")).select(key, "p.document_id", plain_title(F.col("p")["title"]).alias("title"))
 
 
 def total_stated(html: Column) -> Column:
@@ -63,9 +72,11 @@ def total_stated(html: Column) -> Column:
     return F.coalesce(F.regexp_replace(T.found(text, TOTAL, 1), " ", "").try_cast("int"), F.lit(0))
 
 
-def listing_url(base: str, body: str, year: int, page: int = 1) -> str:
+def listing_url(base: Column | str, body: Column, year: Column, page: Column) -> Column:
     """The page number is left out on the first page."""
-    return f"{base}/rus/search/docs/dt={year}-&kv={quote('|')}1_{body}&va={quote(FORM)}&pagesize={PAGE_SIZE}" + (f"&page={page}" if page > 1 else "")
+    base = F.lit(base) if isinstance(base, str) else base
+    further = F.when(page > 1, F.concat(F.lit("&page="), page.cast("string"))).otherwise("")
+    return F.concat(base, F.lit("/rus/search/docs/dt="), year.cast("string"), F.lit(f"-&kv={quote('|')}1_"), body, F.lit(f"&va={quote(FORM)}&pagesize={PAGE_SIZE}"), further)
 
 
 def search_url(base: str, phrase: str) -> str:
@@ -95,37 +106,80 @@ def frontier(catalogue: Callable[[str], DataFrame], seeds: list[str], accept: Ca
     return found
 
 
-def paged(fetch: Callable[[int], tuple[list[tuple[str, str]], int]], most: int = MOST_PAGES) -> tuple[dict[str, str], str | None]:
-    """(id -> title, failure): stops when a page adds nothing, all are there, or the cap is reached; a failure keeps what came."""
-    found: dict[str, str] = {}
-    for page in range(1, most + 1):
-        try:
-            rows, total = fetch(page)
-        except OSError as e:
-            return found, str(e)
-        before = len(found)
-        found.update(rows)
-        if len(found) == before or len(found) >= total:
+LISTING = ["body", "adopted_year"]
+
+
+def fetched_by(get: Callable[[str], str], parts: int = 8) -> Callable[[DataFrame], DataFrame]:
+    """Makes a function url -> html, which may raise OSError, into one of frames, as ``pages_of`` and ``sweep`` take it: run in ``parts`` tasks, so that a
+    throttle made inside ``get`` is one for each of them."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for asked in batch.to_pylist():
+                try:
+                    rows.append({**asked, "html": get(asked["url"]), "error": None})
+                except OSError as e:
+                    rows.append({**asked, "html": None, "error": str(e) or type(e).__name__})
+            yield pa.RecordBatch.from_pylist(rows, SCHEMA)
+
+    SCHEMA = pa.schema([("body", pa.string()), ("adopted_year", pa.int32()), ("page", pa.int32()), ("url", pa.string()), ("html", pa.string()), ("error", pa.string())])
+    return lambda asked: asked.repartition(parts, "url").mapInArrow(run, "body string, adopted_year int, page int, url string, html string, error string")
+
+
+def _standing(pages: DataFrame, most: int) -> DataFrame:
+    """(body, adopted_year, stop, held, got, total, reason): for each listing the page at which reading it page by page would end, if that was fetched, how
+    many documents the pages up to there hold, how many the first page, the total last stated and why it failed, if it did."""
+    documents = pages.select(*LISTING, "page", F.explode("rows").alias("r")).groupBy(*LISTING, "r.document_id").agg(F.min("page").alias("page"))
+    new = documents.groupBy(*LISTING, "page").agg(F.count(F.lit(1)).alias("new"))
+    own = W.partitionBy(*LISTING).orderBy("page")  # at most ``most`` rows
+    told = pages.select(*LISTING, "page", "total", "error").join(new, [*LISTING, "page"], "left").withColumn("new", F.coalesce("new", F.lit(0)))
+    told = told.withColumn("held", F.sum("new").over(own))
+    ends = F.col("error").isNotNull() | (F.col("new") == 0) | (F.col("held") >= F.col("total")) | (F.col("page") >= most)
+    whole = told.groupBy(*LISTING).agg(
+        F.min(F.when(ends, F.col("page"))).alias("stop"), F.max("page").alias("last"), F.max("held").alias("held"), F.max_by("total", "page").alias("total"), F.max(F.when(F.col("page") == 1, F.col("new"))).alias("got"), F.collect_list(F.when(F.col("error").isNotNull(), F.struct("page", "error"))).alias("errors")
+    )
+    failed = F.filter("errors", lambda e: e["page"] == F.col("stop"))
+    return whole.select(*LISTING, "stop", "last", "held", "total", "got", F.get(failed, F.lit(0))["error"].alias("reason"))
+
+
+def pages_of(listings: DataFrame, get: Callable[[DataFrame], DataFrame], base: str = "", most: int = MOST_PAGES) -> tuple[DataFrame, DataFrame]:
+    """Reads listings (body, adopted_year) to their ends: (body, adopted_year, page, place, document_id, title), and the ledger (body, adopted_year, reason) of those
+    that failed part way. ``get`` takes (body, adopted_year, page, url) and gives these with (html, error).
+
+    A listing ends with a page that fails (what came before is kept), adds nothing, or brings as many documents as are stated, or is the last allowed one. All first
+    pages are fetched in one job, then of all open listings as many pages as the stated total asks for, judged by what the first page held: two or three jobs, not one request
+    after another. Pages are stored as they come and never fetched again; those beyond a listing's end are not used. A page without html and without an error failed too."""
+    left, held = listings.select(*LISTING).distinct().select("*", F.lit(1).alias("first"), F.lit(1).alias("until")), None
+    while True:
+        asked = left.select(*LISTING, F.explode(F.sequence("first", "until")).alias("page"))
+        answers = get(asked.select("*", listing_url(base, F.col("body"), F.col("adopted_year"), F.col("page")).alias("url")))
+        answers = asked.join(answers.select(*LISTING, "page", "html", "error"), [*LISTING, "page"], "left")
+        html, error = F.coalesce("html", F.lit("")), F.coalesce("error", F.when(F.col("html").isNull(), "no answer"))
+        came = cut(answers.select(*LISTING, "page", error.alias("error"), raw_links(html).alias("rows"), total_stated(html).alias("total")))
+        held = came if held is None else held.unionByName(came)
+        standing = cut(_standing(held, most))
+        open_ = standing.where("stop is null")
+        further = F.ceil((F.col("total") - F.col("held")) / F.col("got")).cast("int")
+        left = open_.select(*LISTING, (F.col("last") + 1).alias("first"), F.least(F.col("last") + F.greatest(further, F.lit(1)), F.lit(most)).alias("until"))
+        if not open_.limit(1).count():
             break
-    return found, None
-
-
-def sweep(spark: SparkSession, years: list[int], fetch: Callable[[str, int, int], tuple[list[tuple[str, str]], int]], names: dict[str, str] = BODIES) -> tuple[DataFrame, DataFrame]:
-    """Every body and year, paged: (document_id, title, body, adopted_year, kind) with the first listing of a document kept, and the ledger
-    (body, adopted_year, reason) of listings that failed part way; no failure is taken for an empty listing."""
-    found, failures, pos = [], [], 0
-    for year in years:
-        for body, name in names.items():
-            rows, failure = paged(lambda page, body=body, year=year: fetch(body, year, page))
-            if failure is not None:
-                failures.append((body, year, failure))
-            for document, title in rows.items():
-                found.append((pos, document, title, name, year))
-                pos += 1
-    table = spark.createDataFrame(found, "pos long, document_id string, title string, body string, adopted_year int")
-    kind = title_class(F.col("title"), max(years)) if years else F.lit(None).cast("string")
-    kept = first_wins(table.withColumn("kind", kind), ["document_id"], ["pos"]).drop("pos")
-    return kept, spark.createDataFrame(failures, "body string, adopted_year int, reason string")
+    used = held.join(standing.select(*LISTING, "stop"), LISTING).where((F.col("page") <= F.col("stop")) & F.col("error").isNull())
+    found = used.select(*LISTING, "page", F.posexplode("rows").alias("place", "r")).select(*LISTING, "page", "place", "r.document_id", plain_title(F.col("r")["title"]).alias("title"))
+    return found, standing.where("reason is not null").select(*LISTING, "reason")
+
+
+def sweep(listings: DataFrame, get: Callable[[DataFrame], DataFrame], base: str = "", most: int = MOST_PAGES) -> tuple[DataFrame, DataFrame]:
+    """listings: (body, name, adopted_year), read by ``pages_of``. Gives (document_id, title, body, adopted_year, kind), ``body`` being the name, each document in the first
+    listing by year and body that had it, with the title that this listing gave last; and the ledger (body, adopted_year, reason): no failure is taken for an
+    empty listing."""
+    found, failures = pages_of(listings, get, base, most)
+    one = found.groupBy(*LISTING, "document_id").agg(F.max_by("title", F.struct("page", "place")).alias("title"))
+    kept = one.groupBy("document_id").agg(F.min_by(F.struct(*LISTING, "title"), F.struct("adopted_year", "body")).alias("r")).select("document_id", "r.*")
+    last = listings.agg(F.max("adopted_year")).first()[0]
+    named = kept.join(listings.select(*LISTING, "name").distinct(), LISTING)
+    kind = title_class(F.col("title"), last) if last is not None else F.lit(None).cast("string")
+    return named.select("document_id", "title", F.col("name").alias("body"), "adopted_year", kind.alias("kind")), failures
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -168,30 +169,57 @@ _BODIES = ", ".join(f"('{k}', '{v}')" for k, v in discover.BODIES.items())
 
 
 @query(f"""
-SELECT body, name, y::INTEGER AS year, p::INTEGER AS page, 'https://h/rus/search/docs/dt=' || y || '-&kv=%7C1_' || body || '&va=%D0%A0%D0%95%D0%A8&pagesize=100' || CASE WHEN p > 1 THEN '&page=' || p ELSE '' END AS url
-FROM (VALUES {_BODIES}) b(body, name), range(2025, 2027) t(y), range(1, 4) u(p)""")
+WITH l AS (SELECT (151 + c_nationkey % 20)::VARCHAR AS body, year(o_orderdate)::INTEGER AS year, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
+SELECT body, name, year, p::INTEGER AS page, 'https://h/rus/search/docs/dt=' || year || '-&kv=%7C1_' || body || '&va=%D0%A0%D0%95%D0%A8&pagesize=100' || CASE WHEN p > 1 THEN '&page=' || p ELSE '' END AS url
+FROM (SELECT body, year, unnest(range(1, (n + 99) // 100 + 1)) AS p FROM l) JOIN (VALUES {_BODIES}) b(body, name) USING (body)""")
 def listing_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [(b, y, p, discover.listing_url("https://h", b, y, p)) for b in discover.BODIES for y in (2025, 2026) for p in (1, 2, 3)]
-    return spark.createDataFrame(rows, "body string, year int, page int, url string").join(discover.bodies(spark), "body").select("body", "name", "year", "page", "url")
+    """The addresses of all pages of the listings that orders fall in, by the body of their customer's nation and by year."""
+    listed = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    body = (151 + F.col("c_nationkey") % 20).cast("int").cast("string")
+    n = listed.groupBy(body.alias("body"), F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    pages = n.select("body", "year", F.explode(F.sequence(F.lit(1), F.ceil(F.col("n") / discover.PAGE_SIZE).cast("int"))).alias("page"))
+    url = discover.listing_url("https://h", F.col("body"), F.col("year"), F.col("page"))
+    return pages.join(F.broadcast(discover.bodies(spark)), "body").select("body", "name", "year", "page", url.alias("url"))
+
+
+#: Documents on a page of the listings that ``listing_swept`` reads; the page at which body 160 fails.
+_ON_PAGE, _GONE = 10, 3
+
+
+def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(body, adopted_year, document_id, title, page, total): listings made from parts, a third of them listed by two bodies."""
+    k = F.col("p_partkey")
+    year = (2000 + F.floor(k / 1000)).cast("int")
+    title = F.concat(F.when(k % 3 == 0, "О признании утратившим силу решения: ").otherwise("О понижении ставки на "), year.cast("string"), F.lit(" год &laquo;"), F.col("p_name"), F.lit("&raquo;"))
+    bodies = F.when(k % 3 == 0, F.array(k % 20, (k + 7) % 20)).otherwise(F.array(k % 20))
+    rows = read(spark, sf_dir, "part").select(F.explode(bodies).alias("b"), year.alias("adopted_year"), F.concat(F.lit("D"), k.cast("string")).alias("document_id"), title.alias("title"), k.alias("k"))
+    own = W.partitionBy("body", "adopted_year")  # a listing: at most some hundred documents
+    rows = rows.select((151 + F.col("b")).cast("int").cast("string").alias("body"), "adopted_year", "document_id", "title", "k")
+    return rows.select("*", (1 + F.floor((F.row_number().over(own.orderBy("k")) - 1) / _ON_PAGE)).cast("int").alias("page"), F.count(F.lit(1)).over(own).alias("total")).drop("k")
 
 
 @query(f"""
-WITH b AS (SELECT body, name FROM (VALUES {_BODIES}) b(body, name) WHERE body <> '160'), d AS (SELECT p_partkey AS k, body, name, row_number() OVER (PARTITION BY p_partkey ORDER BY body) AS n FROM part JOIN b ON p_partkey % 7 = body::INT % 7 WHERE p_partkey < 140)
-SELECT 'D' || k AS document_id, name AS body, 2025::INTEGER AS adopted_year, CASE WHEN k % 3 = 0 THEN 'repeal' WHEN k % 3 = 1 THEN 'rate-decision' ELSE 'other' END AS kind FROM d WHERE n = 1""")
+WITH b AS (SELECT * FROM (VALUES {_BODIES}) b(body, name)), p AS (SELECT p_partkey AS k, p_name, (2000 + p_partkey // 1000)::INTEGER AS year FROM part),
+l AS (SELECT k, p_name, year, (151 + k % 20)::VARCHAR AS body FROM p UNION ALL SELECT k, p_name, year, (151 + (k + 7) % 20)::VARCHAR FROM p WHERE k % 3 = 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY body, year ORDER BY k) AS place FROM l),
+f AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY year, body) AS nth FROM n WHERE body <> '160' OR place <= {_ON_PAGE * (_GONE - 1)})
+SELECT 'D' || k AS document_id, CASE WHEN k % 3 = 0 THEN 'О признании утратившим силу решения: ' ELSE 'О понижении ставки на ' END || year || ' год «' || p_name || '»' AS title, name AS body, year AS adopted_year,
+CASE WHEN k % 3 = 0 THEN 'repeal' WHEN year = (SELECT max(year) FROM p) THEN 'rate-decision' ELSE 'other' END AS kind FROM f JOIN b USING (body) WHERE nth = 1""")
 def listing_swept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sweep over all bodies and two years, one of them failing: each document once, in the first listing that had it."""
-    keys = [r[0] for r in read(spark, sf_dir, "part").select("p_partkey").orderBy("p_partkey").limit(140).collect()]  # a catalogue's pages, by definition few
-    titles = {0: "О признании утратившим силу понижения ставки 2026", 1: "О понижении ставки на 2026 год", 2: "О понижении ставки на 2024 год"}
-
-    def fetch(body: str, year: int, page: int) -> tuple[list[tuple[str, str]], int]:
-        if body == "160":
-            raise OSError("gone")
-        own = [k for k in keys if k % 7 == int(body) % 7]
-        return [(f"D{k}", titles[k % 3]) for k in own[(page - 1) * 10 : page * 10]], len(own)
-
-    found, failures = discover.sweep(spark, [2025, 2026], fetch)
-    constraints.require(failures.groupBy("body").count().where("body <> '160' or count <> 2"), "ledger")
-    return found.select("document_id", "body", "adopted_year", "kind")
+    """A sweep over the listings of all parts, read from their pages' markup, one body failing at its third page: each document once, in the first listing that had it."""
+    rows = _listed(spark, sf_dir)
+    link = F.concat(F.lit('<a href="/rus/docs/'), F.col("document_id"), F.lit('" class="x">'), F.col("title"), F.lit("</a>"))
+    markup = rows.groupBy("body", "adopted_year", "page").agg(F.concat(F.lit("Найдено: "), F.max("total").cast("string"), F.lit(" документов "), F.array_join(F.sort_array(F.collect_list(link)), " ")).alias("html"))
+
+    def get(asked: DataFrame) -> DataFrame:
+        gone = (F.col("body") == "160") & (F.col("page") == _GONE)
+        return asked.join(markup, ["body", "adopted_year", "page"], "left").select("body", "adopted_year", "page", "url", F.when(~gone, F.col("html")).alias("html"), F.when(gone, "gone").alias("error"))
+
+    listings = rows.select("body", "adopted_year").distinct().join(F.broadcast(discover.bodies(spark)), "body")
+    found, failures = discover.sweep(listings, get, "https://h")
+    wrong = rows.where(f"body = '160' and page = {_GONE}").select("body", "adopted_year").distinct().exceptAll(failures.where("reason = 'gone'").select("body", "adopted_year"))
+    constraints.require(wrong, "listings that failed and are not in the ledger")
+    return found
 
 
 @query("""

@@ -19,7 +19,8 @@ def test_listing(spark):
     df = spark.createDataFrame([("p", html), ("q", "nothing")], "k string, h string")
     assert [tuple(r) for r in discover.links(df, "k", "h").collect()] == [("p", "G25A1", "О понижении «размера» ставки А")]
     assert {r.k: r.n for r in df.select("k", discover.total_stated(F.col("h")).alias("n")).collect()} == {"p": 1230, "q": 0}
-    assert discover.listing_url("b", "x", 2026).endswith("100") and discover.listing_url("b", "x", 2026, 2).endswith("&page=2")
+    urls = [r[0] for r in spark.range(1, 3).orderBy("id").select(discover.listing_url("b", F.lit("x"), F.lit(2026), F.col("id"))).collect()]
+    assert urls[0].endswith("pagesize=100") and urls[1] == urls[0] + "&page=2"
 
 
 def test_frontier(spark):
@@ -28,16 +29,69 @@ def test_frontier(spark):
     assert discover.frontier(catalogue, ["seed", "dry"], lambda t: t != "") == {"a": "one two", "b": "three"}
 
 
-def test_paging():
-    pages = {1: ([("a", "1"), ("b", "2")], 3), 2: ([("c", "3")], 3)}
-    assert discover.paged(lambda n: pages[n])[0] == {"a": "1", "b": "2", "c": "3"}
-
-    def failing(n):
-        if n == 2:
-            raise OSError("gone")
-        return pages[1]
-
-    assert discover.paged(failing) == ({"a": "1", "b": "2"}, "gone")
+ASKED = "body string, adopted_year int"
+
+
+def page(ids, total):
+    return f"Найдено: {total} документов " + " ".join(f'<a href="/rus/docs/{i}" x>О понижении ставки на 2026 год, {t}</a>' for i, t in ids)
+
+
+def one_by_one(site, body, most):
+    """A listing read page by page, as a reader with a loop would: {document: (title)}, failure."""
+    found = {}
+    for n in range(1, most + 1):
+        ids, total, error = site.get((body, n), ([], 0, "no answer"))
+        if error:
+            return found, error
+        before = len(found)
+        found.update(ids)
+        if len(found) == before or len(found) >= total:
+            break
+    return found, None
+
+
+def test_paging(spark):
+    site = {
+        ("whole", 1): ([("A", "a"), ("B", "b")], 3, None), ("whole", 2): ([("C", "c")], 3, None),
+        ("fails", 1): ([("A", "a"), ("B", "b")], 9, None), ("fails", 2): ([], 0, "gone"), ("fails", 3): ([("Z", "z")], 9, None),
+        ("stalls", 1): ([("A", "a"), ("B", "b")], 9, None), ("stalls", 2): ([("A", "other"), ("B", "b")], 9, None), ("stalls", 3): ([("Z", "z")], 9, None),
+        ("thin", 1): ([("A", "a"), ("B", "b"), ("C", "c")], 5, None), ("thin", 2): ([("C", "later"), ("D", "d")], 5, None), ("thin", 3): ([("E", "e")], 5, None),
+        ("endless", 1): ([("N1", "a")], 99, None), ("endless", 2): ([("N2", "a")], 99, None), ("endless", 3): ([("N3", "a")], 99, None), ("endless", 4): ([("N4", "a")], 99, None), ("endless", 5): ([("N5", "a")], 99, None),
+        ("empty", 1): ([], 0, None), ("down", 1): ([], 0, "down"), ("shrinks", 1): ([("A", "a"), ("B", "b")], 8, None), ("shrinks", 2): ([("C", "c")], 2, None), ("shrinks", 3): ([("D", "d")], 8, None),
+    }
+    pages = spark.createDataFrame([(b, n, None if e else page(ids, t), e) for (b, n), (ids, t, e) in site.items()], "body string, page int, html string, error string")
+    asked = []
+
+    def get(wanted):
+        asked.append(wanted.count())
+        return wanted.join(pages, ["body", "page"])
+
+    names = sorted({b for b, _ in site}) + ["unheard"]
+    found, failures = discover.pages_of(spark.createDataFrame([(b, 2026) for b in names], ASKED), get, most=4)
+    got = {}
+    for r in found.orderBy("page", "place").collect():
+        got.setdefault(r.body, {})[r.document_id] = r.title.split(", ")[1]
+    want = {b: one_by_one(site, b, 4) for b in names}
+    assert got == {b: f for b, (f, _) in want.items() if f}
+    assert {r.body: r.reason for r in failures.collect()} == {b: e for b, (_, e) in want.items() if e}
+    assert asked[0] == len(names) and len(asked) == 3  # first pages, those that totals ask for, one more for the listing with repeats
+
+
+def test_paging_nothing(spark):
+    found, failures = discover.sweep(spark.createDataFrame([], "body string, name string, adopted_year int"), lambda asked: asked.withColumn("html", F.lit("")).withColumn("error", F.lit(None).cast("string")))
+    assert found.count() == failures.count() == 0 and found.columns == ["document_id", "title", "body", "adopted_year", "kind"]
+
+
+def test_fetched_by(spark):
+    def get(url):
+        if "1_2" in url:
+            raise OSError("down")
+        return page([("A", "a")], 1)
+
+    listings = spark.createDataFrame([("1", "one", 2026), ("2", "two", 2026), ("3", "three", 2026), ("1", "one", 2025)], "body string, name string, adopted_year int")
+    found, failures = discover.sweep(listings, discover.fetched_by(get, 2), "https://h")
+    assert [(r.document_id, r.body, r.adopted_year, r.kind) for r in found.collect()] == [("A", "one", 2025, "rate-decision")]
+    assert [tuple(r) for r in failures.collect()] == [("2", 2026, "down")]
 
 
 def test_sample_and_comparison(spark):

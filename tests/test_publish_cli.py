@@ -127,13 +127,5 @@ def test_chains(spark):
     assert got == {"a": ("c", 2, "current"), "c": ("c", 0, "current"), "x": (None, 3, "cycle"), "t3": (None, 6, "cycle"), "s": (None, 1, "cycle"), "lost": (None, 1, "unknown"), "n0": ("n300", 300, "current"), "unheard": (None, 0, "unknown")}
 
 
-def test_sweep_ledger(spark):
-    def fetch(body, year, page):
-        if body == "2":
-            raise OSError("down")
-        return [("A", "О понижении ставки 2026")], 1
-
-    found, failures = discover.sweep(spark, [2026], fetch, {"1": "one", "2": "two", "3": "three"})
-    assert [(r.document_id, r.body, r.kind) for r in found.collect()] == [("A", "one", "rate-decision")]
-    assert [tuple(r) for r in failures.collect()] == [("2", 2026, "down")]
+def test_bodies(spark):
     assert discover.bodies(spark).count() == 20 and constraints.deferred() == []
