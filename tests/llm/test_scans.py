@@ -94,6 +94,24 @@ def test_decontamination(spark, block):
     assert got == sorted(decontaminated(docs, items))
 
 
+@pytest.mark.parametrize("shingle", [5, 2])
+def test_decontamination_by_a_shuffle_join(spark, shingle):
+    """A benchmark beyond the bound of a broadcast: the same rows, and the same documents stay."""
+    rng = random.Random(17)
+    text = lambda n: " ".join(rng.choice(["a", "B", "c,d", "é", "f", "g"]) for _ in range(n))
+    items = [(f"i{i}", text(rng.choice([0, 1, 3, 4, 13, 14, 30]))) for i in range(20)] + [("i3", "a a b"), (None, "no one has this"), ("i100", None), ("i101", "uniq words here")]
+    long = [t for _, t in items if t and len(t.split()) > 12]
+    docs = [(i, text(rng.randrange(60))) for i in range(60)] + [(60, None), (61, ""), (62, "x " + long[0] + " z"), (None, "uniq words here"), (62, "uniq words here")]
+    docs += [(100 + i, long[1] + " q" * 400) for i in range(30)] + [(200, "w " * 2000 + long[2] + " no one has this")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("cls", F.lit("x")).withColumn("h", F.lit(1))
+    b = spark.createDataFrame(items, "item_id string, text string")
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    got = order(decontamination.contamination(d, b, shingle=shingle, broadcast_bytes=100).collect())
+    assert got == order(decontaminated(docs, items)) == order(decontamination.contamination(d, b, shingle=shingle).collect())
+    stay = lambda most: order(decontamination.clean(d, b, broadcast_bytes=most).collect())
+    assert stay(100) == stay(1 << 20) and 0 < len(stay(100)) < len(docs)
+
+
 def test_decontamination_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
