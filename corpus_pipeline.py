@@ -59,7 +59,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold enough of the benchmark go."""
-    return docs.where(~decontamination.judge(docs, table(spark, sf_dir, "benchmark"))["contaminated"])
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
