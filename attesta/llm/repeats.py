@@ -13,8 +13,12 @@ have l bytes in common, so that common prefixes come in increasing order. The ex
 then separate suffixes with LENGTH bytes in common. Those runs of suffixes that have two origins start repeated strings.
 
 Equal texts are one class and repeat outright; anchors of one text with equal surroundings are told once, with the ranges they
-cover, so that periodic text makes no hot anchor; windows are dealt by anchor; the windows of an anchor with over HOT
-surroundings, which could be too many for a task, are compared by 128-bit hashes of all their strings instead, summed over the cluster.
+cover, so that periodic text makes no hot anchor; windows are dealt by anchor. An anchor with over HOT surroundings is split by content: a
+shared string reaches at least half of what it has beyond the gram to one side, so windows are dealt by the half on their right, and again by the
+half on their left, and whatever two of them share they meet in one of these. Only parts that still have over HOT windows, all with one half in
+common, are compared by 128-bit hashes of all their strings, summed over the cluster. So no structure holds more than HOT windows, or BATCH_BYTES of
+several anchors. Anchors with over CROWD rows are counted by partial sums and joined back; at most one in CROWD rows is such an anchor, which bounds what
+is broadcast of them.
 Texts are shuffled twice: to cut windows, and to remove what is marked.
 
 Null and empty texts have no bytes, texts shorter than LENGTH nothing to remove, an empty table gives an empty result. Rows are judged
@@ -36,8 +40,10 @@ from .anchors import Grams, anchors
 from .common import releasing, scratch, small_batches, stored, table
 
 LENGTH, K = 400, 200
-#: Bytes of windows in one suffix structure; surroundings of one anchor that a task compares.
-BATCH_BYTES, HOT = 1 << 20, 100_000
+#: Bytes of windows in one suffix structure; windows of one anchor, or part of one, that a task compares: 6 MB of text, some 0.5 GB of arrays.
+BATCH_BYTES, HOT = 1 << 20, 10_000
+#: Rows of one anchor that may meet in a task to be counted.
+CROWD = 1 << 20
 
 
 def suffix_array(symbols: np.ndarray, piece: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -268,6 +274,22 @@ def _windows(length: int, k: int):
     return run
 
 
+def _halves(length: int, k: int):
+    """Windows of hot anchors -> the same, dealt by anchor and the half on the right, and by anchor and the half on the left."""
+    half = (length - k + 1) // 2
+
+    def run(batches):
+        for batch in batches:
+            a, _, _, left, gram, right = (batch.column(i).to_pylist() for i in range(6))
+            for side, parts in ((b"r", [r[:half] for r in right]), (b"l", [x[-half:] for x in left])):
+                at = [i for i, part in enumerate(parts) if len(part) == half]
+                of = [hashlib.blake2b(side + a[i].to_bytes(8, "big", signed=True) + gram[i] + parts[i], digest_size=8).digest() for i in at]
+                take = batch.take(pa.array(at, pa.int64()))
+                yield pa.record_batch([pa.array([int.from_bytes(d, "big", signed=True) for d in of], pa.int64()), *take.columns[1:]], batch.schema.names)
+
+    return run
+
+
 def _marks(length: int, batch_bytes: int):
     """Windows sorted by anchor -> (cls, start, stop), in batches of whole anchors."""
 
@@ -340,7 +362,28 @@ def _removed(length: int):
     return F.arrow_udf(run, "struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept_sha256:string,spans:array<struct<start:bigint,stop:bigint>>>")
 
 
-def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, k: int = K, hot: int = HOT, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def _judged(rows: DataFrame, hot: int) -> DataFrame:
+    """(a, c, cls, pos, stop) -> (a, cls, pos, stop, outright, asked, hot): whether an anchor's surroundings repeat outright, whether its window is the one
+    of its surroundings that is asked for, and whether the anchor has over ``hot`` surroundings."""
+    same, of = W.partitionBy("a", "c"), W.partitionBy("a")
+    rows = rows.repartition("a").distinct()  # copies in several tasks; the one exchange serves the windows too
+    rows = rows.select("*", (F.count(F.lit(1)).over(same) > 1).alias("twins"), F.row_number().over(same.orderBy("cls", "pos")).alias("nth"))
+    rows = rows.select("*", F.sum(F.when((F.col("nth") == 1) & (F.col("stop") < 0), 1).otherwise(0)).over(of).alias("kinds"))
+    return rows.select("a", "cls", "pos", "stop", ((F.col("stop") < 0) & F.col("twins")).alias("outright"), ((F.col("stop") < 0) & (F.col("nth") == 1) & (F.col("kinds") > 1)).alias("asked"), (F.col("kinds") > hot).alias("hot"))
+
+
+def _judged_by_sums(rows: DataFrame, hot: int) -> DataFrame:
+    """As _judged, for anchors whose rows should not meet in one task; there are few such anchors."""
+    place = F.struct("cls", "pos")
+    rows = rows.distinct()
+    same = rows.where("stop < 0").groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+    kinds = same.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"))
+    rows = rows.join(same, ["a", "c"], "left").join(F.broadcast(kinds), "a", "left")
+    told, kinds = F.col("stop") < 0, F.coalesce("kinds", F.lit(0))
+    return rows.select("a", "cls", "pos", "stop", (told & (F.coalesce("n", F.lit(0)) > 1)).alias("outright"), (told & place.eqNullSafe(F.col("first")) & (kinds > 1)).alias("asked"), (kinds > hot).alias("hot"))
+
+
+def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, k: int = K, hot: int = HOT, batch_bytes: int = BATCH_BYTES, crowd: int = CROWD) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256, spans) for each row; spans are byte ranges that go."""
     spark = df.sparkSession
     small_batches(spark)
@@ -349,21 +392,28 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
     with scratch(spark):
         copies = stored(long.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("rep")), "copies")
         rows = long.select("cls", "text").mapInArrow(releasing(_anchored(length, k)), "a long, c long, cls binary, pos int, twin boolean, stop int")
-        same, of = W.partitionBy("a", "c"), W.partitionBy("a")
-        rows = rows.repartition("a").distinct()  # copies in several tasks; the one exchange serves the windows too
-        rows = rows.select("*", (F.count(F.lit(1)).over(same) > 1).alias("twins"), F.row_number().over(same.orderBy("cls", "pos")).alias("nth"))
-        rows = rows.select("*", F.sum(F.when((F.col("nth") == 1) & (F.col("stop") < 0), 1).otherwise(0)).over(of).alias("kinds"))
-        rows = rows.select("a", "cls", "pos", "stop", ((F.col("stop") < 0) & F.col("twins")).alias("outright"), ((F.col("stop") < 0) & (F.col("nth") == 1) & (F.col("kinds") > 1)).alias("asked"), (F.col("kinds") > hot).alias("hot"))
+        rows = stored(rows.drop("twin"), "found")
+        crowded = stored(rows.groupBy("a").count().where(F.col("count") > crowd).select("a"), "crowded")
+        if crowded.limit(1).count():
+            few, many = rows.join(F.broadcast(crowded), "a", "left_anti"), rows.join(F.broadcast(crowded), "a", "left_semi")
+            rows = _judged(few, hot).union(_judged_by_sums(many, hot))
+        else:
+            rows = _judged(rows, hot)
         shared = stored(rows.where("stop >= 0 or outright or asked"), "anchors")
         asked = shared.where("asked").groupBy("cls").agg(F.collect_list(F.struct("a", "pos", "hot")).alias("places")).join(copies.select("cls", "rep"), "cls")
         cut = long.join(asked, (long["cls"] == asked["cls"]) & long["key"].eqNullSafe(asked["rep"])).select(long["cls"], "text", "places")
         windows = cut.mapInArrow(releasing(_windows(length, k)), "a long, hot boolean, cls binary, pos int, left binary, gram binary, right binary")
         any_hot = bool(shared.where("hot").limit(1).count())
-        windows = stored(windows, "windows") if any_hot else windows
-        usual = windows.where("not hot") if any_hot else windows
+        if any_hot:
+            windows = stored(windows, "windows")
+            halves = stored(windows.where("hot").drop("hot").mapInArrow(releasing(_halves(length, k)), "a long, cls binary, pos int, left binary, gram binary, right binary"), "halves")
+            halves = halves.join(halves.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "a")
+            usual = windows.where("not hot").drop("hot").union(halves.where(F.col("n") <= hot).drop("n"))
+        else:
+            usual = windows
         marks = usual.select("a", "cls", "pos", "left", "gram", "right").repartition("a").sortWithinPartitions("a").mapInArrow(releasing(_marks(length, batch_bytes)), "cls binary, start long, stop long")
         if any_hot:
-            strings = stored(windows.where("hot").select("cls", "pos", "left", "gram", "right").mapInArrow(_strings(length), "h binary, cls binary, start long").distinct(), "strings")
+            strings = stored(halves.where(F.col("n") > hot).select("cls", "pos", "left", "gram", "right").mapInArrow(_strings(length), "h binary, cls binary, start long").distinct(), "strings")
             often = strings.groupBy("h").count().where("count > 1").select("h")
             marks = marks.union(strings.join(often, "h").select("cls", "start", (F.col("start") + length).alias("stop")))
         marks = marks.union(copies.where("n > 1").select("cls", F.lit(0).cast("long"), F.lit(1 << 40)))

@@ -55,6 +55,23 @@ def test_equals_brute_force(spark, length, k, hot):
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == want
 
 
+@pytest.mark.parametrize(("hot", "crowd"), [(50, 1 << 20), (400, 100), (50, 40), (3, 1)])
+def test_one_anchor_with_most_surroundings(spark, hot, crowd):
+    """A gram that stands in many texts amid other bytes: split by content, then by hashes where a half is shared as well."""
+    rng = random.Random(hot)
+    noise = lambda n: "".join(rng.choice("etaoin") for _ in range(n))
+    gram, half = noise(24), noise(12)
+    texts = [noise(rng.randrange(30)) + gram + noise(rng.randrange(30)) for _ in range(600)]
+    texts += [noise(rng.randrange(9)) + gram + half + noise(rng.randrange(30)) for _ in range(150)]
+    texts += [noise(rng.randrange(20)) + half + gram + rng.choice("etaoin") * rng.randrange(9) for _ in range(60)]
+    texts += texts[:20] + [t[3:] + "x" for t in texts[600:640]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = repeats.without_repeats(df, length=40, k=20, hot=hot, crowd=crowd).orderBy("doc_id").collect()
+    want = brute([t.encode() for t in texts], 40)
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == want
+    assert sum(r.n_removed > 0 for r in got) > 60
+
+
 def test_runs(spark):
     rng = random.Random(5)
     for _ in range(200):
