@@ -19,17 +19,23 @@ def level_of(code: Column) -> Column:
     return F.when(code.rlike(r"^[0-9]{9}$"), level)
 
 
+#: Joins of a round of pointer jumping, all with one table of pointers: after a round a pointer spans STEPS + 1 times what it did.
+STEPS = 3
+
+
 def _ends(edges: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """edges: (code, to), one from each code. (code, to, hops) for the chains that end, by doubling: after k rounds a row spans up to
-    2 ** k edges, so that a chain of any depth takes the logarithm of it in rounds. As long as chains that end are open, each round closes
-    some; when none closes, the open codes lie on cycles or lead to one: once rows span all of them, (code, to) with ``to`` on a cycle."""
-    jump, span, last = cut(edges.select("code", "to", F.lit(1).cast("long").alias("hops"))), 1, -1
+    """edges: (code, to), one from each code, stored. (code, to, hops) for the chains that end, by jumping: after k rounds a row spans up to
+    (STEPS + 1) ** k edges, so that a chain of any depth takes the logarithm of it in rounds, each written once. As long as chains that end are open, each round
+    closes some; when none closes, the open codes lie on cycles or lead to one: once rows span all of them, (code, to) with ``to`` on a cycle."""
+    jump, span, last = edges.select("code", "to", F.lit(1).cast("long").alias("hops")), 1, -1
     while True:
         ahead = jump.select(F.col("code").alias("to"), F.col("to").alias("__to"), F.col("hops").alias("__hops"))
-        joined = jump.select("code", "to", "hops").join(ahead, "to", "left")
-        jumped = joined.select("code", F.coalesce("__to", "to").alias("to"), (F.col("hops") + F.coalesce("__hops", F.lit(0))).alias("hops"), F.col("__to").isNotNull().alias("open"))
+        jumped = jump.select("code", "to", "hops")
+        for _ in range(STEPS):
+            joined = jumped.select("code", "to", "hops").join(ahead, "to", "left")
+            jumped = joined.select("code", F.coalesce("__to", "to").alias("to"), (F.col("hops") + F.coalesce("__hops", F.lit(0))).alias("hops"), F.col("__to").isNotNull().alias("open"))
         jump, open_ = cut_and_count(jumped, F.col("open"))
-        span *= 2
+        span *= STEPS + 1
         if not open_:
             return jump.select("code", "to", "hops"), None
         if open_ == last and span > open_:
@@ -41,13 +47,17 @@ def _cycles(edges: DataFrame, left: DataFrame) -> DataFrame:
     """(code, hops): how many edges the codes in or before a cycle follow until one comes again. left: (code, to), ``to`` on a cycle."""
     on = cut(left.select(F.col("to").alias("code")).distinct())
     least = cut(edges.join(on, "code", "left_semi").select("code", "to", F.least("code", "to").alias("name")))
-    for _ in range(max(1, on.count()).bit_length()):
+    changed = 1
+    while changed:  # once no name falls, each is the least of its whole cycle
         ahead = least.select(F.col("code").alias("to"), F.col("to").alias("__to"), F.col("name").alias("__name"))
-        least = cut(least.join(ahead, "to").select("code", F.col("__to").alias("to"), F.least("name", "__name").alias("name")))
+        further = least.select("code", "to", "name", F.col("name").alias("was"))
+        for _ in range(STEPS):
+            further = further.join(ahead, "to").select("code", F.col("__to").alias("to"), F.least("name", "__name").alias("name"), "was")
+        least, changed = cut_and_count(further, F.col("name") < F.col("was"))
     size = least.groupBy("name").agg(F.count(F.lit(1)).alias("size"))
     around = cut(least.select("code", "name").join(size, "name").select("code", "size"))
     before = edges.join(left.select("code"), "code", "left_semi").join(on, "code", "left_anti")
-    told, _ = _ends(before)
+    told, _ = _ends(cut(before))
     entered = told.join(around.withColumnRenamed("code", "to"), "to").select("code", (F.col("hops") + F.col("size")).alias("hops"))
     return around.select("code", F.col("size").alias("hops")).unionByName(entered)
 
