@@ -79,3 +79,18 @@ def test_a_batch_gives_what_a_stream_gives(spark, folder):
         drop(other, str(k), rows[28 * k : 28 * k + 28])
     assert run(spark, other, lateness="1 day") == whole
     assert spark.read.parquet(f"{other}/out").where(F.col("change") == "new").count() >= 5
+
+
+def test_documents_share_states(spark, folder):
+    """A state for each document took 113 s for 150,000 orders; what is told does not depend on the groups."""
+    told = []
+    for groups in (1, 1 << 30):
+        at = folder / str(groups)
+        (at / "in").mkdir(parents=True)
+        for k in range(4):
+            rows = [(f"b{i % 3}", f"d{i % 8}", (None, "", "one")[i * 7 // 5 % 3], f"{1 + (i * (k + 3) // 20 + 2 * k) % 4:02}-{1 + (i * i + 5 * k) % 28:02}") for i in range(60)]
+            drop(at, str(k), rows)
+        told.append(run(spark, at, lateness="20 days", groups=groups))
+        assert (spark.read.format("statestore").load(f"{at}/check").count() <= 1) == (groups == 1)
+    assert told[0] == told[1]
+    assert {"new", "changed", "gone"} == {c for *_, c in told[0]}
