@@ -76,11 +76,18 @@ def exact_or_prefix(terms: DataFrame, asked: list[tuple[int, str, bool, int]]) -
     return terms.where(wanted).select("*", F.explode(F.array_compact(F.array(*each))).alias("a")).select(*terms.columns, "a.*")
 
 
-def near(parted: DataFrame, asked: list[tuple[int, str, bool, int]]) -> DataFrame:
+def bytewise(text: Column) -> Column:
+    """A character for each byte of the text in UTF-8."""
+    return F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+
+
+def near(parted: DataFrame, asked: list[tuple[int, str, bool, int]], by_bytes: bool = False) -> DataFrame:
     """The rows of ``parted`` (see parts) within the edits of an asked term, once for each, with (q, asked, prefix, edits, distance); those that
-    exact_or_prefix finds are left out."""
+    exact_or_prefix finds are left out. ``by_bytes``: edits are of bytes in UTF-8, which are never fewer than those of characters, so that segments of characters
+    lose none."""
     keep = [c for c in parted.columns if c not in ("edits", "size", "i", "part")]
     met = parted.join(F.broadcast(asked_probes(parted.sparkSession, asked)), ["edits", "size", "i", "part"])
     found = met.where((F.col("term") != F.col("asked")) & ~(F.col("prefix") & F.col("term").startswith(F.col("asked")))).select(*keep, "q", "asked", "prefix", "edits").distinct()
     most = max(k for *_, k in asked)
-    return found.withColumn("distance", F.levenshtein("asked", "term", most)).where((F.col("distance") >= 0) & (F.col("distance") <= F.col("edits")))
+    a, b = (bytewise(F.col(c)) if by_bytes else F.col(c) for c in ("asked", "term"))
+    return found.withColumn("distance", F.levenshtein(a, b, most)).where((F.col("distance") >= 0) & (F.col("distance") <= F.col("edits")))

@@ -135,7 +135,7 @@ def weighted(found: DataFrame, near: DataFrame | None) -> DataFrame:
     return out if near is None else out.unionByName(near.select(*columns, (FUZZY_WEIGHT * size / (size + F.col("distance"))).alias("weight")))
 
 
-def expanded(index: Index, terms: list[str], prefix: bool | list[bool] = False, fuzzy: float | bool = False) -> DataFrame:
+def expanded(index: Index, terms: list[str], prefix: bool | list[bool] = False, fuzzy: float | bool = False, by_bytes: bool = False) -> DataFrame:
     """(q, asked, field, term, df, weight): indexed terms for each query term. Prefixes are ranges of the vocabulary, near terms meet in an equi
     join on segments; see lookup."""
     asked, near = asked_terms(terms, prefix, fuzzy), None
@@ -143,7 +143,7 @@ def expanded(index: Index, terms: list[str], prefix: bool | list[bool] = False,
         own = [a for a in asked if a[3] == edits]
         size = F.char_length("term")
         fitting = index.vocabulary.where(size.between(min(len(a[1]) for a in own) - edits, max(len(a[1]) for a in own) + edits))
-        found = lookup.near(lookup.parts(fitting, edits), own)
+        found = lookup.near(lookup.parts(fitting, edits), own, by_bytes)
         near = found if near is None else near.unionByName(found)
     return weighted(lookup.exact_or_prefix(index.vocabulary, asked), near).select("q", "asked", "field", "term", "df", "weight")
 
@@ -154,17 +154,17 @@ def _matched(index: Index, hits: DataFrame) -> DataFrame:
     return met.join(F.broadcast(index.stats), "field")
 
 
-def search(index: Index, query: str, combine: str = "OR", prefix: bool | list[bool] = False, fuzzy: float | bool = False, boost: dict[str, float] | None = None, fields: list[str] | None = None, boost_documents: DataFrame | None = None, where: Column | None = None) -> DataFrame:
+def search(index: Index, query: str, combine: str = "OR", prefix: bool | list[bool] = False, fuzzy: float | bool = False, boost: dict[str, float] | None = None, fields: list[str] | None = None, boost_documents: DataFrame | None = None, where: Column | None = None, by_bytes: bool = False) -> DataFrame:
     """(doc, score, terms): score is the sum over matches times the number of distinct query terms that match.
 
-    ``boost_documents`` (doc, boost) multiplies; 0 drops a document. ``where`` is a condition on the stored columns. The result
-    has no order; see ``ranked``.
+    ``boost_documents`` (doc, boost) multiplies; 0 drops a document. ``where`` is a condition on the stored columns. ``by_bytes``: edits of near
+    terms are of bytes instead of characters. The result has no order; see ``ranked``.
     """
     index, terms = index.live(), query_terms(query)
     spark = index.postings.sparkSession
     if not terms:
         return spark.createDataFrame([], f"doc {index.documents.schema['doc'].dataType.simpleString()}, score double, terms int")
-    hits = expanded(index, terms, prefix, fuzzy)
+    hits = expanded(index, terms, prefix, fuzzy, by_bytes)
     if fields:
         hits = hits.where(F.col("field").isin(*fields))
     weight = F.col("weight")

@@ -69,3 +69,11 @@ def test_parts_are_the_cuts(spark, words):
         got = {(r.term, r["size"], r.i, r.part) for r in lookup.parts(spark.createDataFrame([(w,) for w in words], "term string"), edits).collect()}
         assert got == {(w, len(w), i, w[s : s + n]) for w in words for i, (s, n) in enumerate(lookup.cuts(len(w), edits))}
     assert lookup.parts(spark.createDataFrame([], "term string"), 2).select(F.sum("i")).first()[0] is None
+
+
+def test_edits_of_bytes(index, words):
+    """fuzzy_search told (725, 3.675143) at sf0.1, a near term by characters, which its SQL does not have."""
+    got = sorted((r.term, round(r.weight, 9)) for r in search.expanded(index, ["abcéa"], fuzzy=2, by_bytes=True).collect() if r.term != "abcéa")
+    apart = {w: distance("abcéa".encode(), w.encode()) for w in words}
+    assert got == sorted((w, round(0.45 * len(w) / (len(w) + d), 9)) for w, d in apart.items() if 1 <= d <= 2)
+    assert any(distance("abcéa", w) <= 2 < d for w, d in apart.items())
