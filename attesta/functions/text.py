@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html as entities
+from collections.abc import Callable
 from functools import reduce
 
 import pyarrow as pa
@@ -21,6 +22,11 @@ def lookup(values: dict[str, object]) -> Column:
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Without white space, of any script, at both ends."""
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
@@ -46,8 +52,7 @@ def all_found(text: Column, pattern: str, group: int = 0) -> Column:
 
 def only(values: Column) -> Column:
     """The one distinct element, or null: an ambiguous source is a silent one."""
-    distinct = F.array_distinct(values)
-    return F.when(F.size(distinct) == 1, F.get(distinct, F.lit(0)))
+    return let(F.array_distinct(values), lambda distinct: F.when(F.size(distinct) == 1, F.get(distinct, F.lit(0))))
 
 
 def sentences(text: Column) -> Column:
@@ -140,11 +145,15 @@ def dates(text: Column, marker: str) -> Column:
     """Distinct ISO dates after a marker, as DD.MM.YYYY or D <month> YYYY года; a date that goes on as a registry footnote is no
     date of the text's own."""
     footnote = r"(?!\s*в\s+соответствии\s+с\s+пунктом\s+\d+\s+настоящего\s+решения)"
-    numeric = rf"(?iuU){marker}(\d{{2}})\.(\d{{2}})\.(\d{{4}}){footnote}"
-    spelled = rf"(?iuU){marker}(\d{{1,2}})\s+(\w+)\s+(\d{{4}})\s+года{footnote}"
-    first = [all_found(text, numeric, g) for g in (1, 2, 3)]
-    second = [all_found(text, spelled, g) for g in (1, 2, 3)]
+    numeric = rf"{marker}(\d{{2}})\.(\d{{2}})\.(\d{{4}})"
+    spelled = rf"{marker}(\d{{1,2}})\s+(\w+)\s+(\d{{4}})\s+года"
     month = lookup(MONTHS)
-    a = F.transform(F.arrays_zip(*[c.alias(n) for c, n in zip(first, "dmy", strict=True)]), lambda x: F.concat_ws("-", x["y"], x["m"], x["d"]))
-    b = F.transform(F.arrays_zip(*[c.alias(n) for c, n in zip(second, "dmy", strict=True)]), lambda x: F.when(month[F.lower(x["m"])].isNotNull(), F.concat_ws("-", x["y"], month[F.lower(x["m"])], F.lpad(x["d"], 2, "0"))))
+
+    def parts(pattern: str, date: Callable[[Column, Column, Column], Column]) -> Column:
+        # the text is read once for each form, its groups from what matched
+        whole = all_found(text, rf"(?iuU){pattern}{footnote}")
+        return F.transform(whole, lambda x: date(*[F.regexp_extract(x, rf"(?iuU)^{pattern}$", g) for g in (1, 2, 3)]))
+
+    a = parts(numeric, lambda d, m, y: F.concat_ws("-", y, m, d))
+    b = parts(spelled, lambda d, m, y: let(month[F.lower(m)], lambda n: F.when(n.isNotNull(), F.concat_ws("-", y, n, F.lpad(d, 2, "0")))))
     return F.array_compact(F.array_distinct(F.concat(a, b)))

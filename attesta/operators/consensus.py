@@ -48,8 +48,8 @@ def classify(df: DataFrame, text: str = "text", kazakh_text: str = "kazakh_text"
     """
     t = F.col(text)
     marker = F.array_compact(F.array(*[F.when(t.contains(m), F.lit(m)) for m in SUPERSEDED]))
-    year = R.year(t, F.col(year_hint) if year_hint else None)
-    step = df.select("*", marker.alias("__superseded"), R.rate_sentence(t).alias("sentence"), year.alias("__year"), R.kazakh(F.col(kazakh_text), F.col(kazakh_error)).alias("__kazakh"))
+    year = R.year(t, F.col(year_hint) if year_hint else None, F.col("__force"))
+    step = df.select("*", R.in_force(t).alias("__force")).select("*", marker.alias("__superseded"), R.rate_sentence(t).alias("sentence"), year.alias("__year"), R.kazakh(F.col(kazakh_text), F.col(kazakh_error)).alias("__kazakh"))
     s, y = F.col("sentence"), F.col("__year")["year"]
     early = (F.size("__superseded") > 0) | s.isNull()
     all_readings = F.array(R.digit(s), R.word(s), R.transition(s, y), F.col("__kazakh"), R.regime(s))
@@ -79,9 +79,9 @@ def classify(df: DataFrame, text: str = "text", kazakh_text: str = "kazakh_text"
     out = step.select(
         "*", outcome.alias("outcome"), F.when(F.col("reason").isNull(), F.col("__rate")).alias("rate"),
         F.when(F.col("reason").isNotNull(), ~F.col("__early") & only_regime).alias("terminal"),
-        F.when(~F.col("__early"), R.decision_ref(t)).alias("decision_ref"), F.when(~F.col("__early"), R.in_force(t)).alias("in_force_from"),
+        F.when(~F.col("__early"), R.decision_ref(t)).alias("decision_ref"), F.when(~F.col("__early"), F.col("__force")).alias("in_force_from"),
     )
-    return out.drop("__superseded", "__year", "__kazakh", "__conflict", "__early", "__rate")
+    return out.drop("__superseded", "__year", "__kazakh", "__conflict", "__early", "__rate", "__force")
 
 
 def extract(ids: DataFrame, documents: DataFrame, failures: DataFrame, base: str = "https://adilet.zan.kz") -> DataFrame:

@@ -31,71 +31,93 @@ def reading(reader: str, value: Column | None, detail: Column | str, kind: str)
     return F.struct(F.lit(reader).alias("reader"), value.alias("rate_percent"), (F.lit(detail) if isinstance(detail, str) else detail).alias("detail"), F.lit(kind).alias("kind"))
 
 
+def _groups(match: Column, pattern: str, n: int) -> list[Column]:
+    """The groups of what a pattern that looks at nothing beyond its match matched; null where it is null."""
+    return [F.regexp_extract(match, pattern, g) for g in range(1, n + 1)]
+
+
 def rate_sentence(text: Column) -> Column:
     """The one sentence that moves a rate, or null if there are none or several."""
     moves = F.filter(
         T.sentences(text),
         lambda s: (s.contains("процент") | s.contains("%")) & s.rlike(rf"(?U)\b{FROM}\s*\d") & s.rlike(rf"(?U)\b{TO}\s+\d"),
     )
-    return F.when(F.size(moves) == 1, T.strip(F.get(moves, F.lit(0))))
+    return T.let(moves, lambda m: F.when(F.size(m) == 1, T.strip(F.get(m, F.lit(0)))))
 
 
 def digit(sentence: Column) -> Column:
     """The numeral after the preposition of the new rate."""
     pattern = rf"(?U)\b{TO}\s+(\d+)\s*(?:\(|%|процент)"
-    value = T.found(sentence, pattern, 1).try_cast("int")
-    return F.when(value.isNotNull(), reading("digit", value, T.strip(T.found(sentence, pattern)), READ)).otherwise(reading("digit", None, "no numeral after the preposition", NO_MATCH))
+    found = T.let(T.found(sentence, pattern), lambda m: F.struct(m.alias("m"), _groups(m, pattern, 1)[0].try_cast("int").alias("value")))
+    return T.let(found, lambda x: F.when(x["value"].isNotNull(), reading("digit", x["value"], T.strip(x["m"]), READ)).otherwise(reading("digit", None, "no numeral after the preposition", NO_MATCH)))
 
 
 def word(sentence: Column) -> Column:
     """The last spelled numeral in parentheses before the unit, through its own table."""
     all_words = T.all_found(sentence, r"(?U)\(\s*([А-Яа-яЁё]+)\s*\)\s*процент", 1)
     last = F.lower(F.try_element_at(all_words, F.lit(-1)))
-    value = T.lookup(NUMERALS)[last]
-    return (
-        F.when(last.isNull(), reading("word", None, "no spelled numeral", NO_MATCH))
-        .when(value.isNull(), reading("word", None, F.concat(F.lit("unknown numeral "), last), SUBSTANTIVE))
-        .otherwise(reading("word", value, F.concat(F.lit("("), last, F.lit(") процент")), READ))
-    )
+
+    def told(x: Column) -> Column:
+        last, value = x["last"], x["value"]
+        return (
+            F.when(last.isNull(), reading("word", None, "no spelled numeral", NO_MATCH))
+            .when(value.isNull(), reading("word", None, F.concat(F.lit("unknown numeral "), last), SUBSTANTIVE))
+            .otherwise(reading("word", value, F.concat(F.lit("("), last, F.lit(") процент")), READ))
+        )
+
+    return T.let(T.let(last, lambda x: F.struct(x.alias("last"), T.lookup(NUMERALS)[x].alias("value"))), told)
 
 
 def transition(sentence: Column, year: Column) -> Column:
     """The movement from the old rate to the new one: downwards, and from the year's base."""
     unit = r"\s*(?:\(|%|процент)"
     pattern = rf"(?U)\b{FROM}\s+(\d+){unit}.*?\b{TO}\s+(\d+){unit}"
-    old, new = (T.found(sentence, pattern, g).try_cast("int") for g in (1, 2))
     base = T.lookup(BASE_RATES)[year.cast("int")]
-    move = F.concat_ws(" -> ", old, new)
-    return (
-        F.when(old.isNull(), reading("transition", None, "no pair of old and new rate", NO_MATCH))
-        .when(new >= old, reading("transition", None, F.concat(F.lit("not a reduction: "), move), SUBSTANTIVE))
-        .when(base.isNull(), reading("transition", None, "no base known for the year, so the origin cannot be checked", SUBSTANTIVE))
-        .when(old != base, reading("transition", None, F.concat(F.lit("does not start from the base: "), move), SUBSTANTIVE))
-        .otherwise(reading("transition", new, T.strip(T.found(sentence, pattern)), READ))
-    )
+
+    def told(x: Column) -> Column:
+        old, new, base = x["old"], x["new"], x["base"]
+        move = F.concat_ws(" -> ", old, new)
+        return (
+            F.when(old.isNull(), reading("transition", None, "no pair of old and new rate", NO_MATCH))
+            .when(new >= old, reading("transition", None, F.concat(F.lit("not a reduction: "), move), SUBSTANTIVE))
+            .when(base.isNull(), reading("transition", None, "no base known for the year, so the origin cannot be checked", SUBSTANTIVE))
+            .when(old != base, reading("transition", None, F.concat(F.lit("does not start from the base: "), move), SUBSTANTIVE))
+            .otherwise(reading("transition", new, T.strip(x["m"]), READ))
+        )
+
+    def numbers(m: Column) -> Column:
+        old, new = (g.try_cast("int") for g in _groups(m, pattern, 2))
+        return F.struct(m.alias("m"), old.alias("old"), new.alias("new"), base.alias("base"))
+
+    return T.let(T.let(T.found(sentence, pattern), numbers), told)
 
 
 def kazakh(text: Column, error: Column) -> Column:
     """The pair of rates in the other language's file; its numerals have to agree with its digits."""
-    old, old_word, new, new_word = (T.found(text, KAZAKH_PAIR, g) for g in (1, 2, 3, 4))
-    old, new = old.try_cast("int"), new.try_cast("int")
 
-    def spelled(word_: Column, digits: Column):
-        word_ = F.nullif(F.lower(T.strip(word_)), F.lit(""))
-        value = T.lookup(KAZAKH_NUMERALS)[word_]
+    def spelled(word_: Column, value: Column, digits: Column):
         return word_.isNotNull() & value.isNull(), word_.isNotNull() & (value != digits), word_
 
-    out = (
-        F.when(error.isNotNull(), reading("kazakh", None, error, UNAVAILABLE))
-        .when(text.isNull(), reading("kazakh", None, "no text in the other language", UNAVAILABLE))
-        .when(old.isNull(), reading("kazakh", None, "no pair of rates in the other language", NO_MATCH))
-        .when(new >= old, reading("kazakh", None, F.concat(F.lit("not a reduction: "), F.concat_ws(" -> ", old, new)), SUBSTANTIVE))
-    )
-    for word_, digits in ((new_word, new), (old_word, old)):
-        unknown, differs, said = spelled(word_, digits)
-        out = out.when(unknown, reading("kazakh", None, F.concat(F.lit("unknown numeral "), said), SUBSTANTIVE))
-        out = out.when(differs, reading("kazakh", None, F.concat(F.lit("digit contradicts "), said), SUBSTANTIVE))
-    return out.otherwise(reading("kazakh", new, T.strip(T.found(text, KAZAKH_PAIR)), READ))
+    def told(x: Column) -> Column:
+        old, new = x["old"], x["new"]
+        out = (
+            F.when(error.isNotNull(), reading("kazakh", None, error, UNAVAILABLE))
+            .when(text.isNull(), reading("kazakh", None, "no text in the other language", UNAVAILABLE))
+            .when(old.isNull(), reading("kazakh", None, "no pair of rates in the other language", NO_MATCH))
+            .when(new >= old, reading("kazakh", None, F.concat(F.lit("not a reduction: "), F.concat_ws(" -> ", old, new)), SUBSTANTIVE))
+        )
+        for word_, digits in (("new_word", new), ("old_word", old)):
+            unknown, differs, said = spelled(x[word_], T.lookup(KAZAKH_NUMERALS)[x[word_]], digits)
+            out = out.when(unknown, reading("kazakh", None, F.concat(F.lit("unknown numeral "), said), SUBSTANTIVE))
+            out = out.when(differs, reading("kazakh", None, F.concat(F.lit("digit contradicts "), said), SUBSTANTIVE))
+        return out.otherwise(reading("kazakh", new, T.strip(x["m"]), READ))
+
+    def numbers(m: Column) -> Column:
+        old, old_word, new, new_word = _groups(m, KAZAKH_PAIR, 4)
+        plain = lambda w: F.nullif(F.lower(T.strip(w)), F.lit(""))
+        return F.struct(m.alias("m"), old.try_cast("int").alias("old"), new.try_cast("int").alias("new"), plain(old_word).alias("old_word"), plain(new_word).alias("new_word"))
+
+    return T.let(T.let(T.found(text, KAZAKH_PAIR), numbers), told)
 
 
 def regime(sentence: Column) -> Column:
@@ -118,14 +140,20 @@ def _january(date: Column) -> Column:
     return F.when(date.endswith("-01-01"), F.substring(date, 1, 4).cast("int"))
 
 
-def year(text: Column, hint: Column | None = None) -> Column:
-    """Struct (year, source): the first of the stated period, the date in force, the retroactive clause, the caller's hint."""
+def year(text: Column, hint: Column | None = None, force: Column | None = None) -> Column:
+    """Struct (year, source): the first of the stated period, the date in force, the retroactive clause, the caller's hint. ``force``: the date in
+    force, where it is known already."""
     stated = T.only(F.concat(*[T.all_found(text, p, 1) for p in YEAR_PATTERNS])).cast("int")
-    steps = [("tax-period", stated), ("in-force-date", _january(in_force(text))), ("retroactive-effect", _january(T.only(T.dates(text, RETROACTIVE)))), ("caller-hint", F.lit(None).cast("int") if hint is None else hint.cast("int"))]
-    source = F.lit(None).cast("string")
-    for name, value in reversed(steps):
-        source = F.when(value.isNotNull(), F.lit(name)).otherwise(source)
-    return F.struct(F.coalesce(*[v for _, v in steps]).alias("year"), source.alias("source"))
+    force = T.let(in_force(text) if force is None else force, _january)
+    steps = [("tax-period", stated), ("in-force-date", force), ("retroactive-effect", T.let(T.only(T.dates(text, RETROACTIVE)), _january)), ("caller-hint", F.lit(None).cast("int") if hint is None else hint.cast("int"))]
+
+    def first(x: Column) -> Column:
+        source = F.lit(None).cast("string")
+        for name, _ in reversed(steps):
+            source = F.when(x[name].isNotNull(), F.lit(name)).otherwise(source)
+        return F.struct(F.coalesce(*[x[name] for name, _ in steps]).alias("year"), source.alias("source"))
+
+    return T.let(F.struct(*[v.alias(name) for name, v in steps]), first)
 
 
 def decision_ref(text: Column) -> Column:

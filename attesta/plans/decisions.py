@@ -53,10 +53,10 @@ def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select(k.cast("string").alias("document_id"), k.alias("k"), text.alias("text"), F.when(error.isNull(), other_text).alias("kazakh_text"), error.alias("kazakh_error"))
 
 
-def _told(results: DataFrame) -> DataFrame:
+def _told(results: DataFrame, *more: Column) -> DataFrame:
     values = F.array_join(F.transform("readings", lambda r: F.coalesce(r["rate_percent"].cast("string"), F.lit("-"))), ",")
     category = F.when(F.col("reason").isNotNull(), report.refusal_category(F.col("reason")))
-    return results.select("document_id", "outcome", F.col("rate").cast("double").alias("rate"), category.alias("category"), "year", "year_source", "in_force_from", "terminal", "decision_ref", values.alias("told"))
+    return results.select("document_id", "outcome", F.col("rate").cast("double").alias("rate"), category.alias("category"), "year", "year_source", "in_force_from", "terminal", "decision_ref", values.alias("told"), *more)
 
 
 _DECIDED = f"""
@@ -82,7 +82,7 @@ def decisions_extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = lambda lang, text: d.select("document_id", F.lit(lang).alias("lang"), F.lit("u").alias("url"), F.col(text).alias("text"), F.sha2(F.col(text), 256).alias("sha256")).where("text is not null")
     failures = d.where("kazakh_error is not null").select("document_id", F.lit("kaz").alias("lang"), F.col("kazakh_error").alias("error"))
     out = consensus.extract(d.select("document_id"), one("rus", "text").unionByName(one("kaz", "kazakh_text")), failures)
-    return _told(out).join(out.select("document_id", "source_url", F.col("kazakh_pdf_sha256").isNull().alias("lacks_kazakh")), "document_id")
+    return _told(out, F.col("source_url"), F.col("kazakh_pdf_sha256").isNull().alias("lacks_kazakh"))
 
 
 @query("""
