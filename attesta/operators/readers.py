@@ -20,7 +20,7 @@ TO, FROM = r"(?:на|до)", r"(?:с|в\s+размере)"
 KAZAKH_PAIR = r"(?U)(\d+)\s*(?:\(\s*([^()]{1,15}?)\s*\))?\s*(?:пайыз\S*|%\S*)[^.\d]{0,24}?\s*(\d+)\s*(?:\(\s*([^()]{1,15}?)\s*\))?\s*(?:пайыз|%)"
 RETAIL, SIMPLIFIED, REGIME = r"(?U)розничн\w*\s+налог\w*", r"(?U)упрощ(?:е|ё)нн\w*\s+деклараци\w*", r"(?U)специальн\w*\s+налогов\w*\s+режим\w*"
 YEAR_PATTERNS = (r"(?U)за налоговый период в (\d{4}) году", r"(?U)\bна (\d{4}) год\b", r"(?U)\bв (\d{4}) году\b")
-IN_FORCE = r"(?:вводит(?:ь)?ся\s+в\s+действие|вступает\s+в\s+силу)\s+с\s+"
+IN_FORCE = r"в(?:водит(?:ь)?ся\s+в\s+действие|ступает\s+в\s+силу)\s+с\s+"
 RETROACTIVE = r"распространяется\s+(?:свое\s+действие\s+)?на\s+правоотношени\w*,?\s+возникш\w*\s+с\s+"
 DECISION = r"(?U)(Решение(?: маслихата)?(?:[^.]|\.(?=\s?[А-ЯЁ]))*?от \d{1,2} \w+ \d{4} года № [\w]+(?:[-/]\s?[\w]+)*)"
 SOURCES = {"digit": "russian-numeral", "transition": "russian-numeral", "word": "russian-word", "kazakh": "kazakh-file", "regime": "regime-check"}
