@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -250,7 +251,7 @@ def _read_back(batches):
     done = lambda: pa.record_batch([[now], [n], [crc], [cents], [first[0]], [first[1]], [digest.hexdigest()]], pa.schema([("path", pa.string()), ("n_rows", pa.int64()), ("rows_crc", pa.int64()), ("cents", pa.int64()), ("at", pa.int64()), ("id", pa.int64()), ("ids_sha256", pa.string())]))
     for batch in batches:
         path, crcs, sums, at, ids = (batch.column(i) for i in (0, 1, 2, 3, 4))
-        ends = np.flatnonzero(np.diff(pa.compute.dictionary_encode(path).indices.to_numpy(zero_copy_only=False))) + 1
+        ends = np.flatnonzero(np.diff(pc.dictionary_encode(path).indices.to_numpy(zero_copy_only=False))) + 1
         for a, b in zip([0, *ends], [*ends, len(path)], strict=True):
             if a == b:
                 continue
@@ -262,7 +263,7 @@ def _read_back(batches):
                 first = (at[int(a)].as_py(), LEAST if ids[int(a)].as_py() is None else ids[int(a)].as_py())
             text = ",".join("" if x is None else str(x) for x in ids.slice(a, b - a).to_pylist())
             digest.update(("," * bool(n) + text).encode())
-            n, crc, cents = n + int(b - a), crc + pa.compute.sum(crcs.slice(a, b - a)).as_py(), cents + pa.compute.sum(sums.slice(a, b - a)).as_py()
+            n, crc, cents = n + int(b - a), crc + pc.sum(crcs.slice(a, b - a)).as_py(), cents + pc.sum(sums.slice(a, b - a)).as_py()
     if digest:
         yield done()
 
