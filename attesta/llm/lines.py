@@ -16,7 +16,8 @@ share are six or more. The pairs' common ends are cut off. A rest that is short
 one stretch; what counts of letters, or parts that have to be found at their places, tell apart is left out; the others are verified by a banded
 bit-parallel edit distance: one band of 2 * edits + 2 bits in a long, a step for each character. One near earlier line is enough for a line to
 go: in a bucket of over HOT lines the earliest meets the others first, and two lines that go because of such do not meet, so that
-variants of one line make pairs in proportion to their number.
+variants of one line make pairs in proportion to their number. Lines of such buckets are told apart by finer outlines too, of 16 or 32 parts:
+variants that differ from a common line at different places then make no pairs, unless the places are close.
 
 Equal lines meet once: the join runs on distinct lines, and every join on hot lines is one that can be split. Distinct lines are shuffled once,
 texts once, at the end, with the numbers of the lines that go.
@@ -122,18 +123,64 @@ def _outline(of: Column, front: bool) -> Column:
     return out
 
 
-def _rows(each: DataFrame, steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], always: bool, probe: bool, name: str) -> DataFrame:
+def _fine(of: Column, front: bool, steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], always: bool) -> Column:
+    """As _outline, but in as many parts as _parts tells, a hash of two or four bits of each; zero where it tells eight."""
+    raw, parts = F.col("line").cast("binary"), _parts(of, steps, reach, always)
+
+    def outline(n: int) -> Column:
+        size, bits = (of / n).cast("int"), 64 // n
+
+        def step(out: Column, k: Column) -> Column:
+            at = size * k if front else F.octet_length("line") - size * (k + 1)
+            return F.shiftleft(out, bits).bitwiseOR(F.xxhash64(F.substring(raw, at + 1, size)).bitwiseAND(F.lit((1 << bits) - 1)))
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(n - 1)), F.lit(0).cast("long"), step)
+
+    return F.when(parts == 32, outline(32)).when(parts == 16, outline(16)).otherwise(F.lit(0).cast("long"))
+
+
+def _parts(of: Column, steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], always: bool) -> Column:
+    """Into how many parts a finer outline of a class is cut: no stretch may be longer than one, so that it spoils two at most; eight: none."""
+    stretch = F.greatest(edits_for(of, reach), edits_for(of, steps))
+    return F.when(~_outlined(of, steps, reach, always), 8).when(stretch * 32 <= of, 32).when(stretch * 16 <= of, 16).otherwise(8)
+
+
+def _same_parts(a: Column, b: Column, parts: Column) -> Column:
+    """How many leading parts two finer outlines share."""
+    x = a.bitwiseXOR(b)
+    bits = F.when(x == 0, 64).otherwise(64 - F.char_length(F.bin(x)))
+    return F.floor(bits * parts / 64)
+
+
+def _finely_alike(su: Column, tu: Column, sv: Column, tv: Column, parts: Column) -> Column:
+    """Whether finer outlines let two lines differ in one stretch only."""
+    return (parts <= 8) | (_same_parts(su, sv, parts) + _same_parts(tu, tv, parts) >= parts - 2)
+
+
+def _buckets_of(each: DataFrame, steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], probe: bool) -> DataFrame:
+    """(bucket, id) of the index or probe rows of lines (id, line, n)."""
+    most, own = steps[-1][1], length_class(F.col("n"))
+    lower = length_class(F.greatest(F.col("n") - edits_for(F.col("n"), reach), F.lit(0)))
+    kinds = [("o", "own"), ("l", "lower")][: 1 + probe]
+    classes = each.select("id", "line", "n", own.alias("own"), F.when(lower < own, lower).alias("lower"))
+    windows = classes.select("id", "n", "own", "lower", *[c for x, of in kinds for c in _windows(F.col(of), edits_for(F.col(of), steps), most, x)])
+    return windows.select("id", F.explode(F.array(*[b for x, of in kinds for b in _buckets(F.col(of), most, x, probe)])).alias("bucket")).where("bucket is not null")
+
+
+def _rows(each: DataFrame, steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], always: bool, probe: bool, name: str, fine: bool = False) -> DataFrame:
     """(bucket, id, marks, outlines from the start and from the end), named after ``name``, of the index or probe rows of lines (id, line, n,
-    marks, and the outlines o_s, o_t in their own class)."""
+    marks, and the outlines o_s, o_t in their own class); with ``fine`` also the finer outlines and their number of parts."""
     most, own = steps[-1][1], length_class(F.col("n"))
     lower = length_class(F.greatest(F.col("n") - edits_for(F.col("n"), reach), F.lit(0)))
     classes = each.select("id", "line", "n", "marks", "o_s", "o_t", own.alias("own"), F.when(lower < own, lower).alias("lower"))
     kinds = [("o", "own"), ("l", "lower")][: 1 + probe]
     columns = ["id", "n", "marks", "own", "lower", "o_s", "o_t", *_outlines(F.col("lower"), _outlined(F.col("lower"), steps, reach, always), "l")]
+    more = {"fs": lambda of: _fine(of, True, steps, reach, always), "ft": lambda of: _fine(of, False, steps, reach, always), "parts": lambda of: _parts(of, steps, reach, always)} if fine else {}
+    columns += [make(F.col(of)).alias(f"{x}_{c}") for x, of in kinds for c, make in more.items()]
     windows = classes.select(*columns, *[c for x, of in kinds for c in _windows(F.col(of), edits_for(F.col(of), steps), most, x)])
-    rows = [F.struct(b.alias("bucket"), F.col(f"{x}_s").alias("s"), F.col(f"{x}_t").alias("t")) for x, of in kinds for b in _buckets(F.col(of), most, x, probe)]
+    rows = [F.struct(b.alias("bucket"), *[F.col(f"{x}_{c}").alias(c) for c in ("s", "t", *more)]) for x, of in kinds for b in _buckets(F.col(of), most, x, probe)]
     told = windows.select("id", "marks", F.inline(F.array(*rows))).where("bucket is not null")
-    return told.select("bucket", F.col("id").alias(name), F.col("marks").alias(f"m{name}"), F.col("s").alias(f"s{name}"), F.col("t").alias(f"t{name}"))
+    return told.select("bucket", F.col("id").alias(name), F.col("marks").alias(f"m{name}"), *[F.col(c).alias(f"{c}{name}") for c in ("s", "t", *more)])
 
 
 def _always_outlined(steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], min_chars: int) -> bool:
@@ -340,21 +387,26 @@ def near_lines(df: DataFrame, key: str = "doc_id", text: str = "text", edits: Ed
         texts = lambda ids: each.join(small(ids), "id", "left_semi").select("id", "line", h).join(first.select("h", "first"), "h")
         index, probe = _rows(each, steps, far, always, False, "u"), _rows(each, steps, far, always, True, "v")
         # a bucket of many lines: its earliest one meets the others first, and those that go because of it need not meet one another
-        hot = stored(index.groupBy("bucket").count().where(F.col("count") > HOT).select("bucket"), "hot")
+        hot = stored(_buckets_of(each, steps, far, False).groupBy("bucket").count().where(F.col("count") > HOT).select("bucket"), "hot")
+        fits = lambda probe, index: (probe["bucket"] == index["bucket"]) & (F.col("u") != F.col("v")) & _may_be_near(F.col("u"), F.col("mu"), F.col("v"), F.col("mv"))
         settled = None
         if hot.limit(1).count():
-            since = each.select(F.col("id").alias("u"), "since")
-            heads = index.join(small(hot), "bucket", "left_semi").join(since, "u").groupBy("bucket").agg(F.min(F.struct("since", "u", "mu", "su", "tu")).alias("head"))
+            met = _buckets_of(each, steps, far, True).join(small(hot), "bucket", "left_semi").select("id").distinct()
+            crowd = stored(each.join(small(stored(met, "hot-ids")), "id", "left_semi"), "hot-lines")
+            many, tried = (_rows(crowd, steps, far, always, probing, name, True).join(small(hot), "bucket", "left_semi") for probing, name in ((False, "u"), (True, "v")))
+            heads = many.join(crowd.select(F.col("id").alias("u"), "since"), "u").groupBy("bucket").agg(F.min(F.struct("since", "u", "mu", "su", "tu")).alias("head"))
             heads = stored(heads.select("bucket", "head.u", "head.mu", "head.su", "head.tu"), "heads")
-            met = probe.join(small(heads), "bucket").where((F.col("u") != F.col("v")) & _alike(F.col("mu"), F.col("mv"))).select("u", "v").distinct()
+            met = tried.join(small(heads), "bucket").where((F.col("u") != F.col("v")) & _alike(F.col("mu"), F.col("mv"))).select("u", "v").distinct()
             settled = _later(stored(met, "met"), texts, steps, far)
             gone = small(settled.select("id").distinct())
-            index = index.join(gone.select(F.col("id").alias("u"), F.lit(True).alias("u_goes")), "u", "left")
-            probe = probe.join(gone.select(F.col("id").alias("v"), F.lit(True).alias("v_goes")), "v", "left")
-        fits = (probe["bucket"] == index["bucket"]) & (F.col("u") != F.col("v")) & _may_be_near(F.col("u"), F.col("mu"), F.col("v"), F.col("mv"))
-        if settled is not None:
-            fits = fits & (F.col("u_goes").isNull() | F.col("v_goes").isNull())
-        later = _later(stored(probe.join(index, fits).select("u", "v").distinct(), "pairs"), texts, steps, far).select("h")
+            many = many.join(gone.select(F.col("id").alias("u"), F.lit(True).alias("u_goes")), "u", "left")
+            tried = tried.join(gone.select(F.col("id").alias("v"), F.lit(True).alias("v_goes")), "v", "left")
+            finely = _finely_alike(F.col("fsu"), F.col("ftu"), F.col("fsv"), F.col("ftv"), F.col("partsu"))
+            crowded = tried.join(many, fits(tried, many) & finely & (F.col("u_goes").isNull() | F.col("v_goes").isNull())).select("u", "v")
+            index = index.join(small(hot), "bucket", "left_anti")
+        pairs = probe.join(index, fits(probe, index)).select("u", "v")
+        pairs = (pairs if settled is None else pairs.union(crowded)).distinct()
+        later = _later(stored(pairs, "pairs"), texts, steps, far).select("h")
         later = (later if settled is None else later.union(settled.select("h"))).distinct()
         lossy = first.join(later.withColumn("near", F.lit(True)), "h", "left").where("near or many")
         return found, stored(lossy.select("h", "first", F.coalesce("near", F.lit(False)).alias("near")), "lossy", outer=True)
@@ -372,9 +424,12 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", into: s
         gone = stored(gone.select(F.col("key"), F.col("gone"), F.size("near").alias("near")), "gone", outer=True)
     rows = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"))
     joined = rows.join(gone.hint("merge"), rows["row"][key].eqNullSafe(gone["key"]), "left")  # one plan, whatever the size
-    lines = F.split(F.col("row")[text], "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    kept = F.when(F.col("gone").isNull(), F.col("row")[text]).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+
+    def rest(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+        return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+
+    kept = F.when(F.col("gone").isNull(), F.col("row")[text]).otherwise(_let(F.split(F.col("row")[text], "\n", -1), rest))
     parts = F.struct(F.coalesce("near", F.lit(0)).cast("long").alias("near"), F.coalesce(F.size("gone") - F.col("near"), F.lit(0)).cast("long").alias("exact"), kept.alias("kept"))
     whole = joined.select("row", parts.alias("parts"))
     return whole.select("row.*", whole["parts"].alias(into))

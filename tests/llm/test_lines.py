@@ -196,3 +196,25 @@ def test_the_distance_decides(spark, monkeypatch):
     assert all(out[100 + i] == 1 and out[200 + i] == 1 and out[300 + i] == 0 for i in range(20))
     told = [distance(r.a, r.b) <= (max(r.reach, r.edits) if len(r.b) <= r.reach else r.edits) for r in rows]
     assert sum(told) >= 40 and told.count(False) > 0
+
+
+def test_variants_at_different_places_make_few_pairs(spark, monkeypatch):
+    """Long variants of a line that is itself not the earliest: by brute force, and pairs only of those that differ at close places."""
+    pairs, real = [], lines.stored
+
+    def stored(df, name, **options):
+        out = real(df, name, **options)
+        if name == "pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines, "stored", stored)
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(64)]
+    changed = [(k, 34 + k % 30) for k in range(90)]
+    docs = [(k, " ".join([*words[:at], f"x{k:04}", *words[at + 1 :]])) for k, at in changed] + [(60.5, " ".join(words))]
+    docs = [(int(2 * k), text) for k, text in docs]
+    want = {k: int(any(p < k and near(o, t) for p, o in docs)) for k, t in docs}
+    got = {r.doc_id: r["__lines"].near for r in lines.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == want and sum(want.values()) == 61
+    assert sum(pairs) < 600, pairs
