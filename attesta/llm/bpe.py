@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import release, small_batches, table
 
 # The public byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+".replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
@@ -177,6 +177,9 @@ class Encoder:
         self.cut = regex.compile(r"(?r)(?<=\P{White_Space})(?=\p{White_Space})")
         self.runs = [regex.compile(x) for x in (r"\p{L}+", r"\p{N}+", r"[^\p{White_Space}\p{L}\p{N}]+")]
 
+    def forget(self) -> None:
+        self.memo, self.older = {}, {}
+
     def piece(self, text: str) -> str:
         """The ids of a whole piece, comma-joined."""
         out = self.older.get(text)
@@ -310,9 +313,7 @@ def digests(shared, ids_too: bool = False):
     """A UDF: text -> (n_tokens, ids_sha256, decoded_sha256), and the ids; texts stream through in blocks."""
     names = [n for n in RESULT if n != "ids" or ids_too]
 
-    @F.arrow_udf(f"struct<{','.join(f'{n}:{RESULT[n][0]}' for n in names)}>")
-    def run(texts: pa.Array) -> pa.Array:
-        encoder, decoder = _coders(shared)
+    def coded(encoder: Encoder, decoder: Decoder, texts: pa.Array) -> pa.Array:
         out = {n: [] for n in names}
         for text in texts:
             ids_sha, text_sha, n, kept = hashlib.sha256(), hashlib.sha256(), 0, []
@@ -328,6 +329,16 @@ def digests(shared, ids_too: bool = False):
                 out[name].append(value)
         return pa.StructArray.from_arrays([pa.array(out[n], RESULT[n][1]) for n in names], names)
 
+    @F.arrow_udf(f"struct<{','.join(f'{n}:{RESULT[n][0]}' for n in names)}>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = _coders(shared)
+        try:
+            for texts in batches:
+                yield coded(encoder, decoder, texts)
+        finally:  # workers live on between tasks, beside the executor's heap
+            encoder.forget()
+            release()
+
     return run
 
 

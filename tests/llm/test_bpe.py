@@ -2,7 +2,9 @@ import random
 import sys
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from attesta.llm import bpe
@@ -82,3 +84,18 @@ def test_columns(spark):
     rows = bpe.encode_decode(df.withColumn("n_tokens", df.doc_id)).collect()
     assert sorted(r.n_tokens for r in rows) == [0, 0, 2]
     assert bpe.encode_decode(df.limit(0)).count() == 0
+
+
+def test_workers_forget_between_tasks(spark):
+    """What a task has memoized goes with it; the vocabulary stays."""
+    df = spark.range(40).select(F.concat(F.lit("word"), F.col("id").cast("string"), F.lit(" and more")).alias("text"))
+    assert df.select(bpe.digests(bpe.share(spark))("text").alias("c")).agg(F.sum("c.n_tokens")).first()[0] > 40
+
+    def held(batches):
+        for _ in batches:
+            from attesta.llm import bpe
+
+            yield pa.RecordBatch.from_pydict({"n": [len(e.memo) + len(e.older) for e, _ in bpe._loaded.values()]})
+
+    told = [r.n for r in spark.range(64, numPartitions=16).mapInArrow(held, "n long").collect()]
+    assert told and not any(told)
