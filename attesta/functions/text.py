@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 # Letters of the published texts, words that carry no identity, months.
 CYRILLIC = "[А-Яа-яЁёӘәҒғҚқҢңӨөҰұҮүҺһІі]"
 WORD = f"{CYRILLIC}+(?:-{CYRILLIC}+)*"
+#: The same whole word, taken without trying its beginnings: for patterns in which no letter or hyphen can follow it.
+WHOLE_WORD = f"(?<!{CYRILLIC}){CYRILLIC}++(?:-{CYRILLIC}++)*+"
 STOPWORDS = ("решение", "маслихата", "область", "области", "районного", "район", "городского", "сельского", "казахстан", "республики")
 MONTHS = {"января": "01", "февраля": "02", "марта": "03", "апреля": "04", "мая": "05", "июня": "06", "июля": "07", "августа": "08", "сентября": "09", "октября": "10", "ноября": "11", "декабря": "12"}
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&nbsp;": " ", "&laquo;": "«", "&raquo;": "»", "&amp;": "&"}
@@ -60,7 +62,7 @@ def sentences(text: Column) -> Column:
 
 
 def tokens(text: Column, pattern: str = WORD) -> Column:
-    return all_found(F.lower(text), pattern)
+    return all_found(F.lower(text), WHOLE_WORD if pattern == WORD else pattern)
 
 
 def prefixes(text: Column, size: int = 5, least: int = 5, pattern: str = WORD, stopwords: tuple[str, ...] = STOPWORDS) -> Column:
@@ -69,8 +71,14 @@ def prefixes(text: Column, size: int = 5, least: int = 5, pattern: str = WORD, s
     if letter.startswith("[") and letter.endswith("]") and "]" not in letter[:-1] and size >= least:  # a class of letters: the pattern itself cuts
         cut = F.array_distinct(all_found(F.lower(text), f"({letter}{{{least},{size}}}){letter}*+", 1))
     else:
-        long = F.filter(tokens(text, pattern), lambda w: F.char_length(w) >= least)
-        cut = F.array_distinct(F.transform(long, lambda w: F.substring(w, 1, size)))
+        return prefixes_of(tokens(text, pattern), size, least, stopwords)
+    return F.array_except(cut, F.array(*[F.lit(s[:size]) for s in dict.fromkeys(stopwords)]).cast("array<string>"))
+
+
+def prefixes_of(words: Column, size: int = 5, least: int = 5, stopwords: tuple[str, ...] = STOPWORDS) -> Column:
+    """The same of words that are told apart already."""
+    long = F.filter(words, lambda w: F.char_length(w) >= least)
+    cut = F.array_distinct(F.transform(long, lambda w: F.substring(w, 1, size)))
     return F.array_except(cut, F.array(*[F.lit(s[:size]) for s in dict.fromkeys(stopwords)]).cast("array<string>"))
 
 

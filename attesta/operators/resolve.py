@@ -18,7 +18,7 @@ TITLE_CONTRADICTS = "unmapped-title-contradicts-citation"
 TITLE_CITY, TITLE_DISTRICT = r"(?U)\bгород[аеу]?\b\s*[А-ЯЁӘҒҚҢӨҰҮҺІ]", r"(?U)\bрайон[аеу]\b"
 BODY_CITY, BODY_DISTRICT = r"(?U)городско\w*\s+маслихат", r"(?U)районно\w*\s+маслихат"
 BODY_CITY_OF, BODY_DISTRICT_OF = r"(?U)маслихат\w*\s+город[ае]\b", r"(?U)маслихат\w*\s+\w+\s+район[ае]\b"
-BEFORE, AFTER = rf"(?U)({T.WORD})\s+област\w*", rf"(?U)област\w*\s+({T.WORD})"
+BEFORE, AFTER = rf"(?U)({T.WHOLE_WORD})\s++област\w*+", rf"(?U)област\w*\s+({T.WORD})"
 
 
 def candidate_kind(name: Column) -> Column:
@@ -44,72 +44,87 @@ def body_kind(text: Column) -> Column:
     return kind_of(text, [BODY_CITY, BODY_CITY_OF], [BODY_DISTRICT, BODY_DISTRICT_OF])
 
 
-def exactly_one(docs: DataFrame, key: str, stems: Column, names: DataFrame, least: int = 4) -> DataFrame:
-    """(key, code): the one name of ``names`` (code, name) that shares a stem with the document. An equi-join on stems, not a
-    comparison of all names with all documents."""
-    left = docs.select(key, F.explode(stems).alias("stem"))
-    right = names.select("code", F.explode(T.stems(F.col("name"), least)).alias("stem"))
-    hits = left.join(right, "stem").groupBy(key).agg(F.count_distinct("code").alias("n"), F.min("code").alias("code"))
-    return hits.where("n = 1").select(key, "code")
+def _codes(stems: Column, names: Column) -> Column:
+    """The codes of those ``names`` (structs of code and marks) that share a stem."""
+    return T.let(stems, lambda s: F.array_distinct(F.transform(F.filter(names, lambda n: F.arrays_overlap(n["marks"], s)), lambda n: n["code"])))
 
 
-def oblasts_from_bodies(docs: DataFrame, key: str, body: str, oblasts: DataFrame) -> DataFrame:
-    """A body that says «област…» is matched with oblasts, any other with cities of that rank."""
-    is_oblast = F.lower(F.col(body)).contains("област")
-    parts = [exactly_one(docs.where(is_oblast == flag), key, T.stems(F.col(body), 4), oblasts.where(F.col("name").startswith("г.") != F.lit(flag))) for flag in (True, False)]
-    return parts[0].unionByName(parts[1])
+def exactly_one(stems: Column, names: Column) -> Column:
+    """The code of the one name that shares a stem, else null."""
+    return T.let(_codes(stems, names), lambda c: F.when(F.size(c) == 1, F.get(c, F.lit(0))))
 
 
-def oblasts_from_texts(docs: DataFrame, key: str, text: str, oblasts: DataFrame) -> DataFrame:
-    """The names next to the noun; only if none of them is an oblast, the cities named anywhere."""
-    t = F.col(text)
-    named = F.array_distinct(F.transform(F.concat(T.all_found(t, BEFORE, 1), T.all_found(t, AFTER, 1)), lambda w: F.substring(F.lower(w), 1, 5)))
-    plain, cities = oblasts.where(~F.col("name").startswith("г.")), oblasts.where(F.col("name").startswith("г.")).withColumn("name", F.regexp_replace("name", r"^г\.", ""))
-    hits = docs.select(key, F.explode(named).alias("stem")).join(plain.select("code", F.explode(T.stems(F.col("name"), 4)).alias("stem")), "stem").groupBy(key).agg(F.count_distinct("code").alias("n"), F.min("code").alias("code"))
-    rest = exactly_one(docs.join(hits, key, "left_anti"), key, T.stems(t, 4), cities)
-    return hits.where("n = 1").select(key, "code").unionByName(rest)
+def oblast_names(oblasts: DataFrame) -> DataFrame:
+    """One row, to be broadcast: the names of oblasts (__plain), and of cities of that rank as they stand (__towns) and without their mark (__cities)."""
+    town = F.col("name").startswith("г.")
+    told = lambda where, name: F.collect_list(F.when(where & F.col("code").isNotNull(), F.struct("code", T.stems(name, 4).alias("marks"))))
+    name = F.col("name")
+    return oblasts.agg(told(~town, name).alias("__plain"), told(town, name).alias("__towns"), told(town, F.regexp_replace(name, r"^г\.", "")).alias("__cities"))
 
 
-def district_in_oblast(docs: DataFrame, key: str, text: str, oblast: str, districts: DataFrame) -> DataFrame:
-    """(key, outcome, code, name, candidates) for each document with an oblast code.
+def oblast_from_body(body: Column) -> Column:
+    """A body that says «област…» is matched with oblasts, any other with cities of that rank. Needs the columns of oblast_names."""
+    return exactly_one(T.stems(body, 4), F.when(F.lower(body).contains("област"), F.col("__plain")).otherwise(F.col("__towns")))
 
-    districts: (code, name). Candidates share the code prefix and a stem with the text, less its oblast phrase (a name
-    without a stem must be a whole word of it). Several are narrowed by kind only if title and issuing body state the same
-    kind by different words.
-    """
-    t = F.col(text)
-    stripped = without_oblast_phrase(t)
-    told = docs.select(key, F.substring(oblast, 1, 2).alias("__prefix"), F.array_union(T.stems(stripped), F.transform(T.tokens(stripped), lambda w: F.concat(F.lit("="), w))).alias("marks"), title_kind(t).alias("a"), body_kind(t).alias("b"))
-    name_stems = T.stems(F.col("name"))
+
+def oblast_from_text(text: Column) -> Column:
+    """The names next to the noun; only if none of them is an oblast, the cities named anywhere. Needs the columns of oblast_names."""
+    named = F.transform(F.concat(T.all_found(text, BEFORE, 1), T.all_found(text, AFTER, 1)), lambda w: F.substring(F.lower(w), 1, 5))
+    cities = exactly_one(T.stems(text, 4), F.col("__cities"))
+    return T.let(_codes(named, F.col("__plain")), lambda c: F.when(F.size(c) == 1, F.get(c, F.lit(0))).when(F.coalesce(F.size(c) <= 0, F.lit(True)), cities))
+
+
+def _by_prefix(districts: DataFrame) -> DataFrame:
+    """(__prefix, __districts): the names of each oblast, to be broadcast."""
+    stems = T.stems(F.col("name"))
     whole = F.transform(F.filter(T.tokens(F.col("name")), lambda w: F.char_length(w) >= 2), lambda w: F.concat(F.lit("="), w))
-    marks = districts.select(F.substring("code", 1, 2).alias("__prefix"), "code", "name", F.explode(F.when(F.size(name_stems) > 0, name_stems).otherwise(whole)).alias("mark"))
-    hits = told.select(key, "__prefix", F.explode("marks").alias("mark")).join(marks, ["__prefix", "mark"]).select(key, "code", "name").distinct()
-    found = hits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("code", "name"))).alias("found"))
-    out = told.join(found, key, "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<code:string,name:string>>")))
-    same = F.filter("found", lambda c: candidate_kind(c["name"]) == F.col("a")["kind"])
-    n = F.size("found")
+    marks = F.when(F.size(stems) > 0, stems).otherwise(whole)
+    return districts.select(F.substring("code", 1, 2).alias("__prefix"), F.struct("code", "name", marks.alias("marks")).alias("d")).groupBy("__prefix").agg(F.collect_list("d").alias("__districts"))
+
+
+def _districts(docs: DataFrame, text: Column, p: str) -> DataFrame:
+    """``docs`` (with __districts) and the columns outcome, code, name and candidates, named after ``p``."""
+    marks = T.let(without_oblast_phrase(text), lambda x: T.let(T.tokens(x), lambda t: F.array_union(T.prefixes_of(t), F.transform(t, lambda w: F.concat(F.lit("="), w)))))
+    met = T.let(marks, lambda m: F.transform(F.filter("__districts", lambda n: F.arrays_overlap(n["marks"], m)), lambda n: F.struct(n["code"].alias("code"), n["name"].alias("name"))))
+    found = F.coalesce(F.sort_array(F.array_distinct(met)), F.array().cast("array<struct<code:string,name:string>>"))
+    out = docs.withColumn(f"{p}found", found)
+    found, a, b = (F.col(f"{p}{c}") for c in ("found", "a", "b"))
+    out = out.withColumns({f"{p}a": F.when(F.size(found) > 1, title_kind(text)), f"{p}b": F.when(F.size(found) > 1, body_kind(text))})
+    out = out.withColumn(f"{p}same", F.filter(found, lambda c: candidate_kind(c["name"]) == a["kind"]))
+    n, same = F.size(found), F.col(f"{p}same")
     outcome = (
         F.when(n == 0, NO_DISTRICT)
         .when(n == 1, MAPPED)
-        .when(F.col("a").isNull() | F.col("b").isNull(), KIND_UNKNOWN)
-        .when(T.overlap(F.col("a")["span"], F.col("b")["span"]), KIND_UNKNOWN)
-        .when(F.col("a")["kind"] != F.col("b")["kind"], KIND_DISAGREE)
+        .when(a.isNull() | b.isNull(), KIND_UNKNOWN)
+        .when(T.overlap(a["span"], b["span"]), KIND_UNKNOWN)
+        .when(a["kind"] != b["kind"], KIND_DISAGREE)
         .when(F.size(same) == 1, MAPPED)
         .otherwise(SEVERAL)
     )
-    out = out.select(key, outcome.alias("outcome"), F.when(n == 1, F.col("found")).when(F.size(same) > 0, same).otherwise(F.col("found")).alias("narrow"), "found")
-    out = out.select(key, "outcome", F.when(F.col("outcome").isin(MAPPED, SEVERAL), F.col("narrow")).otherwise(F.col("found")).alias("left_over"))
-    one = F.when(F.col("outcome") == MAPPED, F.get("left_over", F.lit(0)))
-    return out.select(key, "outcome", one["code"].alias("code"), one["name"].alias("name"), F.transform("left_over", lambda c: c["name"]).alias("candidates"))
+    out = out.withColumn(f"{p}outcome", outcome)
+    narrow = F.when((n > 1) & F.col(f"{p}outcome").isin(MAPPED, SEVERAL) & (F.size(same) > 0), same).otherwise(found)
+    out = out.withColumn(f"{p}left", narrow)
+    one = F.when(F.col(f"{p}outcome") == MAPPED, F.get(f"{p}left", F.lit(0)))
+    return out.withColumns({f"{p}code": one["code"], f"{p}name": one["name"], f"{p}candidates": F.transform(f"{p}left", lambda c: c["name"])})
+
+
+def district_in_oblast(docs: DataFrame, key: str, text: str, oblast: str, districts: DataFrame) -> DataFrame:
+    """(key, outcome, code, name, candidates) for each document with an oblast code.
+
+    districts: (code, name), a small table. Candidates share the code prefix and a stem with the text, less its oblast phrase (a name
+    without a stem must be a whole word of it). Several are narrowed by kind only if title and issuing body state the same
+    kind by different words. Documents meet the names of their oblast where they lie: nothing but the dimension moves.
+    """
+    told = docs.select(key, F.col(text).alias("__text"), F.substring(oblast, 1, 2).alias("__prefix")).join(F.broadcast(_by_prefix(districts)), "__prefix", "left")
+    names = ("outcome", "code", "name", "candidates")
+    return _districts(told, F.col("__text"), "__c_").select(key, *[F.col(f"__c_{n}").alias(n) for n in names])
 
 
 def map_documents(docs: DataFrame, oblasts: DataFrame, districts: DataFrame, key: str = "document_id") -> DataFrame:
     """docs: (key, decision_ref, sentence, body, title). Adds oblast_code, oblast_source, outcome, code, name, district_source and
-    candidates. Dimensions are small tables: (code, name)."""
-    docs = docs.withColumn("__text", F.concat_ws(" ", "decision_ref", "sentence"))
-    by_body = oblasts_from_bodies(docs, key, "body", oblasts).withColumnRenamed("code", "__body")
-    by_text = oblasts_from_texts(docs, key, "__text", oblasts).withColumnRenamed("code", "__said")
-    docs = docs.join(by_body, key, "left").join(by_text, key, "left")
+    candidates. Dimensions are small tables: (code, name); they are broadcast, and documents are not shuffled."""
+    docs = docs.withColumn("__text", F.concat_ws(" ", "decision_ref", "sentence")).crossJoin(F.broadcast(oblast_names(oblasts)))
+    docs = docs.withColumns({"__body": oblast_from_body(F.col("body")), "__said": oblast_from_text(F.col("__text"))}).drop("__plain", "__towns", "__cities")
     body, said = F.col("__body"), F.col("__said")
     refusal = (
         F.when(F.col("body").isNull(), NO_BODY)
@@ -118,22 +133,21 @@ def map_documents(docs: DataFrame, oblasts: DataFrame, districts: DataFrame, key
         .when(said != body, OBLAST_DISAGREE)
     )
     docs = docs.withColumn("__refusal", refusal).withColumn("oblast_code", F.when(refusal.isNull(), body)).withColumn("oblast_source", F.when(refusal.isNull(), F.when(said.isNull(), "body-only").otherwise("both")))
-    known = docs.where("oblast_code is not null")
-    cited = district_in_oblast(known, key, "__text", "oblast_code", districts)
-    titled = district_in_oblast(known.where("title is not null"), key, "title", "oblast_code", districts).select(key, *[F.col(c).alias(f"__t_{c}") for c in ("outcome", "code", "name", "candidates")])
-    has_districts = districts.select(F.substring("code", 1, 2).alias("__prefix")).distinct().withColumn("__has", F.lit(True))
     whole = oblasts.select(F.col("code").alias("oblast_code"), F.col("name").alias("oblast_name"))
-    out = docs.join(cited, key, "left").join(titled, key, "left").join(whole, "oblast_code", "left")
-    out = out.withColumn("__prefix", F.substring("oblast_code", 1, 2)).join(has_districts, "__prefix", "left")
-    top = F.col("oblast_code").isNotNull() & F.col("__has").isNull()
-    title_ok = F.col("__t_outcome") == MAPPED
-    veto = (F.col("outcome") == MAPPED) & title_ok & (F.col("code") != F.col("__t_code"))
-    fallback = (F.col("outcome") == NO_DISTRICT) & title_ok
-    pick = lambda name, level: F.when(F.col("__refusal").isNotNull() | F.coalesce(veto, F.lit(False)), None).when(top, level).when(fallback, F.col(f"__t_{name}")).otherwise(F.col(name))
-    outcome = F.when(F.col("__refusal").isNotNull(), F.col("__refusal")).when(top, MAPPED).when(veto, TITLE_CONTRADICTS).when(fallback, MAPPED).otherwise(F.col("outcome"))
+    out = docs.join(F.broadcast(whole), "oblast_code", "left")
+    out = out.withColumn("__prefix", F.substring("oblast_code", 1, 2)).join(F.broadcast(_by_prefix(districts)), "__prefix", "left")
+    known = F.col("oblast_code").isNotNull()
+    out = _districts(_districts(out, F.when(known, F.col("__text")), "__c_"), F.when(known, F.col("title")), "__t_")
+    top = known & F.col("__districts").isNull()
+    cited = lambda name: F.when(known, F.col(f"__c_{name}"))
+    title_ok = known & F.col("title").isNotNull() & (F.col("__t_outcome") == MAPPED)
+    veto = (cited("outcome") == MAPPED) & title_ok & (F.col("__c_code") != F.col("__t_code"))
+    fallback = (cited("outcome") == NO_DISTRICT) & title_ok
+    pick = lambda name, level: F.when(F.col("__refusal").isNotNull() | F.coalesce(veto, F.lit(False)), None).when(top, level).when(fallback, F.col(f"__t_{name}")).otherwise(cited(name))
+    outcome = F.when(F.col("__refusal").isNotNull(), F.col("__refusal")).when(top, MAPPED).when(veto, TITLE_CONTRADICTS).when(fallback, MAPPED).otherwise(cited("outcome"))
     source = F.when(outcome != MAPPED, None).when(top, "oblast-level").when(fallback, "title").otherwise("citation")
     empty = F.array().cast("array<string>")
-    candidates = F.when(top, empty).when(veto, F.concat("candidates", "__t_candidates")).when(fallback, F.col("__t_candidates")).otherwise(F.coalesce("candidates", empty))
+    candidates = F.when(top, empty).when(veto, F.concat("__c_candidates", "__t_candidates")).when(fallback, F.col("__t_candidates")).otherwise(F.coalesce(cited("candidates"), empty))
     return out.select(key, "oblast_code", "oblast_name", "oblast_source", outcome.alias("outcome"), pick("code", F.col("oblast_code")).alias("code"), pick("name", F.col("oblast_name")).alias("name"), source.alias("district_source"), candidates.alias("candidates"))
 
 

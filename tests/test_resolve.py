@@ -76,3 +76,11 @@ def test_block_theta_match_reads_whole_tables(spark, tmp_path):
     spark.createDataFrame(parts, "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
     got = {r.doc_id: (r.outcome, r.match, r.n) for r in catalogue.block_theta_match(spark, str(tmp_path)).collect()}
     assert got == {1: ("several", None, 3), 2: ("one", 900, 1), 3: ("several", None, 2), 4: ("none", None, 0), 5: ("none", None, 0), 6: ("several", None, 3)}
+
+
+def test_documents_are_not_shuffled(spark):
+    """Dimensions are broadcast: no exchange deals documents by their key."""
+    names = "code string, name string"
+    docs = spark.createDataFrame([("a", "r", "s", "b", "t")], "document_id string, decision_ref string, sentence string, body string, title string")
+    out = resolve.map_documents(docs, spark.createDataFrame(OBLASTS, names), spark.createDataFrame(DISTRICTS, names))
+    assert "hashpartitioning(document_id" not in out._jdf.queryExecution().executedPlan().toString()
