@@ -19,8 +19,9 @@ go: in a bucket of over HOT lines the earliest meets the others first, and two l
 variants of one line make pairs in proportion to their number. Lines of such buckets are told apart by finer outlines too, of 16 or 32 parts:
 variants that differ from a common line at different places then make no pairs, unless the places are close.
 
-Equal lines meet once: the join runs on distinct lines, and every join on hot lines is one that can be split. Distinct lines are shuffled once,
-texts once, at the end, with the numbers of the lines that go.
+Equal lines meet once: the join runs on distinct lines, and every join on hot lines is one that can be split. What is shuffled and stored of a line
+are hashes, outlines and its first place; texts of lines that stand in pairs or in hot buckets are read again where they lie (shuffled by hash, if they are
+over BROADCAST_IDS). Texts are shuffled once, at the end, with the numbers of the lines that go.
 
 Null texts stay null and have no lines. A text of which no line is left becomes empty; an empty table gives an empty result. Rows with equal keys
 count as one document: their equal lines at equal places are one occurrence, and all of them lose what one loses. A null key sorts
@@ -59,6 +60,11 @@ def occurrences(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame
     return lines.where(F.char_length("line") >= min_chars)
 
 
+def _hashes() -> list[Column]:
+    """Two hashes name a line; the first one alone in pairs."""
+    return [F.xxhash64("line").alias("id"), F.xxhash64(F.lit(7), F.col("line")).alias("b")]
+
+
 def length_class(length: Column) -> Column:
     return F.when(length < LONG, length - length % STEP).otherwise(length - length % (2 * STEP))
 
@@ -100,18 +106,23 @@ def _all_segments(most: int) -> list[tuple[bool, int]]:
     return [(True, i) for i in range((most + 2) // 2)] + [(False, i) for i in range((most + 1) // 2)]
 
 
-def _buckets(of: Column, most: int, name: str, shifts: bool) -> list[Column]:
-    """Hashes of (class, segment, substring), or null, from the columns of _windows."""
+def _buckets(of: Column, most: int, name: str) -> list[Column]:
+    """Hashes of (class, segment, substring), or null, from the columns of _windows: one for each segment and shift, named as _names tells."""
     out = []
     for k, (front, i) in enumerate(_all_segments(most)):
         at, size, window = (F.col(f"{name}{k}{x}") for x in ("_at", "_size", ""))
-        for shift in range(-i, i + 1) if shifts else (0,):
+        for shift in range(-i, i + 1):
             fits = (at + shift >= 0) & (at + shift + size <= F.col("n"))
             part = F.substring(window, at + shift - F.greatest(at - i, F.lit(0)) + 1, size) if i else window
-            out.append(F.when(fits, F.xxhash64(of, F.lit(i if front else -1 - i), part)))
+            out.append(F.when(fits, F.xxhash64(of, F.lit(i if front else -1 - i), part)).alias(f"{name}{k}_{shift + i}"))
     return out
 
 
+def _names(most: int, name: str, shifts: bool) -> list[str]:
+    """Names of the hashes in a table of lines: of all shifts, or of the segments at their own places."""
+    return [f"{name}{k}_{shift}" for k, (_, i) in enumerate(_all_segments(most)) for shift in (range(2 * i + 1) if shifts else (i,))]
+
+
 def _outline(of: Column, front: bool) -> Column:
     """Eight bytes, hashes of bytes of the line: as many eighths of the class's length, from the start or from the end. A line has at least
     as many bytes beside a stretch as characters, so that the bound on eighths holds for bytes too."""
@@ -157,32 +168,49 @@ def _finely_alike(su: Column, tu: Column, sv: Column, tv: Column, parts: Column)
     return (parts <= 8) | (_same_parts(su, sv, parts) + _same_parts(tu, tv, parts) >= parts - 2)
 
 
-def _buckets_of(each: DataFrame, steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], probe: bool) -> DataFrame:
-    """(bucket, id) of the index or probe rows of lines (id, line, n)."""
-    most, own = steps[-1][1], length_class(F.col("n"))
-    lower = length_class(F.greatest(F.col("n") - edits_for(F.col("n"), reach), F.lit(0)))
-    kinds = [("o", "own"), ("l", "lower")][: 1 + probe]
-    classes = each.select("id", "line", "n", own.alias("own"), F.when(lower < own, lower).alias("lower"))
-    windows = classes.select("id", "n", "own", "lower", *[c for x, of in kinds for c in _windows(F.col(of), edits_for(F.col(of), steps), most, x)])
-    return windows.select("id", F.explode(F.array(*[b for x, of in kinds for b in _buckets(F.col(of), most, x, probe)])).alias("bucket")).where("bucket is not null")
-
-
-def _rows(each: DataFrame, steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], always: bool, probe: bool, name: str, fine: bool = False) -> DataFrame:
-    """(bucket, id, marks, outlines from the start and from the end), named after ``name``, of the index or probe rows of lines (id, line, n,
-    marks, and the outlines o_s, o_t in their own class); with ``fine`` also the finer outlines and their number of parts."""
-    most, own = steps[-1][1], length_class(F.col("n"))
-    lower = length_class(F.greatest(F.col("n") - edits_for(F.col("n"), reach), F.lit(0)))
-    classes = each.select("id", "line", "n", "marks", "o_s", "o_t", own.alias("own"), F.when(lower < own, lower).alias("lower"))
-    kinds = [("o", "own"), ("l", "lower")][: 1 + probe]
-    columns = ["id", "n", "marks", "own", "lower", "o_s", "o_t", *_outlines(F.col("lower"), _outlined(F.col("lower"), steps, reach, always), "l")]
-    more = {"fs": lambda of: _fine(of, True, steps, reach, always), "ft": lambda of: _fine(of, False, steps, reach, always), "parts": lambda of: _parts(of, steps, reach, always)} if fine else {}
-    columns += [make(F.col(of)).alias(f"{x}_{c}") for x, of in kinds for c, make in more.items()]
-    windows = classes.select(*columns, *[c for x, of in kinds for c in _windows(F.col(of), edits_for(F.col(of), steps), most, x)])
-    rows = [F.struct(b.alias("bucket"), *[F.col(f"{x}_{c}").alias(c) for c in ("s", "t", *more)]) for x, of in kinds for b in _buckets(F.col(of), most, x, probe)]
-    told = windows.select("id", "marks", F.inline(F.array(*rows))).where("bucket is not null")
+def _told(lines: DataFrame, steps: tuple[tuple[int, int], ...], far: tuple[tuple[int, int], ...], min_chars: int) -> DataFrame:
+    """(key, at, id, b) of occurrences (key, at, line), and all that the joins by bucket need of a line, in place of its text: marks, outlines in its own class
+    (o_s, o_t) and in the next lower one where a line of that may be near (l_s, l_t), hashes of the segments in both."""
+    most, n = steps[-1][1], F.char_length("line")
+    always = _always_outlined(steps, far, min_chars)
+    lower = length_class(F.greatest(F.col("n") - edits_for(F.col("n"), far), F.lit(0)))
+    numbers = lines.select("key", "at", "line", n.alias("n")).select("*", length_class(F.col("n")).alias("own"), lower.alias("least"))
+    lettered = None if always else ~(_outlined(F.col("own"), steps, far, False) & _outlined(F.col("least"), steps, far, False))
+    marks = _marks(F.col("line"), F.col("n"), edits_for(F.col("n"), far), lettered).alias("marks")
+    classes = numbers.select("*", *_hashes(), marks, F.when(F.col("least") < F.col("own"), F.col("least")).alias("lower"))
+    outlines = [c for x, of in (("o", "own"), ("l", "lower")) for c in _outlines(F.col(of), _outlined(F.col(of), steps, far, always), x)]
+    windows = [c for x, of in (("o", "own"), ("l", "lower")) for c in _windows(F.col(of), edits_for(F.col(of), steps), most, x)]
+    cut = classes.select("key", "at", "id", "b", "n", "own", "lower", "marks", *outlines, *windows)
+    return cut.select("key", "at", "id", "b", "marks", "o_s", "o_t", "l_s", "l_t", *_buckets(F.col("own"), most, "o"), *_buckets(F.col("lower"), most, "l"))
+
+
+def _buckets_of(each: DataFrame, most: int, probe: bool) -> DataFrame:
+    """(bucket, id) of the index or probe rows of lines."""
+    names = _names(most, "o", probe) + (_names(most, "l", True) if probe else [])
+    return each.select("id", F.explode(F.array(*names)).alias("bucket")).where("bucket is not null")
+
+
+def _rows(each: DataFrame, most: int, probe: bool, name: str, fine: bool = False) -> DataFrame:
+    """(bucket, id, marks, outlines from the start and from the end), named after ``name``, of the index or probe rows of lines; with
+    ``fine`` also the finer outlines and their number of parts."""
+    more = ("fs", "ft", "parts") if fine else ()
+    of = [("o", b) for b in _names(most, "o", probe)] + [("l", b) for b in _names(most, "l", True) if probe]
+    rows = [F.struct(F.col(b).alias("bucket"), *[F.col(f"{x}_{c}").alias(c) for c in ("s", "t", *more)]) for x, b in of]
+    told = each.select("id", "marks", F.inline(F.array(*rows))).where("bucket is not null")
     return told.select("bucket", F.col("id").alias(name), F.col("marks").alias(f"m{name}"), *[F.col(c).alias(f"{c}{name}") for c in ("s", "t", *more)])
 
 
+def _with_fine(each: DataFrame, texts: DataFrame, steps: tuple[tuple[int, int], ...], far: tuple[tuple[int, int], ...], min_chars: int) -> DataFrame:
+    """Lines with the finer outlines in both classes, and their numbers of parts."""
+    always = _always_outlined(steps, far, min_chars)
+    n = F.char_length("line")
+    lower = length_class(F.greatest(n - edits_for(n, far), F.lit(0)))
+    classes = texts.select("id", "h", "line", length_class(n).alias("own"), lower.alias("least")).select("*", F.when(F.col("least") < F.col("own"), F.col("least")).alias("lower"))
+    make = {"fs": lambda of: _fine(of, True, steps, far, always), "ft": lambda of: _fine(of, False, steps, far, always), "parts": lambda of: _parts(of, steps, far, always)}
+    fine = classes.select(F.col("id").alias("of"), F.col("h.b").alias("of_b"), *[f(F.col(of)).alias(f"{x}_{c}") for x, of in (("o", "own"), ("l", "lower")) for c, f in make.items()])
+    return each.join(fine, (each["id"] == fine["of"]) & (each["b"] == fine["of_b"])).drop("of", "of_b")
+
+
 def _always_outlined(steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], min_chars: int) -> bool:
     """Whether _outlined holds for all classes."""
     return steps[-1][1] <= 1 and min_chars > STEP and all(e * 8 <= max(at, STEP) for at, e in (*steps, *reach))
@@ -368,33 +396,32 @@ def _later(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], steps: tup
 def near_lines(df: DataFrame, key: str = "doc_id", text: str = "text", edits: Edits = EDITS, min_chars: int = MIN_CHARS, reach: Edits | None = None) -> tuple[DataFrame, DataFrame]:
     """All occurrences (key, at, h), and (h, first, near) for the distinct lines that lose occurrences; stored in the scope around."""
     lines = occurrences(df, key, text, min_chars)
-    h = F.struct(F.xxhash64("line").alias("a"), F.xxhash64(F.lit(7), F.col("line")).alias("b")).alias("h")
-    found = stored(lines.select("key", "at", h), "lines", outer=True)
+    h = F.struct(F.col("id").alias("a"), "b").alias("h")
+    found = stored(lines.select("key", "at", *_hashes()).select("key", "at", h), "lines", outer=True)
     with scratch(df.sparkSession):
-        place = F.struct("key", "at")
-        first = stored(found.groupBy("h").agg(F.min(place).alias("first"), (F.min(place) != F.max(place)).alias("many")), "first")
         steps, far = by_class(edits), by_class(reach if reach is not None else REACH if edits == EDITS else edits)
-        n = F.char_length("line")
-        always = _always_outlined(steps, far, min_chars)
-        lower = length_class(F.greatest(n - edits_for(n, far), F.lit(0)))
-        numbers = lines.select("key", "line", n.alias("n"), length_class(n).alias("own"), lower.alias("lower"), edits_for(n, far).alias("edits"))
-        each = numbers.groupBy("line", "n", "own", "lower", "edits").agg(F.min("key").alias("since"))
-        lettered = None if always else ~(_outlined(F.col("own"), steps, far, False) & _outlined(F.col("lower"), steps, far, False))
-        marks = _marks(F.col("line"), F.col("n"), F.col("edits"), lettered)
-        each = each.select(F.xxhash64("line").alias("id"), "line", "since", "n", marks.alias("marks"), *_outlines(F.col("own"), _outlined(F.col("own"), steps, far, always), "o"))
-        each = stored(each, "distinct-lines")
+        most, place = steps[-1][1], F.struct("key", "at")
+        told = _told(lines, steps, far, min_chars)
+        of_line = [F.first(c).alias(c) for c in told.columns if c not in ("key", "at", "id", "b")]
+        # by two hashes, without texts: a text is read again where it lies, if a pair asks for it
+        each = stored(told.groupBy("id", "b").agg(F.min(place).alias("first"), (F.min(place) != F.max(place)).alias("many"), *of_line), "distinct-lines")
         small = lambda df: F.broadcast(df) if df.count() <= BROADCAST_IDS else df
-        texts = lambda ids: each.join(small(ids), "id", "left_semi").select("id", "line", h).join(first.select("h", "first"), "h")
-        index, probe = _rows(each, steps, far, always, False, "u"), _rows(each, steps, far, always, True, "v")
+
+        def texts(ids: DataFrame) -> DataFrame:
+            asked = stored(each.join(small(ids), "id", "left_semi").select("id", F.col("b").alias("other"), "first"), "asked")
+            read = lines.select("key", "at", "line", *_hashes()).join(small(asked), "id").where((F.col("b") == F.col("other")) & place.eqNullSafe(F.col("first")))
+            return read.select("id", "line", h, "first").distinct()  # rows with equal keys
+
+        index, probe = _rows(each, most, False, "u"), _rows(each, most, True, "v")
         # a bucket of many lines: its earliest one meets the others first, and those that go because of it need not meet one another
-        hot = stored(_buckets_of(each, steps, far, False).groupBy("bucket").count().where(F.col("count") > HOT).select("bucket"), "hot")
+        hot = stored(_buckets_of(each, most, False).groupBy("bucket").count().where(F.col("count") > HOT).select("bucket"), "hot")
         fits = lambda probe, index: (probe["bucket"] == index["bucket"]) & (F.col("u") != F.col("v")) & _may_be_near(F.col("u"), F.col("mu"), F.col("v"), F.col("mv"))
         settled = None
         if hot.limit(1).count():
-            met = _buckets_of(each, steps, far, True).join(small(hot), "bucket", "left_semi").select("id").distinct()
-            crowd = stored(each.join(small(stored(met, "hot-ids")), "id", "left_semi"), "hot-lines")
-            many, tried = (_rows(crowd, steps, far, always, probing, name, True).join(small(hot), "bucket", "left_semi") for probing, name in ((False, "u"), (True, "v")))
-            heads = many.join(crowd.select(F.col("id").alias("u"), "since"), "u").groupBy("bucket").agg(F.min(F.struct("since", "u", "mu", "su", "tu")).alias("head"))
+            met = stored(_buckets_of(each, most, True).join(small(hot), "bucket", "left_semi").select("id").distinct(), "hot-ids")
+            crowd = stored(_with_fine(each.join(small(met), "id", "left_semi"), texts(met), steps, far, min_chars), "hot-lines")
+            many, tried = (_rows(crowd, most, probing, name, True).join(small(hot), "bucket", "left_semi") for probing, name in ((False, "u"), (True, "v")))
+            heads = many.join(crowd.select(F.col("id").alias("u"), "first"), "u").groupBy("bucket").agg(F.min(F.struct("first", "u", "mu", "su", "tu")).alias("head"))
             heads = stored(heads.select("bucket", "head.u", "head.mu", "head.su", "head.tu"), "heads")
             met = tried.join(small(heads), "bucket").where((F.col("u") != F.col("v")) & _alike(F.col("mu"), F.col("mv"))).select("u", "v").distinct()
             settled = _later(stored(met, "met"), texts, steps, far)
@@ -408,7 +435,7 @@ def near_lines(df: DataFrame, key: str = "doc_id", text: str = "text", edits: Ed
         pairs = (pairs if settled is None else pairs.union(crowded)).distinct()
         later = _later(stored(pairs, "pairs"), texts, steps, far).select("h")
         later = (later if settled is None else later.union(settled.select("h"))).distinct()
-        lossy = first.join(later.withColumn("near", F.lit(True)), "h", "left").where("near or many")
+        lossy = each.select(h, "first", "many").join(later.withColumn("near", F.lit(True)), "h", "left").where("near or many")
         return found, stored(lossy.select("h", "first", F.coalesce("near", F.lit(False)).alias("near")), "lossy", outer=True)
 
 

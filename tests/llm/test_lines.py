@@ -1,5 +1,6 @@
 import hashlib
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,3 +219,22 @@ def test_variants_at_different_places_make_few_pairs(spark, monkeypatch):
     got = {r.doc_id: r["__lines"].near for r in lines.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == want and sum(want.values()) == 61
     assert sum(pairs) < 600, pairs
+
+
+def test_stores_no_texts_of_lines_without_pairs(spark, monkeypatch):
+    """Disk: what is kept of a line that meets no other is of a fixed size, whatever its length; lines that meet keep their result."""
+    sizes, real = {}, lines.stored
+
+    def stored(df, name, **options):
+        out = real(df, name, **options)
+        sizes[name] = max(sizes.get(name, 0), sum(f.stat().st_size for f in Path(out._stored_at).glob("*.parquet")))
+        return out
+
+    monkeypatch.setattr(lines, "stored", stored)
+    rng = random.Random(11)
+    docs = [(i, "\n".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyzéß 0123456789", k=2_000)) for _ in range(10))) for i in range(200)]
+    first = docs[7][1].split("\n")[3]
+    docs += [(1_000, first[:900] + "#" + first[901:]), (1_001, first), (None, first[:300] + "#" + first[301:])]
+    got = {r.doc_id: (r["__lines"].near, r["__lines"].exact) for r in lines.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {k: v for k, v in got.items() if v != (0, 0)} == {7: (1, 0), 1_000: (1, 0), 1_001: (1, 0)}
+    assert max(sizes.values()) < sum(len(text) for _, text in docs) / 4, sizes
