@@ -115,6 +115,12 @@ def bm25(tf: Column, df: Column, docs: Column, length: Column, mean: Column, k:
     return idf * (d + tf * (k + 1) / (tf + k * (1 - b + b * length / mean)))
 
 
+def total(values: Column) -> Column:
+    """Their sum over a group, added in order of size: equal values give an equal sum, in whatever order rows come, so that ties are ties. For groups of
+    one document's matches."""
+    return F.aggregate(F.sort_array(F.collect_list(values)), F.lit(0.0), lambda sum, x: sum + x)
+
+
 def fuzzy_budget(size: int, fuzzy: float | bool) -> int:
     value = DEFAULT_FUZZY if fuzzy is True else float(fuzzy)
     return min(MOST_FUZZY, int(size * value + 0.5)) if value < 1 else int(value)
@@ -174,12 +180,12 @@ def search(index: Index, query: str, combine: str = "OR", prefix: bool | list[bo
     if boost_documents is not None:
         scored = scored.join(boost_documents.select("doc", F.col("boost").cast("double").alias("boost")), "doc", "left").where(F.coalesce("boost", F.lit(1.0)) != 0)
         scored = scored.select("doc", "q", "asked", (F.col("s") * F.coalesce("boost", F.lit(1.0))).alias("s"))
-    by_term = scored.groupBy("doc", "q", "asked").agg(F.sum("s").alias("s"))
+    by_term = scored.groupBy("doc", "q", "asked").agg(total(F.col("s")).alias("s"))
     if combine == "AND_NOT":
-        out = by_term.where("q = 0").join(by_term.where("q > 0").select("doc"), "doc", "left_anti").groupBy("doc").agg(F.sum("s").alias("score"), F.lit(1).alias("terms"))
+        out = by_term.where("q = 0").join(by_term.where("q > 0").select("doc"), "doc", "left_anti").groupBy("doc").agg(total(F.col("s")).alias("score"), F.lit(1).alias("terms"))
     else:
         distinct = F.size(F.collect_set("asked"))
-        out = by_term.groupBy("doc").agg((F.sum("s") * distinct).alias("score"), distinct.alias("terms"), F.count(F.lit(1)).alias("n"))
+        out = by_term.groupBy("doc").agg((total(F.col("s")) * distinct).alias("score"), distinct.alias("terms"), F.count(F.lit(1)).alias("n"))
         out = (out.where(F.col("n") == len(terms)) if combine == "AND" else out).drop("n")
     if where is not None:
         out = out.join(index.documents.where(where).select("doc"), "doc", "left_semi")

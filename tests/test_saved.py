@@ -119,3 +119,14 @@ def test_top_is_the_full_ranking(docs, kept, query, most, options):
 def test_blocks_are_skipped(docs, kept):
     got = kept.top("aal", 3, first=2)
     assert 0 < got.read < got.blocks / 2
+
+
+def test_equal_documents_tie(spark, tmp_path):
+    """Documents of equal counts have equal scores, whatever order their matches are added in, so the earliest ones are the best."""
+    filler = [(1_000 + i, f"aal bam {'car ' * (i % 3)}bar bem" if i % 2 else "bam cor", None) for i in range(60)]
+    docs = spark.createDataFrame([(i, "car aal bam bar bem bam", "bam aal") for i in range(300)] + filler, SCHEMA)
+    index = made(spark, docs, tmp_path)
+    for query, options in [("aal bam car", {}), ("b", {"prefix": True}), ("bam", {"fuzzy": 1})]:
+        hits = search.search(search.Index.build(docs, "id", ["title", "body"]), query, **options).where("doc < 300").cache()
+        assert hits.select("score").distinct().count() == 1 and hits.count() == 300
+        assert [r.doc for r in search.ranked(hits, 9).collect()] == list(range(9)) == [r.doc for r in index.top(query, 9, **options).hits.collect()]
