@@ -16,7 +16,7 @@ share are six or more. The pairs' common ends are cut off. A rest that is short
 one stretch; what counts of letters, or parts that have to be found at their places, tell apart is left out; the others are verified by a banded
 bit-parallel edit distance: one band of 2 * edits + 2 bits in a long, a step for each character. One near earlier line is enough for a line to
 go: in a bucket of over HOT lines the earliest meets the others first, and two lines that go because of such do not meet, so that
-variants of one line make pairs in proportion to their number. Lines of such buckets are told apart by finer outlines too, of 16 or 32 parts:
+variants of one line make pairs in proportion to their number. Lines of such buckets are told apart by finer outlines too, of 32 or 64 parts:
 variants that differ from a common line at different places then make no pairs, unless the places are close.
 
 Equal lines meet once: the join runs on distinct lines, and every join on hot lines is one that can be split. What is shuffled and stored of a line
@@ -134,38 +134,57 @@ def _outline(of: Column, front: bool) -> Column:
     return out
 
 
-def _fine(of: Column, front: bool, steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], always: bool) -> Column:
-    """As _outline, but in as many parts as _parts tells, a hash of two or four bits of each; zero where it tells eight."""
+def _fine(of: Column, front: bool, half: int, steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], always: bool) -> Column:
+    """As _outline, but hashes of two bits of as many parts as _parts tells, which cover the longest lines that the class meets; 32 parts of them, the first
+    ones or (``half`` is 1) the others. Zero where there are none."""
     raw, parts = F.col("line").cast("binary"), _parts(of, steps, reach, always)
 
     def outline(n: int) -> Column:
-        size, bits = (of / n).cast("int"), 64 // n
+        size = _size(of, n)
 
         def step(out: Column, k: Column) -> Column:
             at = size * k if front else F.octet_length("line") - size * (k + 1)
-            return F.shiftleft(out, bits).bitwiseOR(F.xxhash64(F.substring(raw, at + 1, size)).bitwiseAND(F.lit((1 << bits) - 1)))
+            return F.shiftleft(out, 2).bitwiseOR(F.xxhash64(F.substring(raw, F.greatest(at, F.lit(0)) + 1, size)).bitwiseAND(F.lit(3)))
 
-        return F.aggregate(F.sequence(F.lit(0), F.lit(n - 1)), F.lit(0).cast("long"), step)
+        return F.aggregate(F.sequence(F.lit(32 * half), F.lit(32 * half + 31)), F.lit(0).cast("long"), step)
 
-    return F.when(parts == 32, outline(32)).when(parts == 16, outline(16)).otherwise(F.lit(0).cast("long"))
+    few = F.lit(0).cast("long") if half else F.when(parts == 32, outline(32)).otherwise(F.lit(0).cast("long"))
+    return F.when(parts == 64, outline(64)).otherwise(few)
+
+
+def _size(of: Column, parts: Column | int) -> Column:
+    """Of a part of a finer outline, in bytes."""
+    return F.floor((of + 3 * STEP) / parts).cast("int") + 1
 
 
 def _parts(of: Column, steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], always: bool) -> Column:
-    """Into how many parts a finer outline of a class is cut: no stretch may be longer than one, so that it spoils two at most; eight: none."""
+    """Into how many parts the finer outlines of a class are cut; zero: none."""
     stretch = F.greatest(edits_for(of, reach), edits_for(of, steps))
-    return F.when(~_outlined(of, steps, reach, always), 8).when(stretch * 32 <= of, 32).when(stretch * 16 <= of, 16).otherwise(8)
+    return F.when(~_outlined(of, steps, reach, always), 0).when(stretch * 32 <= of, 64).when(stretch * 16 <= of, 32).otherwise(0)
 
 
-def _same_parts(a: Column, b: Column, parts: Column) -> Column:
-    """How many leading parts two finer outlines share."""
-    x = a.bitwiseXOR(b)
-    bits = F.when(x == 0, 64).otherwise(64 - F.char_length(F.bin(x)))
-    return F.floor(bits * parts / 64)
+def _least_parts(of: Column, n: Column, steps: tuple[tuple[int, int], ...], reach: tuple[tuple[int, int], ...], always: bool) -> Column:
+    """How many parts a line of n characters, at least, shares with a line as long or longer that differs from it in one stretch only, from the start and from
+    the end together: all bytes beside the stretch, of which at either end less than a part is lost."""
+    parts, stretch = _parts(of, steps, reach, always), F.greatest(edits_for(of, reach), edits_for(of, steps))
+    size = _size(of, F.greatest(parts, F.lit(1)))
+    return F.least(parts, F.floor((n - stretch - size + 1) / size).cast("int"))
+
+
+def _same_parts(side: str) -> Column:
+    """How many leading parts of the finer outlines from one side the rows u and v share."""
+
+    def same(half: int) -> Column:
+        x = F.col(f"f{side}{half}u").bitwiseXOR(F.col(f"f{side}{half}v"))
+        return F.when(x == 0, 32).otherwise(F.floor((64 - F.char_length(F.bin(x))) / 2))
+
+    first = same(0)
+    return first + F.when(first == 32, same(1)).otherwise(0)
 
 
-def _finely_alike(su: Column, tu: Column, sv: Column, tv: Column, parts: Column) -> Column:
-    """Whether finer outlines let two lines differ in one stretch only."""
-    return (parts <= 8) | (_same_parts(su, sv, parts) + _same_parts(tu, tv, parts) >= parts - 2)
+def _finely_alike() -> Column:
+    """Whether finer outlines let a probing line v differ from u in one stretch only."""
+    return (F.col("leastu") <= 0) | (_same_parts("s") + _same_parts("t") >= F.col("leastu"))
 
 
 def _told(lines: DataFrame, steps: tuple[tuple[int, int], ...], far: tuple[tuple[int, int], ...], min_chars: int) -> DataFrame:
@@ -192,8 +211,8 @@ def _buckets_of(each: DataFrame, most: int, probe: bool) -> DataFrame:
 
 def _rows(each: DataFrame, most: int, probe: bool, name: str, fine: bool = False) -> DataFrame:
     """(bucket, id, marks, outlines from the start and from the end), named after ``name``, of the index or probe rows of lines; with
-    ``fine`` also the finer outlines and their number of parts."""
-    more = ("fs", "ft", "parts") if fine else ()
+    ``fine`` also the halves of the finer outlines and how many of their parts are shared at least."""
+    more = ("fs0", "fs1", "ft0", "ft1", "least") if fine else ()
     of = [("o", b) for b in _names(most, "o", probe)] + [("l", b) for b in _names(most, "l", True) if probe]
     rows = [F.struct(F.col(b).alias("bucket"), *[F.col(f"{x}_{c}").alias(c) for c in ("s", "t", *more)]) for x, b in of]
     told = each.select("id", "marks", F.inline(F.array(*rows))).where("bucket is not null")
@@ -201,12 +220,13 @@ def _rows(each: DataFrame, most: int, probe: bool, name: str, fine: bool = False
 
 
 def _with_fine(each: DataFrame, texts: DataFrame, steps: tuple[tuple[int, int], ...], far: tuple[tuple[int, int], ...], min_chars: int) -> DataFrame:
-    """Lines with the finer outlines in both classes, and their numbers of parts."""
+    """Lines with the finer outlines in both classes, and how many of their parts near lines share at least."""
     always = _always_outlined(steps, far, min_chars)
     n = F.char_length("line")
     lower = length_class(F.greatest(n - edits_for(n, far), F.lit(0)))
     classes = texts.select("id", "h", "line", length_class(n).alias("own"), lower.alias("least")).select("*", F.when(F.col("least") < F.col("own"), F.col("least")).alias("lower"))
-    make = {"fs": lambda of: _fine(of, True, steps, far, always), "ft": lambda of: _fine(of, False, steps, far, always), "parts": lambda of: _parts(of, steps, far, always)}
+    make = {f"f{side}{half}": lambda of, front=front, half=half: _fine(of, front, half, steps, far, always) for side, front in (("s", True), ("t", False)) for half in (0, 1)}
+    make["least"] = lambda of: _least_parts(of, n, steps, far, always)
     fine = classes.select(F.col("id").alias("of"), F.col("h.b").alias("of_b"), *[f(F.col(of)).alias(f"{x}_{c}") for x, of in (("o", "own"), ("l", "lower")) for c, f in make.items()])
     return each.join(fine, (each["id"] == fine["of"]) & (each["b"] == fine["of_b"])).drop("of", "of_b")
 
@@ -428,8 +448,7 @@ def near_lines(df: DataFrame, key: str = "doc_id", text: str = "text", edits: Ed
             gone = small(settled.select("id").distinct())
             many = many.join(gone.select(F.col("id").alias("u"), F.lit(True).alias("u_goes")), "u", "left")
             tried = tried.join(gone.select(F.col("id").alias("v"), F.lit(True).alias("v_goes")), "v", "left")
-            finely = _finely_alike(F.col("fsu"), F.col("ftu"), F.col("fsv"), F.col("ftv"), F.col("partsu"))
-            crowded = tried.join(many, fits(tried, many) & finely & (F.col("u_goes").isNull() | F.col("v_goes").isNull())).select("u", "v")
+            crowded = tried.join(many, fits(tried, many) & _finely_alike() & (F.col("u_goes").isNull() | F.col("v_goes").isNull())).select("u", "v")
             index = index.join(small(hot), "bucket", "left_anti")
         pairs = probe.join(index, fits(probe, index)).select("u", "v")
         pairs = (pairs if settled is None else pairs.union(crowded)).distinct()

@@ -238,3 +238,27 @@ def test_stores_no_texts_of_lines_without_pairs(spark, monkeypatch):
     got = {r.doc_id: (r["__lines"].near, r["__lines"].exact) for r in lines.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert {k: v for k, v in got.items() if v != (0, 0)} == {7: (1, 0), 1_000: (1, 0), 1_001: (1, 0)}
     assert max(sizes.values()) < sum(len(text) for _, text in docs) / 4, sizes
+
+
+def test_finer_outlines_let_near_lines_meet(spark):
+    """Lines that differ in one stretch anywhere, of bytes or wider letters, are alike; most lines of bytes that differ at two places (by two bits a part: nine in sixteen) are not."""
+    rng, rows = random.Random(5), []
+    steps, far = lines.by_class(lines.EDITS), lines.by_class(lines.REACH)
+    text = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    for i in range(600):
+        letters = "abcdefgh " if i % 2 else rng.choice(["abcdefgh ", "abcé ", "жщыü "])
+        base = text(rng.randrange(112, 560), letters)
+        at = rng.choice([0, len(base), rng.randrange(len(base))])
+        out = rng.randrange(min(8, len(base) - at + 1))
+        other = base[:at] + text(rng.randrange(8), letters) + base[at + out :]
+        if i % 2:
+            places = rng.sample(range(0, len(base) - 40, 40), 2)
+            other = "".join("x" if k in places else c for k, c in enumerate(base))
+        rows += [(i, side, line, min(len(base), len(other))) for side, line in zip("uv", sorted((base, other), key=len))]
+    df = spark.createDataFrame(rows, "i int, side string, line string, shorter int")
+    of = lines.length_class(F.col("shorter"))
+    halves = [lines._fine(of, front, half, steps, far, True).alias(f"f{side}{half}") for side, front in (("s", True), ("t", False)) for half in (0, 1)]
+    fine = df.select("i", "side", *halves, lines._least_parts(of, F.col("shorter"), steps, far, True).alias("least")).cache()
+    named = lambda side: fine.where(F.col("side") == side).select("i", *[F.col(c).alias(c + side) for c in ("fs0", "fs1", "ft0", "ft1", "least")])
+    alike = {r.i: r.alike for r in named("u").join(named("v"), "i").select("i", lines._finely_alike().alias("alike")).collect()}
+    assert all(alike[i] for i in range(0, 600, 2)) and sum(alike[i] for i in range(1, 600, 2)) < 200
